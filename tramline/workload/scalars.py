@@ -211,15 +211,14 @@ def explode_informed_entity(t):
 
 
 @query("""
-SELECT o_orderkey AS id, o_orderstatus AS "data.kind", o_custkey AS "data.author.badge", o_orderpriority AS "data.author.place.code"
+SELECT o_orderkey AS id, o_orderstatus AS data_kind, o_custkey AS data_author_badge, o_orderpriority AS data_author_place_code
 FROM orders
 """)
 def flatten_structs(t):
     place = F.struct(F.col("o_orderpriority").alias("code")).alias("place")
     author = F.struct(F.col("o_custkey").alias("badge"), place).alias("author")
-    return nested.flatten_structs(
-        t.orders.select(F.col("o_orderkey").alias("id"), F.struct(F.col("o_orderstatus").alias("kind"), author).alias("data"))
-    )
+    message = t.orders.select(F.col("o_orderkey").alias("id"), F.struct(F.col("o_orderstatus").alias("kind"), author).alias("data"))
+    return nested.underscore_names(nested.flatten_structs(message))
 
 
 @query("""
@@ -232,7 +231,7 @@ def explode_list_outer(t):
 
 
 @query("""
-SELECT p_partkey AS id, p_name AS "info.name", p_brand || ',' || p_type AS tags,
+SELECT p_partkey AS id, p_name AS info_name, p_brand || ',' || p_type AS tags,
   '[{"size":' || p_size || '},{"size":' || (p_size + 1) || '}]' AS sizes
 FROM part
 """)
@@ -243,7 +242,7 @@ def flatten_for_bi(t):
         F.array("p_brand", "p_type").alias("tags"),
         F.array(F.struct(F.col("p_size").alias("size")), F.struct((F.col("p_size") + 1).alias("size"))).alias("sizes"),
     )
-    return nested.flatten_for_export(df)
+    return nested.underscore_names(nested.flatten_for_export(df))
 
 
 @query("""
