@@ -54,11 +54,9 @@ def service_calendar(
     version the day before the next one starts.
     """
     keys = ["static_version_key", "service_id", "service_date"]
-    oldest = exceptions.agg(F.min("static_version_key").alias("_oldest"))
+    oldest = exceptions.agg(F.min("static_version_key")).scalar()
     regular = (
-        each_date(
-            calendar.join(oldest, F.col("static_version_key") >= F.col("_oldest")), "start_date", "end_date"
-        )
+        each_date(calendar.filter(F.col("static_version_key") >= oldest), "start_date", "end_date")
         .filter(runs_on(F.col("_date")))
         .select(*keys)
     )

@@ -45,11 +45,11 @@ def scd2_merge(snapshot: DataFrame, stored: DataFrame, published: int, columns:
     year = F.floor(active_from / 10000).cast("long")
     start_of_year, end_of_last = year * 10000 + 101, (year - 1) * 10000 + 1231
     has_year = stored.agg(
-        F.coalesce(F.bool_or(F.floor(F.col(VALIDITY[0]) / 10000) >= year), F.lit(False)).alias("_has_year")
-    )
+        F.coalesce(F.bool_or(F.floor(F.col(VALIDITY[0]) / 10000) >= year), F.lit(False))
+    ).scalar()
     keyed = stored.withColumn("_row", key_struct(*columns))
     kept = fresh.select(key_struct(*columns).alias("_row"), F.lit(True).alias("_in"))
-    marked = keyed.join(kept, "_row", "left").join(has_year, how="left")
+    marked = keyed.join(kept, "_row", "left").withColumn("_has_year", has_year)
     on = F.when(F.col("_has_year"), active_from).otherwise(end_of_last)
     touched = (F.col(VALIDITY[0]) <= on) & (F.col(VALIDITY[1]) >= on)
     end = F.when(F.col("_in"), active_to).otherwise(F.lit(published).cast("long"))
@@ -119,16 +119,14 @@ def splice(before: DataFrame, after: DataFrame, at: str, cut) -> DataFrame:
 
 def replace_recent(stored: DataFrame, requeried: DataFrame, date: str, days_back: int = 1) -> DataFrame:
     """Stored rows older than ``days_back`` before the newest date, and re-queried rows from there on."""
-    cut = stored.agg(F.date_sub(F.max(date), days_back).alias("_cut"))
-    old = stored.join(cut, F.col(date) < F.col("_cut")).drop("_cut")
-    new = requeried.join(cut, F.col(date) >= F.col("_cut")).drop("_cut")
-    return old.unionByName(new)
+    cut = stored.agg(F.date_sub(F.max(date), days_back)).scalar()
+    return stored.filter(F.col(date) < cut).unionByName(requeried.filter(F.col(date) >= cut))
 
 
 def newer_versions(published: DataFrame, source: DataFrame, version: str) -> DataFrame:
     """Source rows of versions above the highest one published (all, where none is)."""
-    top = published.agg(F.max(version).alias("_top"))
-    return source.join(top, F.col("_top").isNull() | (F.col(version) > F.col("_top"))).drop("_top")
+    top = published.agg(F.max(version)).scalar()
+    return source.filter(top.isNull() | (F.col(version) > top))
 
 
 def missing_or_renewed(processed: DataFrame, published: DataFrame, renewed: DataFrame, key: str) -> DataFrame:

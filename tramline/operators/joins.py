@@ -175,11 +175,13 @@ def trip_vehicle_match(schedule: DataFrame, realtime: DataFrame) -> DataFrame:
     )
 
 
-def match_static_stop(rt: DataFrame, static: DataFrame) -> DataFrame:
+def match_static_stop(
+    rt: DataFrame, static: DataFrame, trip: Sequence[str] = ("service_date", "pm_trip_id")
+) -> DataFrame:
     """Realtime stops with the static stop of the same trip, version and station.
 
     Only static visits ranked at or below the realtime visit count, and one row
-    per (service_date, trip, station) stays: the lowest static rank. The lowest
+    per (trip, station) stays: the lowest static rank. The lowest
     rank of a station is therefore the only candidate, which keeps the join one
     to one however often a trip calls there.
     """
@@ -196,7 +198,7 @@ def match_static_stop(rt: DataFrame, static: DataFrame) -> DataFrame:
     ).drop("_version", "_station")
     return first_row(
         joined,
-        ["service_date", "pm_trip_id", "parent_station"],
+        [*trip, "parent_station"],
         [*nulls_last(F.col("static_stop_rank")), F.col("rt_stop_rank"), F.col("stop_sequence")],
     )
 

@@ -39,9 +39,8 @@ def merge_daily_feed(
     stored: DataFrame, new: DataFrame, payload: Sequence[str], ts: str = "feed_timestamp", back_seconds: int = 45 * 60
 ) -> DataFrame:
     """Stored rows of the day with new ones; repeats go from 45 minutes before the first new row on."""
-    first = new.agg((F.min(ts) - back_seconds).alias("_cut"))
-    marked = stored.unionByName(new).join(first, how="left")
-    return windowed_dedup(marked, F.col("_cut"), payload, ts)
+    first = new.agg(F.min(ts) - back_seconds).scalar()
+    return windowed_dedup(stored.unionByName(new), first, payload, ts)
 
 
 def guarded_replace(spark: SparkSession, df: DataFrame, path: str) -> bool:
@@ -117,8 +116,7 @@ def write_index(index: DataFrame, path: str) -> None:
 
 def rolling_window(df: DataFrame, date: str, days: int, schema: T.StructType, where: Column | None = None, convert=None) -> DataFrame:
     """The last ``days`` days of a table (by its newest date), filtered, converted, in declared columns."""
-    cut = df.agg(F.date_sub(F.max(date), days - 1).alias("_cut"))
-    recent = df.join(cut, F.col(date) >= F.col("_cut")).drop("_cut")
+    recent = df.filter(F.col(date) >= df.agg(F.date_sub(F.max(date), days - 1)).scalar())
     return extract(recent, schema, where, convert)
 
 

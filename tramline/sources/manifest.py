@@ -57,7 +57,7 @@ def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def grouped_and_sorted(manifest: DataFrame) -> DataFrame:
+def grouped_and_sorted(manifest: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     """Files with their group (name after the first ``_``) and position by the 20-character stamp."""
     name = file_name(F.col("path"))
     named = manifest.filter(~F.col("path").endswith("/")).select(
@@ -66,7 +66,7 @@ def grouped_and_sorted(manifest: DataFrame) -> DataFrame:
         F.substring(name, 1, 20).alias("stamp"),
     )
     hour = F.translate(F.substring("stamp", 1, 13), "-T", "").try_cast("long")
-    return ordered(named, ["file_type"], [hour, F.col("stamp"), F.col("path")], hour, position=row_number())
+    return ordered(named, ["file_type"], [hour, F.col("stamp"), F.col("path"), *[F.col(c) for c in tie]], hour, position=row_number())
 
 
 def partition_time(path: Column) -> Column:
@@ -141,12 +141,26 @@ def dates_to_export(source: DataFrame, exported: DataFrame, date: str, last: int
 
 def dates_to_rebuild(outputs: DataFrame, wanted: DataFrame, date: str = "service_date") -> DataFrame:
     """Dates whose output is missing or has another schema than the newest output."""
-    newest = outputs.agg(F.max_by("schema_id", date).alias("_newest"))
-    stale = outputs.join(newest, F.col("schema_id") != F.col("_newest")).select(date)
+    newest = outputs.agg(F.max_by("schema_id", date)).scalar()
+    stale = outputs.filter(F.col("schema_id") != newest).select(date)
     missing = wanted.select(date).join(outputs.select(date), date, "left_anti")
     return stale.join(wanted.select(date), date, "left_semi").union(missing).distinct()
 
 
+def files_by_date(files: DataFrame, by: Sequence[str] = ("service_date", "source"), digits: int = 1) -> DataFrame:
+    """Sorted lists of paths per service date and source.
+
+    A list is split by the first ``digits`` hex digits of the path's MD5
+    (``part``), so a date with very many files is not gathered in one task.
+    """
+    part = F.substring(F.md5("path"), 1, digits)
+    return (
+        files.withColumn("part", part)
+        .groupBy(*by, "part")
+        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    )
+
+
 def schedule_index(index: DataFrame) -> DataFrame:
     """Published schedules, one per publish date (the last by start date and time)."""
     dated = index.withColumn("published_dt", published_at(F.col("feed_version")))
@@ -163,6 +177,5 @@ def schedules_to_process(index: DataFrame, archived: DataFrame, year: int) -> Da
     """
     recent = index.filter(F.col("published_date") > year * 10000)
     if year <= 2018:
-        top = archived.agg(F.max("feed_start_date").alias("_top"))
-        return recent.join(top, F.col("feed_start_date") > F.col("_top")).drop("_top")
+        return recent.filter(F.col("feed_start_date") > archived.agg(F.max("feed_start_date")).scalar())
     return recent.join(archived.select("feed_version"), "feed_version", "left_anti")

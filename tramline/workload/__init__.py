@@ -10,7 +10,7 @@ import importlib
 
 from tramline.workload.registry import REGISTRY
 
-MODULES = ("scalars",)
+MODULES = ("scalars", "scans", "joins", "aggregations")
 
 
 def load() -> dict:
