@@ -10,7 +10,7 @@ import importlib
 
 from tramline.workload.registry import REGISTRY
 
-MODULES = ("scalars", "scans", "joins", "aggregations")
+MODULES = ("scalars", "scans", "joins", "aggregations", "windows")
 
 
 def load() -> dict:
