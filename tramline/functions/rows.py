@@ -22,3 +22,8 @@ def whole_seconds(later: Column, earlier: Column) -> Column:
     """Whole seconds between two timestamps, cut towards zero."""
     micros = F.unix_micros(later) - F.unix_micros(earlier)
     return (micros - micros % 1_000_000).cast("long").__truediv__(1_000_000).cast("long")
+
+
+def lag_seconds(published: Column, happened: Column) -> Column:
+    """Seconds from an event to its publication, both as epochs."""
+    return published - happened

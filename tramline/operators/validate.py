@@ -142,6 +142,18 @@ CHANGE_PATTERN = r"start|stop"
 REVENUE_PATTERN = r"(non)?revenue"
 
 
+def schedule_order_rules() -> Rules:
+    """Optional audit rules of a combined schedule (need ``with_previous`` on gtfs_stop_sequence).
+
+    Own sequences rise along the common one, and sequence 1 comes first.
+    """
+    own, common = F.col("gtfs_stop_sequence"), F.col("stop_sequence")
+    return {
+        "consecutive_null_stop_sequences_ordered_correctly": own > F.col("_prev_gtfs_stop_sequence"),
+        "first_stop_sequence_has_gtfs_record": ((own == 1) & (common == 1)) | own.isNull() | (own > 1),
+    }
+
+
 def one_to_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; empty when a merge on them is one to one."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
@@ -172,12 +184,15 @@ def schedule_audit(
     audited = df.groupBy(*trip).agg(*aggs)
     for c in unique:
         repeats = (
-            df.groupBy(*trip, c)
+            df.filter(F.col(c).isNotNull())
+            .groupBy(*trip, c)
             .agg(F.count(F.lit(1)).alias("_n"))
             .groupBy(*trip)
             .agg((F.max("_n") == 1).alias(f"{c}_unique"))
         )
-        audited = audited.join(repeats, list(trip), "left")
+        audited = audited.join(repeats, list(trip), "left").withColumn(
+            f"{c}_unique", F.coalesce(f"{c}_unique", F.lit(True))
+        )
     return audited
 
 
