@@ -54,25 +54,30 @@ def service_calendar(
     version the day before the next one starts.
     """
     keys = ["static_version_key", "service_id", "service_date"]
+    spans = feeds.select("static_version_key", "feed_start_date", "feed_end_date")
+    if close_at_next_feed:
+        spans = close_spans(spans)
+    # ranges are cut to the version's dates before they are spread over days
     oldest = exceptions.agg(F.min("static_version_key")).scalar()
-    regular = (
-        each_date(calendar.filter(F.col("static_version_key") >= oldest), "start_date", "end_date")
-        .filter(runs_on(F.col("_date")))
-        .select(*keys)
+    clipped = (
+        calendar.filter(F.col("static_version_key") >= oldest)
+        .join(spans, "static_version_key")
+        .withColumn("start_date", F.greatest("start_date", "feed_start_date"))
+        .withColumn("end_date", F.least("end_date", "feed_end_date"))
     )
+    regular = each_date(clipped, "start_date", "end_date").filter(runs_on(F.col("_date"))).select(*keys)
     special = exceptions.withColumn("service_date", F.col("date"))
-    added = special.filter(F.col("exception_type") == 1).select(*keys)
+    added = (
+        special.filter(F.col("exception_type") == 1)
+        .join(spans, "static_version_key")
+        .filter(F.col("service_date").between(F.col("feed_start_date"), F.col("feed_end_date")))
+        .select(*keys)
+    )
     removed = special.filter(F.col("exception_type") == 2).select(*keys)
-    spans = feeds.select("static_version_key", "feed_start_date", "feed_end_date")
-    if close_at_next_feed:
-        spans = close_spans(spans)
-    covered = each_date(spans, "feed_start_date", "feed_end_date").select("static_version_key", "service_date")
     routes = trips.select("static_version_key", "service_id", "route_id").distinct()
     return (
         regular.union(added)
-        .distinct()
         .join(removed, keys, "left_anti")
-        .join(covered.distinct(), ["static_version_key", "service_date"], "left_semi")
         .join(routes, ["static_version_key", "service_id"])
         .select("route_id", "service_id", "service_date", "static_version_key")
         .distinct()

@@ -20,6 +20,7 @@ from tramline.operators.scan import (
     is_first,
     is_last,
     lag,
+    lag_at,
     last_before,
     lead,
     max_before,
@@ -65,7 +66,7 @@ def headway(
         keys,
         [F.col("_at"), *[F.col(t) for t in tie]],
         stretch(F.col("_at"), width),
-        _previous=lag(F.col("_at")),
+        _previous=lag_at(),
     )
     gap = F.col("_at") - F.col("_previous")
     if positive_only:

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.operators.groups import key_struct
 
@@ -38,6 +39,11 @@ def lag(value: Column) -> Ordered:
     return Ordered("lag", value)
 
 
+def lag_at() -> Ordered:
+    """First order column of the row before: its carry is a plain maximum, the cheapest there is."""
+    return Ordered("lag_at")
+
+
 def lead(value: Column) -> Ordered:
     """Value of the row after."""
     return Ordered("lead", value)
@@ -53,6 +59,11 @@ def first_after(value: Column) -> Ordered:
     return Ordered("first_after", value)
 
 
+def first_in_key(value: Column) -> Ordered:
+    """First non-null value of the whole key."""
+    return Ordered("first_in_key", value)
+
+
 def max_before(value: Column) -> Ordered:
     """Highest value of the rows before."""
     return Ordered("max_before", value)
@@ -115,38 +126,54 @@ def ordered(
     """
     work = df.select(
         "*",
-        key_struct(*keys).alias("_key"),
-        split.alias("_split"),
-        F.struct(*order).alias("_order"),
-        *[(c.value if c.value is not None else F.lit(None)).alias(f"_v_{n}") for n, c in columns.items()],
+        F.struct(key_struct(*keys).alias("_key"), split.alias("_split")).alias("_part"),
+        (F.struct(*order) if len(order) > 1 else order[0]).alias("_order"),
+        order[0].alias("_at_"),
+        *[c.value.alias(f"_v_{n}") for n, c in columns.items() if c.value is not None],
     )
-    part = F.struct("_key", "_split")
-    work = work.withColumn("_part", part)
 
     here = Window.partitionBy("_part").orderBy("_order")
     before = here.rowsBetween(Window.unboundedPreceding, -1)
-    onward = here.rowsBetween(0, Window.unboundedFollowing)
-    after = here.rowsBetween(1, Window.unboundedFollowing)
-
-    inside: dict[str, Column] = {"_number": F.row_number().over(here)}
+    # frames that look ahead run backwards: a frame up to UNBOUNDED FOLLOWING
+    # is evaluated anew for every row, one from UNBOUNDED PRECEDING is not
+    back = Window.partitionBy("_part").orderBy(F.col("_order").desc())
+    onward = back.rowsBetween(Window.unboundedPreceding, 0)
+    after = back.rowsBetween(Window.unboundedPreceding, -1)
+
+    # numbers as order of max_by / min_by keep the summary in hash aggregation;
+    # a bare null would be passed over there, so it becomes the lowest number
+    place = F.col("_order")
+    if isinstance(work.schema["_order"].dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        place = F.coalesce(place.cast("long"), F.lit(-(2**63)))
+    elif len(order) == 1:
+        place = F.struct("_order")
+
+    inside: dict[str, Column] = {}
     kinds = {c.kind for c in columns.values()}
+    if kinds & {"lag", "lag_at", "row_number", "is_first"}:
+        inside["_number"] = F.row_number().over(here)
     if kinds & {"lead", "is_last"}:
         inside["_more"] = F.lead(F.lit(True)).over(here)
     summary: dict[str, Column] = {}
     for n, c in columns.items():
         v = F.col(f"_v_{n}")
-        if c.kind == "lag":
+        if c.kind == "lag_at":
+            inside[f"_w_{n}"] = F.lag("_at_").over(here)
+            summary[n] = F.max("_at_")
+        elif c.kind == "lag":
             inside[f"_w_{n}"] = F.lag(v).over(here)
-            summary[n] = F.max_by(v, F.col("_order"))
+            summary[n] = F.max_by(v, place)
         elif c.kind == "lead":
             inside[f"_w_{n}"] = F.lead(v).over(here)
-            summary[n] = F.min_by(v, F.col("_order"))
+            summary[n] = F.min_by(v, place)
         elif c.kind == "last_before":
             inside[f"_w_{n}"] = F.last(v, ignorenulls=True).over(before)
-            summary[n] = F.max_by(v, F.when(v.isNotNull(), F.col("_order")))
+            summary[n] = F.max_by(v, F.when(v.isNotNull(), place))
         elif c.kind == "first_after":
-            inside[f"_w_{n}"] = F.first(v, ignorenulls=True).over(after)
-            summary[n] = F.min_by(v, F.when(v.isNotNull(), F.col("_order")))
+            inside[f"_w_{n}"] = F.last(v, ignorenulls=True).over(after)
+            summary[n] = F.min_by(v, F.when(v.isNotNull(), place))
+        elif c.kind == "first_in_key":
+            summary[n] = F.min_by(v, F.when(v.isNotNull(), place))
         elif c.kind == "max_before":
             inside[f"_w_{n}"] = F.max(v).over(before)
             summary[n] = F.max(v)
@@ -172,18 +199,23 @@ def ordered(
     stretches = work.groupBy("_part").agg(*[v.alias(f"_s_{n}") for n, v in summary.items()])
     along = Window.partitionBy("_part._key").orderBy("_part._split")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    later = along.rowsBetween(1, Window.unboundedFollowing)
+    later = (
+        Window.partitionBy("_part._key").orderBy(F.col("_part._split").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carries = []
     for n, c in columns.items():
         s = F.col(f"_s_{n}")
-        if c.kind in ("lag", "is_first"):
+        if c.kind in ("lag", "lag_at", "is_first"):
             carry = F.lag(s).over(along)
         elif c.kind in ("lead", "is_last"):
             carry = F.lead(s).over(along)
         elif c.kind == "last_before":
             carry = F.last(s, ignorenulls=True).over(earlier)
         elif c.kind == "first_after":
-            carry = F.first(s, ignorenulls=True).over(later)
+            carry = F.last(s, ignorenulls=True).over(later)
+        elif c.kind == "first_in_key":
+            carry = F.first(s, ignorenulls=True).over(whole)
         elif c.kind == "max_before":
             carry = F.max(s).over(earlier)
         elif c.kind == "min_from":
@@ -197,7 +229,9 @@ def ordered(
 
     def combined(n: str, c: Ordered) -> Column:
         local, carry = F.col(f"_w_{n}"), F.col(f"_c_{n}")
-        if c.kind == "lag":
+        if c.kind == "first_in_key":
+            return carry
+        if c.kind in ("lag", "lag_at"):
             return F.when(F.col("_number") == 1, carry).otherwise(local)
         if c.kind == "lead":
             return F.when(F.col("_more").isNull(), carry).otherwise(local)
@@ -226,7 +260,8 @@ def filled(df: DataFrame, keys: Sequence[str], order: Sequence[Column], split: C
     specs: dict[str, Ordered] = {}
     for c in cols:
         specs[f"_b_{c}"] = last_before(F.col(c))
-        specs[f"_a_{c}"] = first_after(F.col(c))
+        # with nothing before, the next value is the first of the key
+        specs[f"_a_{c}"] = first_in_key(F.col(c))
     scanned = ordered(df, keys, order, split, **specs)
     return scanned.select(
         *[

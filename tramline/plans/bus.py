@@ -27,7 +27,8 @@ from tramline.operators import validate as V
 from tramline.operators.groups import with_group_values
 from tramline.operators.scan import (
     dense_rank,
-    first_after,
+    filled,
+    first_in_key,
     lag,
     last_before,
     max_before,
@@ -162,8 +163,8 @@ def av_schedule(crossings: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         [seq, F.col("STOP_CROSSING_ID")],
         block,
         _before=last_before(F.col("vehicle_label")),
-        _after=first_after(F.col("vehicle_label")),
-    ).withColumn("vehicle_label", F.coalesce("vehicle_label", "_before", "_after")).drop("_before", "_after")
+        _first=first_in_key(F.col("vehicle_label")),
+    ).withColumn("vehicle_label", F.coalesce("vehicle_label", "_before", "_first")).drop("_before", "_first")
     spanned = with_group_values(
         cut_lineage(labelled, "av-labels"),
         ["service_date", "trip_id"],
@@ -241,18 +242,11 @@ def combined_schedule(gtfs: DataFrame, tm: DataFrame) -> DataFrame:
     by_time = stretch(F.unix_timestamp("plan_stop_departure_dt"), metrics.STATION_SECONDS)
 
     def fill(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-        specs = {f"_b_{c}": last_before(F.col(c)) for c in cols} | {f"_a_{c}": first_after(F.col(c)) for c in cols}
-        scanned = ordered(df, keys, order, by_time, **specs)
-        return scanned.select(
-            *[
-                F.coalesce(F.col(c), F.col(f"_b_{c}"), F.col(f"_a_{c}")).alias(c) if c in cols else F.col(c)
-                for c in df.columns
-            ]
-        )
+        return filled(df, keys, order, by_time, cols)
 
     pulled = cut_lineage(fill(rows, day_trip, ["PULLOUT_ID"]), "pullouts")
-    filled = cut_lineage(fill(pulled, [*day_trip, "PULLOUT_ID"], TRIP_COLUMNS), "trip-columns")
-    named = filled.withColumn(
+    inherited = cut_lineage(fill(pulled, [*day_trip, "PULLOUT_ID"], TRIP_COLUMNS), "trip-columns")
+    named = inherited.withColumn(
         "schedule_joined",
         texts.provenance(F.col("gtfs_stop_sequence"), F.col("tm_stop_sequence"), "GTFS", "TM", "JOIN"),
     ).withColumn("plan_stop_departure_sam", local_seconds("plan_stop_departure_dt"))

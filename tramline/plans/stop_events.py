@@ -6,17 +6,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.functions.texts import joined_id
 from tramline.operators import validate as V
 from tramline.operators.groups import with_group_values
-from tramline.sources.feeds import struct
 
 KEY = ("start_date", "route_id", "trip_id", "vehicle_id", "stop_sequence")
 TRIP = KEY[:-1]
-STATE = struct(
-    "id string, timestamp long, start_date string, route_id string, trip_id string, vehicle_id string, stop_sequence long, "
-    "direction_id long, start_time string, revenue boolean, stop_id string, arrived long, departed long, latest_stopped_timestamp long"
+STATE = T.StructType(
+    [
+        T.StructField(name, kind)
+        for name, kind in (
+            ("id", T.StringType()),
+            ("timestamp", T.LongType()),
+            ("start_date", T.StringType()),
+            ("route_id", T.StringType()),
+            ("trip_id", T.StringType()),
+            ("vehicle_id", T.StringType()),
+            ("stop_sequence", T.LongType()),
+            ("direction_id", T.LongType()),
+            ("start_time", T.StringType()),
+            ("revenue", T.BooleanType()),
+            ("stop_id", T.StringType()),
+            ("arrived", T.LongType()),
+            ("departed", T.LongType()),
+            ("latest_stopped_timestamp", T.LongType()),
+        )
+    ]
 )
 REQUIRED = ("id", "timestamp", *KEY, "direction_id", "start_time", "revenue", "stop_id")
 MAX_AGE_SECONDS = 2 * 3600

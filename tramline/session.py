@@ -13,6 +13,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # small stages keep their tasks; large ones are far above this anyway
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

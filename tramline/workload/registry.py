@@ -16,11 +16,15 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._opened:
+            # opening a table reads file footers: once per query is enough
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
 
 
 @dataclass(frozen=True)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tramline.operators import aggregates, metrics
+from tramline.operators.events import drop_out_of_order
 from tramline.operators.groups import with_group_values
 from tramline.operators.scan import hours
+from tramline.session import cut_lineage
 from tramline.workload.registry import query
 from tramline.workload.standins import POSITIONS, RAIL_EVENTS, STOP_TIMES, TRIPS, positions, rail_events, stop_times, text, trips
 
@@ -269,7 +271,9 @@ _LEAVING_SQL = f"""{_COUNTED_SQL}, leaving AS (SELECT *, lead(vp_move_timestamp)
 
 
 def _headway_rail(t, line):
-    leaving = metrics.next_station_move(_counted(t), _TRIP, ["stop_sequence"])
+    leaving = cut_lineage(
+        metrics.next_station_move(cut_lineage(_counted(t), "counted"), _TRIP, ["stop_sequence"]), "leaving"
+    )
     return metrics.rail_headway(leaving, line, "headway", _TRIP).select(*_TRIP, "stop_sequence", "headway")
 
 
@@ -356,9 +360,6 @@ SELECT strftime(service_date, '%Y-%m-%d') AS service_date, user_id, stop_sequenc
 """)
 def stop_event_metrics(t):
     """Flagship: positions, out-of-order records out, stop events, repaired times, travel, dwell, headway."""
-    from tramline.operators.events import drop_out_of_order
-    from tramline.session import cut_lineage
-
     trip = ["service_date", "user_id"]
     p = positions(t).select(*trip, "stop_sequence", "event_id", "vehicle_timestamp", "epoch", "current_status")
     kept = drop_out_of_order(
