@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tramline.functions.nested import quoted
 from tramline.functions.times import seconds_after_service_midnight
 from tramline.operators.groups import first_row
 from tramline.operators.scan import lead, ordered, row_number, stretch, sum_before
@@ -74,8 +75,9 @@ def windowed_dedup(rows: DataFrame, new_from: Column | int, payload: Sequence[st
     so unequal rows never merge.
     """
     cut = F.lit(new_from) if isinstance(new_from, int) else new_from
-    old = rows.filter(F.col(ts) < cut).select(*payload, ts)
-    recent = rows.filter(F.col(ts) >= cut).groupBy(*payload).agg(F.min(ts).alias(ts))
+    same = [F.col(quoted(c)) for c in payload]
+    old = rows.filter(F.col(ts) < cut).select(*same, ts)
+    recent = rows.filter(F.col(ts) >= cut).groupBy(*same).agg(F.min(ts).alias(ts))
     return old.unionByName(recent)
 
 

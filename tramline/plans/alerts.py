@@ -9,6 +9,7 @@ from tramline.functions.nested import english_text, explode_active_periods, expl
 from tramline.functions.times import local_from_epoch
 from tramline.operators.groups import anti, first_row
 from tramline.sinks.tables import append_by_month
+from tramline.sources.tables import stored_table
 
 KEY = ["id", "last_modified_timestamp"]
 TEXTS = ("header_text", "description_text", "service_effect_text", "timeframe_text", "recurrence_text")
@@ -50,10 +51,6 @@ def publish(alerts: DataFrame, published: DataFrame) -> DataFrame:
 
 def append_published(spark: SparkSession, alerts: DataFrame, path: str) -> None:
     """Publish a batch into the table at ``path``, clustered by start month."""
-    try:
-        published = spark.read.parquet(path).select(*KEY)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        published = alerts.select(*KEY).limit(0)
-    append_by_month(publish(alerts, published), path, "active_period_start_timestamp")
+    stored = stored_table(spark, path)
+    published = alerts.limit(0) if stored is None else stored
+    append_by_month(publish(alerts, published.select(*KEY)), path, "active_period_start_timestamp")

@@ -11,6 +11,7 @@ from tramline.operators.changes import scd2_merge
 from tramline.session import cut_lineage
 from tramline.sinks.tables import write_partitioned
 from tramline.sources.schedules import conform_text, table_schema
+from tramline.sources.tables import stored_table
 
 # how the large tables are sorted inside their files
 SORT = {"stop_times": ("stop_id", "trip_id"), "trips": ("route_id", "service_id")}
@@ -26,11 +27,10 @@ def add_schedule(spark: SparkSession, table: str, snapshot: DataFrame, published
     columns = table_schema(table).fieldNames()
     path = f"{base.rstrip('/')}/{table}"
     year = published // 10000
-    try:
-        stored = spark.read.parquet(path).filter(F.col("year").between(year - 1, year + 1)).drop("year")
-    except Exception as error:  # first schedule
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    archived = stored_table(spark, path)
+    if archived is not None:
+        stored = archived.filter(F.col("year").between(year - 1, year + 1)).drop("year")
+    else:  # first schedule
         stored = snapshot.select(*columns).limit(0).withColumns(
             {"gtfs_active_date": F.lit(0).cast("long"), "gtfs_end_date": F.lit(0).cast("long")}
         )

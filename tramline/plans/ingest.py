@@ -11,6 +11,7 @@ from tramline.operators.filters import route_filters
 from tramline.sinks.tables import merge_daily_feed, write_partitioned
 from tramline.sources import feeds
 from tramline.sources.schedules import with_version
+from tramline.sources.tables import conform, stored_table
 from tramline.session import cut_lineage
 
 DAY = ("year", "month", "day")
@@ -42,12 +43,11 @@ def ingest_feed(
     new = cut_lineage(rows, f"new-{feed.lower()}")
     days = new.select(*DAY).distinct()
     payload = [c for c in new.columns if c != "feed_timestamp"]
-    try:
-        stored = spark.read.parquet(table).select(*[F.col(f"`{c}`") for c in new.columns]).join(days, list(DAY), "left_semi")
-    except Exception as error:  # first batch
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    stored = stored_table(spark, table)
+    if stored is None:  # first batch
         stored = new.limit(0)
+    else:
+        stored = conform(stored, new.schema).join(days, list(DAY), "left_semi")
     _, part = FLATTEN[feed]
     merged = cut_lineage(merge_daily_feed(stored, new, payload), f"merged-{feed.lower()}")
     write_partitioned(merged, table, DAY, sort=[part], files_per_partition=8)

@@ -27,17 +27,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_OWN_FOLDER: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared scratch folder, from ``spark.checkpoint.dir``.
 
     Only where the session names none (tests, a laptop) is a temporary folder
-    made, and then recorded so that later calls use the same one.
+    made, one per application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tramline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDER:
+        _OWN_FOLDER[app] = tempfile.mkdtemp(prefix="tramline-")
+    return _OWN_FOLDER[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from tramline.functions.nested import quoted
 from tramline.operators.aggregates import windowed_dedup
 from tramline.operators.validate import Rules, quarantined, valid
 from tramline.session import scratch_path
-from tramline.sources.tables import conform
+from tramline.sources.tables import conform, stored_table
 
 
 def write_partitioned(
@@ -51,13 +52,8 @@ def guarded_replace(spark: SparkSession, df: DataFrame, path: str) -> bool:
     staged = scratch_path(spark, "staged")
     df.write.parquet(staged)
     fresh = spark.read.schema(df.schema).parquet(staged)
-    try:
-        stored = spark.read.parquet(path).count()
-    except Exception as error:  # no table yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        stored = -1
-    if fresh.count() < stored:
+    stored = stored_table(spark, path)
+    if stored is not None and fresh.count() < stored.count():
         return False
     fresh.write.mode("overwrite").parquet(path)
     return True
@@ -72,8 +68,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     """JSON lines by a declared schema; an empty table where there is nothing yet."""
     try:
         return spark.read.schema(schema).json(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,16 @@ from pyspark.sql import types as T
 from tramline.functions.nested import underscore_names
 
 
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None where nothing has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared columns, in order and type; absent ones are null."""
     return df.select(
