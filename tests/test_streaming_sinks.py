@@ -85,7 +85,7 @@ def test_event_bus_stream_appends_once_and_quarantines(spark):
 
 def test_partition_overwrite_leaves_other_days(spark):
     path = scratch_path(spark, "days")
-    sinks.write_partitioned(spark.createDataFrame([(1, 1), (2, 2)], "v long, day int"), path, ["day"], files_per_partition=3)
+    sinks.write_partitioned(spark.createDataFrame([(1, 1), (2, 2)], "v long, day int"), path, ["day"])
     sinks.write_partitioned(spark.createDataFrame([(9, 2)], "v long, day int"), path, ["day"])
     assert sorted((r.day, r.v) for r in spark.read.parquet(path).collect()) == [(1, 1), (2, 9)]
 

@@ -88,12 +88,12 @@ def close_spans(spans: DataFrame) -> DataFrame:
     """End each feed span the day before the next start (the last keeps its end, less a day)."""
 
 
-    # one line for all feeds; blocks are years, so no task holds the whole line
+    # one line for all feeds, a stretch per start date
     lined = ordered(
         spans.withColumn("_line", F.lit(1)),
         ["_line"],
         [F.col("feed_start_date"), F.col("static_version_key")],
-        stretch(F.col("feed_start_date"), 10000),
+        stretch(F.col("feed_start_date"), 1),
         _next=lead(F.col("feed_start_date")),
     )
     end = F.date_sub(int_date(F.coalesce("_next", "feed_end_date")), 1)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tramline.functions.nested import join_labels
 from tramline.functions.times import clock_seconds, scheduled_at
 from tramline.operators.groups import first_row, with_group_values
-from tramline.operators.scan import hours, min_from, ordered
+from tramline.operators.scan import min_from, ordered, time_stretch
 
 # Unique trip-stop of the rail model.
 TRIP_STOP = ("service_date", "route_id", "trip_id", "parent_station")
@@ -54,14 +54,14 @@ def pivot_positions(positions: DataFrame) -> DataFrame:
     )
 
 
-def positions_to_events(positions: DataFrame, hours_per_stretch: int = 6) -> DataFrame:
+def positions_to_events(positions: DataFrame, stretch_seconds: int = 3600) -> DataFrame:
     """Bus positions -> stop events: out-of-order records out, pivot, start and stop count."""
     ordered_positions = drop_out_of_order(
         positions,
         ["service_date", "trip_id", "vehicle_label"],
         "stop_sequence",
         [F.col("vehicle_timestamp"), F.col("stop_sequence")],
-        hours(F.col("vehicle_timestamp"), hours_per_stretch),
+        time_stretch(F.col("vehicle_timestamp"), stretch_seconds),
     )
     events = pivot_positions(ordered_positions.withColumn("start_time", clock_seconds(F.col("start_time"))))
     counted = with_group_values(

@@ -50,11 +50,15 @@ def with_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> D
 
 
 def semi(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
-    """Null-safe semi join on equal key names; ``how='left_anti'`` for the complement."""
+    """Null-safe semi join on equal key names; ``how='left_anti'`` for the complement.
+
+    Keys of ``right`` are made distinct before they are shuffled: repeats of a
+    hot key stay where they are.
+    """
     k = "_semi_key"
     return (
         left.withColumn(k, key_struct(*keys))
-        .join(right.select(key_struct(*keys).alias(k)), k, how)
+        .join(right.select(key_struct(*keys).alias(k)).distinct(), k, how)
         .drop(k)
     )
 

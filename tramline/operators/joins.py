@@ -20,7 +20,17 @@ def enrich(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "l
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", suffix: str = "_right"
 ) -> DataFrame:
-    """Join where null equals null. Keys are coalesced; overlapping columns of ``right`` get a suffix."""
+    """Join where null equals null. Keys are coalesced; overlapping columns of ``right`` get a suffix.
+
+    A full join is made of a left join, whose hot keys Spark can split, and the
+    rows of ``right`` that ``left`` has no key for. ``left`` is read twice then.
+    """
+    if how == "full":
+        matched = null_safe_join(left, right, keys, "left", suffix)
+        alone = anti(right, left, keys).withColumnsRenamed(
+            {c: c + suffix for c in right.columns if c not in keys and c in left.columns}
+        )
+        return matched.unionByName(alone, allowMissingColumns=True)
     values = [c for c in right.columns if c not in keys]
     renamed = right.select(
         key_struct(*keys).alias("_join"),
@@ -145,7 +155,7 @@ def split_enrich_union(
     left: DataFrame, right: DataFrame, semi_keys: Sequence[str], enriched: DataFrame
 ) -> DataFrame:
     """``enriched`` (made from the rows with a partner) plus the rows without one, by name."""
-    return enriched.unionByName(left.join(right.select(*semi_keys), list(semi_keys), "left_anti"), True)
+    return enriched.unionByName(left.join(right.select(*semi_keys).distinct(), list(semi_keys), "left_anti"), True)
 
 
 def trip_vehicle_match(schedule: DataFrame, realtime: DataFrame) -> DataFrame:

@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.times import wall_seconds_since
-from tramline.operators.groups import with_group_values
+from tramline.operators.groups import key_struct, with_group_values
 from tramline.operators.scan import (
-    dense_rank,
     filled,
     is_first,
     is_last,
@@ -32,16 +31,18 @@ from tramline.operators.scan import (
 
 # Widths of one stretch: stop sequences of a trip, seconds at a station.
 SEQUENCE_BLOCK = 256
-STATION_SECONDS = 6 * 3600
+STATION_SECONDS = 900
 
 
-def plan_travel_time(stops: DataFrame, keys: Sequence[str], seq: str, tie: Sequence[str] = ()) -> DataFrame:
+def plan_travel_time(
+    stops: DataFrame, keys: Sequence[str], seq: str, tie: Sequence[str] = (), split: Column | None = None
+) -> DataFrame:
     """Scheduled seconds from the previous departure of the trip to this arrival."""
     scanned = ordered(
         stops,
         keys,
         [F.col(seq), *[F.col(t) for t in tie]],
-        stretch(F.col(seq), SEQUENCE_BLOCK),
+        stretch(F.col(seq), SEQUENCE_BLOCK) if split is None else split,
         _left=lag(F.col("departure_seconds")),
     )
     return scanned.withColumn("plan_travel_time_seconds", F.col("arrival_seconds") - F.col("_left")).drop("_left")
@@ -54,18 +55,19 @@ def headway(
     name: str,
     tie: Sequence[str],
     positive_only: bool = False,
-    width: int = STATION_SECONDS,
+    split: Column | None = None,
 ) -> DataFrame:
     """Seconds since the previous vehicle at the same place.
 
-    ``at`` is a time in seconds; rows order by it and then by ``tie``.
+    ``at`` is a time in seconds; rows order by it and then by ``tie``. Where
+    very many rows can share a second, ``split`` cuts finer (``fine_stretch``).
     """
     work = df.withColumn("_at", at)
     scanned = ordered(
         work,
         keys,
         [F.col("_at"), *[F.col(t) for t in tie]],
-        stretch(F.col("_at"), width),
+        stretch(F.col("_at"), STATION_SECONDS) if split is None else split,
         _previous=lag_at(),
     )
     gap = F.col("_at") - F.col("_previous")
@@ -120,14 +122,25 @@ def point_type(df: DataFrame, trip: Sequence[str], seq: str, is_timepoint: Colum
 
 def timepoint_order(df: DataFrame, pattern: Sequence[str], trip: Sequence[str], seq: str) -> DataFrame:
     """Dense rank of each sequence in its pattern, and the trip's lowest and highest sequence."""
-    ranked = ordered(
-        df, pattern, [F.col(seq)], stretch(F.col(seq), SEQUENCE_BLOCK), timepoint_order=dense_rank()
-    )
+    ranked = dense_rank_of_values(df, pattern, seq, "timepoint_order")
     return with_group_values(
         ranked, trip, tm_planned_sequence_start=F.min(seq), tm_planned_sequence_end=F.max(seq)
     )
 
 
+def dense_rank_of_values(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Dense rank by a value that many rows of a key share.
+
+    Values are ranked once each and joined back, so the rows of a key are never
+    brought together.
+    """
+    values = df.select(key_struct(*keys, value).alias("_value"), *keys, value).distinct()
+    ranked = ordered(
+        values, keys, [F.col(value)], stretch(F.col(value), SEQUENCE_BLOCK), **{name: row_number()}
+    ).select("_value", name)
+    return df.withColumn("_value", key_struct(*keys, value)).join(ranked, "_value", "left").drop("_value")
+
+
 def full_trip_flag(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """True where the trip has both a start and an end point."""
     kind = F.col("point_type")
@@ -250,13 +263,15 @@ def rail_headway(departures: DataFrame, line: str, name: str, trip: Sequence[str
     )
 
 
-def sequence_gaps(df: DataFrame, keys: Sequence[str], seq: str, tie: Sequence[str]) -> DataFrame:
+def sequence_gaps(
+    df: DataFrame, keys: Sequence[str], seq: str, tie: Sequence[str], split: Column | None = None
+) -> DataFrame:
     """Step from each sequence number to the next one of the trip."""
     scanned = ordered(
         df,
         keys,
         [F.col(seq), *[F.col(t) for t in tie]],
-        stretch(F.col(seq), SEQUENCE_BLOCK),
+        stretch(F.col(seq), SEQUENCE_BLOCK) if split is None else split,
         _next=lead(F.col(seq)),
     )
     return scanned.withColumn("sequence_diff", F.col("_next") - F.col(seq)).drop("_next")

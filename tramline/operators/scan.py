@@ -106,9 +106,14 @@ def stretch(order: Column, width: int) -> Column:
     return F.floor(order / F.lit(width)).cast("long")
 
 
-def hours(ts: Column, n: int = 6) -> Column:
-    """Stretch number of a timestamp: blocks of ``n`` hours."""
-    return stretch(F.unix_timestamp(ts), n * 3600)
+def time_stretch(ts: Column, seconds: int) -> Column:
+    """Stretch number of a timestamp."""
+    return stretch(F.unix_timestamp(ts), seconds)
+
+
+def fine_stretch(first: Column, second: Column, width: int) -> Column:
+    """Stretches for orders whose first column repeats without bound: each value of it, cut by the second column."""
+    return F.struct(first.alias("first"), stretch(second, width).alias("block"))
 
 
 
@@ -121,8 +126,8 @@ def ordered(
 ) -> DataFrame:
     """Add window columns over ``keys`` by ascending ``order``, nulls first.
 
-    ``split`` numbers the stretches and must rise with ``order[0]``, so rows
-    that tie on every order column share a stretch.
+    ``split`` names the stretches: any orderable column that rises with the
+    order, so rows that tie on every order column share a stretch.
     """
     work = df.select(
         "*",

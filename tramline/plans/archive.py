@@ -36,7 +36,7 @@ def add_schedule(spark: SparkSession, table: str, snapshot: DataFrame, published
         )
     merged = scd2_merge(snapshot.select(*columns), stored, published, columns)
     dated = cut_lineage(merged.withColumn("year", F.floor(F.col("gtfs_active_date") / 10000)), f"archive-{table}")
-    write_partitioned(dated, path, ["year"], sort=SORT.get(table, ()), files_per_partition=8)
+    write_partitioned(dated, path, ["year"], sort=SORT.get(table, ()))
 
 
 def add_schedules(

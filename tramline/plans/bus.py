@@ -26,7 +26,6 @@ from tramline.operators import aggregates, calendar, events, filters, joins, met
 from tramline.operators import validate as V
 from tramline.operators.groups import with_group_values
 from tramline.operators.scan import (
-    dense_rank,
     filled,
     first_in_key,
     lag,
@@ -155,7 +154,7 @@ def av_schedule(crossings: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     seq = F.col("tm_stop_sequence")
     block = stretch(seq, metrics.SEQUENCE_BLOCK)
     order = cut_lineage(
-        ordered(named, ["service_date", "pattern_id"], [seq], block, timepoint_order=dense_rank()), "av-order"
+        metrics.dense_rank_of_values(named, ["service_date", "pattern_id"], "tm_stop_sequence", "timepoint_order"), "av-order"
     )
     labelled = ordered(
         order,
@@ -223,7 +222,7 @@ def combined_schedule(gtfs: DataFrame, tm: DataFrame) -> DataFrame:
         .distinct()
         .join(tm.select(*day_trip, "stop_id", "tm_stop_sequence", "PULLOUT_ID"), [*day_trip, "tm_stop_sequence"])
     )
-    known = cleaned.join(tm.select(*day_trip), day_trip, "left_semi").join(
+    known = cleaned.join(tm.select(*day_trip).distinct(), day_trip, "left_semi").join(
         departures, [*day_trip, "stop_id", "plan_stop_departure_dt"], "left"
     )
     joined = joins.full_outer_coalesce(
@@ -372,7 +371,7 @@ def join_rt_to_schedule(schedule: DataFrame, gtfs: DataFrame, tm: DataFrame, ope
         [*keys, "tm_stop_sequence"],
         "left",
     )
-    matched = joins.null_safe_join(logged, match, keys, "full")
+    matched = joins.null_safe_join(cut_lineage(logged, "logged"), match, keys, "full")
     feed_columns = [
         "service_date", "trip_id", "gtfs_stop_sequence", "route_id", F.col("vehicle_label").alias("vehicle_label_gtfs"),
         "gtfs_first_in_transit_dt", "gtfs_last_in_transit_dt", "gtfs_arrival_dt", "gtfs_departure_dt", "start_time",

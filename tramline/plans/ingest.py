@@ -50,7 +50,7 @@ def ingest_feed(
         stored = conform(stored, new.schema).join(days, list(DAY), "left_semi")
     _, part = FLATTEN[feed]
     merged = cut_lineage(merge_daily_feed(stored, new, payload), f"merged-{feed.lower()}")
-    write_partitioned(merged, table, DAY, sort=[part], files_per_partition=8)
+    write_partitioned(merged, table, DAY, sort=[part])
     if rail_table and feed == "RT_TRIP_UPDATES":
         rail = new.filter(route_filters(F.col(f"`{part}`"))["rail"])
         rail.write.mode("append").partitionBy(*DAY).parquet(rail_table)
@@ -60,7 +60,7 @@ def ingest_feed(
 def backfill(source: DataFrame, table: str, day: str, first: str, last: str, where: Column | None = None) -> None:
     """Rebuild the days of an inclusive range from source rows; other days stay as they are."""
     days = source.filter(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    write_partitioned(days if where is None else days.filter(where), table, [day], files_per_partition=8)
+    write_partitioned(days if where is None else days.filter(where), table, [day])
 
 
 def versioned_tables(tables: dict[str, DataFrame], version: int, base: str, order: Sequence[str] = ("feed_info",)) -> None:

@@ -17,17 +17,15 @@ from tramline.sources.tables import conform, stored_table
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = (), files_per_partition: int = 1, mode: str = "overwrite"
+    df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
     """Parquet by partition columns; only the partitions present in ``df`` are replaced.
 
-    Rows are spread over ``files_per_partition`` tasks per partition value, so
-    a value with very many rows is not written by one task, and sorted inside
-    each file to compress well.
+    The rebalance hint brings the rows of a value together but splits values
+    that are too large for one task, and joins small ones; rows are sorted
+    inside each file to compress well.
     """
-    parts = [F.col(c) for c in by]
-    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(files_per_partition))
-    laid_out = cluster_sort(df.repartition(*parts, salt), [*by, *sort])
+    laid_out = cluster_sort(df.hint("rebalance", *[F.col(quoted(c)) for c in by]), [*by, *sort])
     laid_out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 

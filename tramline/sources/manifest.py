@@ -65,8 +65,8 @@ def grouped_and_sorted(manifest: DataFrame, tie: Sequence[str] = ()) -> DataFram
         F.regexp_extract(name, r"^[^_]*_(.*)$", 1).alias("file_type"),
         F.substring(name, 1, 20).alias("stamp"),
     )
-    hour = F.translate(F.substring("stamp", 1, 13), "-T", "").try_cast("long")
-    return ordered(named, ["file_type"], [hour, F.col("stamp"), F.col("path"), *[F.col(c) for c in tie]], hour, position=row_number())
+    minute = F.translate(F.substring("stamp", 1, 16), "-T:", "").try_cast("long")
+    return ordered(named, ["file_type"], [minute, F.col("stamp"), F.col("path"), *[F.col(c) for c in tie]], minute, position=row_number())
 
 
 def partition_time(path: Column) -> Column:

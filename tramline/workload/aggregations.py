@@ -30,7 +30,7 @@ SELECT strftime(service_date, '%Y-%m-%d') AS service_date, trip_id, vehicle_labe
 FROM bus_events
 """)
 def positions_to_events(t):
-    found = events.positions_to_events(filters.fold_incoming(positions(t)), hours_per_stretch=24)
+    found = events.positions_to_events(filters.fold_incoming(positions(t)), stretch_seconds=60)
     return found.select(
         text(F.col("service_date")).alias("service_date"),
         "trip_id",

@@ -125,7 +125,7 @@ def _joined(t):
     gtfs, tm = _schedules(t)
     schedule = cut_lineage(bus.combined_schedule(gtfs, tm), "combined")
     p = positions(t)
-    found = events.positions_to_events(filters.fold_incoming(p), hours_per_stretch=24)
+    found = events.positions_to_events(filters.fold_incoming(p), stretch_seconds=60)
     seen = V.valid(cut_lineage(found, "rt"), V.first_stop_has_departure())
     stripped = F.regexp_replace(F.regexp_replace("trip_id", r"-OL\d?", ""), r"_\d", "")
     logged = (

@@ -263,7 +263,7 @@ SELECT event_id, start_time, static_trip_id, static_start_time FROM nearest
 """)
 def asof_nearest(t):
     rt, st = _asof_sides(t)
-    found = joins.asof_nearest(rt, st, ["route_id", "direction_id"], "start_time", "static_start_time", "static_trip_id", 86400)
+    found = joins.asof_nearest(rt, st, ["route_id", "direction_id"], "start_time", "static_start_time", "static_trip_id", 60)
     return found.select("event_id", "start_time", "static_trip_id", "static_start_time")
 
 
@@ -275,7 +275,7 @@ SELECT event_id, CASE WHEN abs(start_time - static_start_time) <= 3600 THEN stat
 def asof_investigate(t):
     rt, st = _asof_sides(t)
     found = joins.asof_nearest(
-        rt, st, ["route_id", "direction_id"], "start_time", "static_start_time", "static_trip_id", 86400, tolerance=3600
+        rt, st, ["route_id", "direction_id"], "start_time", "static_start_time", "static_trip_id", 60, tolerance=3600
     )
     return found.select("event_id", "static_trip_id", (F.col("start_time") - F.col("static_start_time")).alias("diff"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tramline.functions import nested, times
 from tramline.operators import calendar, changes, events, filters, groups, joins
+from tramline.operators.scan import time_stretch
 from tramline.operators.validate import in_range, not_null, quarantined
 from tramline.session import scratch_path
 from tramline.sinks import catalog, tables as sinks
@@ -369,7 +370,7 @@ SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS BIGINT) AS year FROM ord
 def write_partitioned(t):
     path = scratch_path(t.spark, "orders")
     rows = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
-    sinks.write_partitioned(rows, path, ["year"], sort=["o_custkey"], files_per_partition=4)
+    sinks.write_partitioned(rows, path, ["year"], sort=["o_custkey"])
     return t.spark.read.parquet(path).select("o_orderkey", "o_custkey", F.col("year").cast("long"))
 
 
@@ -726,14 +727,12 @@ SELECT event_id, stop_sequence FROM (SELECT event_id, stop_sequence, min(stop_se
   ORDER BY vehicle_timestamp, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lowest FROM positions) WHERE stop_sequence <= lowest
 """)
 def sequence_monotone_filter(t):
-    from tramline.operators.scan import hours
-
     kept = events.drop_out_of_order(
         positions(t),
         ["service_date", "trip_id", "vehicle_label"],
         "stop_sequence",
         [F.col("vehicle_timestamp"), F.col("event_id")],
-        hours(F.col("vehicle_timestamp"), 24),
+        time_stretch(F.col("vehicle_timestamp"), 60),
     )
     return kept.select("event_id", "stop_sequence")
 

@@ -164,3 +164,36 @@ def public_operator_id(t):
     return ids.select(text(F.col("service_date")).alias("service_date"), F.col("tm_trip_id").alias("trip"), "public_operator_id")
 
 
+
+
+@query(f"""
+WITH {RAIL_EVENTS}, e AS (SELECT *, stop_sequence = max(stop_sequence) OVER (PARTITION BY service_date, pm_trip_id) AS at_end FROM rail_events)
+SELECT service_date, pm_trip_id, stop_sequence FROM e WHERE NOT (at_end AND vp_move_timestamp IS NOT NULL AND vp_stop_timestamp IS NULL)
+""")
+def final_stop_has_arrival(t):
+    e = with_group_values(rail_events(t), _TRIP, _last=F.max("stop_sequence")).withColumns(
+        {
+            "point_type": F.when(F.col("stop_sequence") == F.col("_last"), "end"),
+            "gtfs_last_in_transit_dt": F.col("vp_move_timestamp"),
+            "gtfs_arrival_dt": F.col("vp_stop_timestamp"),
+        }
+    )
+    return V.valid(e, V.final_stop_has_arrival()).select(*_TRIP, "stop_sequence")
+
+
+@query(f"""
+WITH {RAIL_EVENTS}, e AS (SELECT *, lag(tu_stop_timestamp) OVER (PARTITION BY service_date, pm_trip_id ORDER BY stop_sequence) AS prev FROM rail_events)
+SELECT service_date, pm_trip_id, stop_sequence FROM e WHERE coalesce(tu_stop_timestamp >= prev, true)
+""")
+def monotonic_tm_sequence(t):
+    e = V.with_previous(rail_events(t), _TRIP, ["stop_sequence"], ["tu_stop_timestamp"])
+    return V.valid(e, V.not_before_previous("tu_stop_timestamp")).select(*_TRIP, "stop_sequence")
+
+
+@query(f"""
+WITH {RAIL_EVENTS}
+SELECT service_date, pm_trip_id, stop_sequence FROM rail_events WHERE coalesce(vp_move_timestamp <= vp_stop_timestamp, true)
+""")
+def departure_after_arrival(t):
+    rules = V.departure_after_arrival("vp_move_timestamp", "vp_stop_timestamp")
+    return V.valid(rail_events(t), rules).select(*_TRIP, "stop_sequence")

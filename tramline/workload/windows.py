@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tramline.operators import aggregates, metrics
 from tramline.operators.events import drop_out_of_order
 from tramline.operators.groups import with_group_values
-from tramline.operators.scan import hours
+from tramline.operators.scan import fine_stretch, stretch, time_stretch
 from tramline.session import cut_lineage
 from tramline.workload.registry import query
 from tramline.workload.standins import POSITIONS, RAIL_EVENTS, STOP_TIMES, TRIPS, positions, rail_events, stop_times, text, trips
@@ -15,13 +15,23 @@ from tramline.workload.standins import POSITIONS, RAIL_EVENTS, STOP_TIMES, TRIPS
 _TRIP = ["service_date", "pm_trip_id"]
 
 
+def _by_part():
+    """Line numbers repeat within an order without bound: each is cut by part."""
+    return fine_stretch(F.col("stop_sequence"), F.col("part"), 50_000)
+
+
+def _by_trip():
+    """Planned seconds repeat across days and lines: each is cut by trip."""
+    return fine_stretch(F.col("departure_seconds"), F.col("trip_id"), 1_000_000)
+
+
 @query(f"""
 WITH {STOP_TIMES}
 SELECT trip_id, stop_sequence, part, stop_id, arrival_seconds - lag(departure_seconds) OVER (PARTITION BY trip_id ORDER BY stop_sequence, part, stop_id, departure_seconds) AS plan_travel_time_seconds
 FROM stop_times
 """)
 def plan_travel_time(t):
-    timed = metrics.plan_travel_time(stop_times(t), ["trip_id"], "stop_sequence", ["part", "stop_id", "departure_seconds"])
+    timed = metrics.plan_travel_time(stop_times(t), ["trip_id"], "stop_sequence", ["part", "stop_id", "departure_seconds"], _by_part())
     return timed.select("trip_id", "stop_sequence", "part", "stop_id", "plan_travel_time_seconds")
 
 
@@ -36,13 +46,14 @@ def _planned(t):
 _TIE = ["trip_id", "stop_sequence", "part"]
 
 
+
 @query(f"""
 WITH {_PLANNED_SQL}
 SELECT trip_id, stop_sequence, part, stop_id, departure_seconds - lag(departure_seconds) OVER (PARTITION BY stop_id, direction_id, route_id ORDER BY departure_seconds, trip_id, stop_sequence, part) AS headway
 FROM planned
 """)
 def plan_headway_route(t):
-    found = metrics.headway(_planned(t), ["stop_id", "direction_id", "route_id"], F.col("departure_seconds"), "headway", _TIE, width=60)
+    found = metrics.headway(_planned(t), ["stop_id", "direction_id", "route_id"], F.col("departure_seconds"), "headway", _TIE, split=_by_trip())
     return found.select("trip_id", "stop_sequence", "part", "stop_id", "headway")
 
 
@@ -52,7 +63,7 @@ SELECT trip_id, stop_sequence, part, stop_id, departure_seconds - lag(departure_
 FROM planned
 """)
 def plan_headway_destination(t):
-    found = metrics.headway(_planned(t), ["stop_id", "service_id"], F.col("departure_seconds"), "headway", _TIE, width=60)
+    found = metrics.headway(_planned(t), ["stop_id", "service_id"], F.col("departure_seconds"), "headway", _TIE, split=_by_trip())
     return found.select("trip_id", "stop_sequence", "part", "stop_id", "headway")
 
 
@@ -77,7 +88,7 @@ SELECT trip_id, stop_sequence, part, departure_seconds - lag(departure_seconds)
 def plan_headway_branch(t):
     on_line = _lines(t).filter(F.col("branch_route_id").isNotNull())
     keys = ["parent_station", "service_id", "direction_id", "branch_route_id"]
-    return metrics.headway(on_line, keys, F.col("departure_seconds"), "headway", _TIE, width=60).select(
+    return metrics.headway(on_line, keys, F.col("departure_seconds"), "headway", _TIE, split=_by_trip()).select(
         "trip_id", "stop_sequence", "part", "headway"
     )
 
@@ -89,7 +100,7 @@ SELECT trip_id, stop_sequence, part, departure_seconds - lag(departure_seconds)
 """)
 def plan_headway_trunk(t):
     keys = ["parent_station", "service_id", "direction_id", "trunk_route_id"]
-    return metrics.headway(_lines(t), keys, F.col("departure_seconds"), "headway", _TIE, width=60).select(
+    return metrics.headway(_lines(t), keys, F.col("departure_seconds"), "headway", _TIE, split=_by_trip()).select(
         "trip_id", "stop_sequence", "part", "headway"
     )
 
@@ -163,7 +174,7 @@ WITH {RAIL_EVENTS}, r AS (SELECT *, row_number() OVER (PARTITION BY service_date
 SELECT service_date, pm_trip_id, stop_sequence, CASE WHEN seq = 1 THEN 'start' WHEN seq = max(seq) OVER (PARTITION BY service_date, pm_trip_id) THEN 'end' WHEN tu_stop_timestamp IS NOT NULL THEN 'mid' END AS point_type FROM r
 """)
 def point_type(t):
-    ranked = metrics.numbered(rail_events(t), _TRIP, [F.col("stop_sequence")], F.lit(0).cast("long") + F.floor(F.col("stop_sequence") / 4), "seq")
+    ranked = metrics.numbered(rail_events(t), _TRIP, [F.col("stop_sequence")], stretch(F.col("stop_sequence"), 4), "seq")
     pointed = metrics.point_type(ranked, _TRIP, "seq", F.col("tu_stop_timestamp").isNotNull())
     return pointed.select(*_TRIP, "stop_sequence", "point_type")
 
@@ -329,7 +340,7 @@ WITH {STOP_TIMES}
 SELECT trip_id, stop_sequence, part, stop_id, lead(stop_sequence) OVER (PARTITION BY trip_id ORDER BY stop_sequence, part, stop_id) - stop_sequence AS sequence_diff FROM stop_times
 """)
 def sequence_diff_check(t):
-    gaps = metrics.sequence_gaps(stop_times(t), ["trip_id"], "stop_sequence", ["part", "stop_id"])
+    gaps = metrics.sequence_gaps(stop_times(t), ["trip_id"], "stop_sequence", ["part", "stop_id"], _by_part())
     return gaps.select("trip_id", "stop_sequence", "part", "stop_id", "sequence_diff")
 
 
@@ -363,7 +374,7 @@ def stop_event_metrics(t):
     trip = ["service_date", "user_id"]
     p = positions(t).select(*trip, "stop_sequence", "event_id", "vehicle_timestamp", "epoch", "current_status")
     kept = drop_out_of_order(
-        p, trip, "stop_sequence", [F.col("vehicle_timestamp"), F.col("event_id")], hours(F.col("vehicle_timestamp"), 24)
+        p, trip, "stop_sequence", [F.col("vehicle_timestamp"), F.col("event_id")], time_stretch(F.col("vehicle_timestamp"), 60)
     )
     stopped = F.col("current_status") == "STOPPED_AT"
     stops = kept.groupBy(*trip, "stop_sequence").agg(
