@@ -7,20 +7,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import SparkSession  # noqa: E402
-
-from tramline.session import prepare  # noqa: E402
+from tramline.session import new_session, prepare  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
+    session = new_session(
+        "local[4]", spark_sql_shuffle_partitions="4", spark_driver_memory="8g", spark_ui_enabled="false"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield prepare(session)

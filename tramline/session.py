@@ -20,6 +20,22 @@ RUNTIME = {
 }
 
 
+# Settings that only a new session takes.
+STARTUP = {
+    # without it every Python column call also records its call site in the JVM
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+
+def new_session(master: str, app: str = "tramline", **settings: str) -> SparkSession:
+    """A session with all settings of this module; ``settings`` use ``_`` for ``.``."""
+    builder = SparkSession.builder.master(master).appName(app)
+    for key, value in {**STARTUP, **RUNTIME, **{k.replace("_", "."): v for k, v in settings.items()}}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session."""
     for key, value in RUNTIME.items():

@@ -82,7 +82,7 @@ def _schedules(t):
         )
         .distinct()
     )
-    return gtfs, tm
+    return cut_lineage(gtfs, "gtfs-schedule"), cut_lineage(tm, "tm-schedule")
 
 
 @query(f"""
