@@ -283,7 +283,7 @@ SELECT o_orderkey AS id, 'about ' || o_orderpriority AS header, 'detail' AS caus
   epoch_us(o_orderdate) // 1000000 AS period_start, r AS route_id, 'BOARD|RIDE' AS activities FROM fresh, (SELECT unnest(['1', '2']) AS r) WHERE o_orderstatus <> 'P'
 UNION ALL SELECT o_orderkey, 'about ' || o_orderpriority, 'detail', strftime(timezone('America/New_York', timezone('UTC', o_orderdate)), '%Y-%m-%d %H:%M:%S'), NULL, NULL, NULL FROM fresh WHERE o_orderstatus = 'P'
 """)
-def alerts_pipeline(t):
+def alerts_job(t):
     at = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     said = F.struct(F.array(F.struct(F.lit("es").alias("language"), F.lit("x").alias("text")),
                             F.struct(F.lit("en").alias("language"), F.concat(F.lit("about "), "o_orderpriority").alias("text"))).alias("translation"))
