@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tramline
 from tramline.session import cut_lineage
 from tramline.session import prepare as prepare_session
 
@@ -19,7 +23,25 @@ ARROW = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package once per application, for the functions that run there."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(tramline.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="tramline-code-")) / "tramline-code.zip"  # Spark sends it from the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
+    ship_package(spark)
     prepare_session(spark)
     for key, value in ARROW.items():
         spark.conf.set(key, value)

@@ -7,8 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe
-from tramline.llm.common import table
+from tramline.llm import bpe, decontaminate, quality
+from tramline.llm.common import crc_mod, table
+
+
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = crc_mod("doc_id", 5)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), usable=fold != 0)
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +24,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.scan_documents(docs, items))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_byte_bpe,)
+    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate)
 }
 SQL: dict[str, str] = {}
