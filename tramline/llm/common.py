@@ -92,7 +92,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Size of the files under a DataFrame, as Spark's optimizer estimates it."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def shards(df: DataFrame, per_shard: int, least: int = 16) -> int:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe, decontaminate, quality
+from tramline.llm import bpe, decontaminate, quality, repair, separators
 from tramline.llm.common import crc_mod, table
 
 
@@ -29,7 +29,19 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan_documents(docs, items))
 
 
+def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    end_of_text = 49407
+    return separators.document_counts(docs, public_tokenizers.path("word_bpe_49k.json"), end_of_text)
+
+
+def op9_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    parts, first = repair.write_token_file(docs, public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return repair.read_documents(parts, first)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate)
+    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op7_separator_scan, op9_repair_tokens)
 }
 SQL: dict[str, str] = {}
