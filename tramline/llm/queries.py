@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe, decontaminate, quality, repair, separators
+from tramline.llm import bpe, decontaminate, quality, repair, separators, topk
 from tramline.llm.common import crc_mod, table
 
 
@@ -41,7 +41,11 @@ def op9_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(parts, first)
 
 
+def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op7_separator_scan, op9_repair_tokens)
+    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op7_separator_scan, op9_repair_tokens, op10_norm_buckets)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_norm_buckets": topk.SQL}
