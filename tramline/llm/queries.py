@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe, decontaminate, pages, quality, repair, separators, topk
+from tramline.llm import bpe, decontaminate, pages, quality, repair, separators, suffixes, topk
 from tramline.llm.common import crc_mod, table
 
 
@@ -29,6 +29,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan_documents(docs, items))
 
 
+def op5_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op6_dom_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "pages")
     return pages.extract(found, pages.fit(found))
@@ -51,6 +55,6 @@ def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op6_dom_field, op7_separator_scan, op9_repair_tokens, op10_norm_buckets)
+    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op5_induced_suffixes, op6_dom_field, op7_separator_scan, op9_repair_tokens, op10_norm_buckets)
 }
 SQL: dict[str, str] = {"op10_norm_buckets": topk.SQL}
