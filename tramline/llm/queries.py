@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe, decontaminate, pages, quality, repair, separators, suffixes, topk
+from tramline.llm import bpe, decontaminate, pages, quality, repair, separators, signatures, suffixes, topk
 from tramline.llm.common import crc_mod, table
 
 
@@ -44,6 +44,10 @@ def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.document_counts(docs, public_tokenizers.path("word_bpe_49k.json"), end_of_text)
 
 
+def op8_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signatures.similar_sets(table(spark, sf_dir, "documents"))
+
+
 def op9_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     parts, first = repair.write_token_file(docs, public_tokenizers.path("word_bpe_49k.json"), end=1)
@@ -55,6 +59,6 @@ def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op5_induced_suffixes, op6_dom_field, op7_separator_scan, op9_repair_tokens, op10_norm_buckets)
+    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op5_induced_suffixes, op6_dom_field, op7_separator_scan, op8_signature_trees, op9_repair_tokens, op10_norm_buckets)
 }
 SQL: dict[str, str] = {"op10_norm_buckets": topk.SQL}
