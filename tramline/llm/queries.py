@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm import bpe, decontaminate, pages, quality, repair, separators, signatures, suffixes, topk
+from tramline.llm import bpe, decontaminate, pages, paragraphs, quality, repair, separators, signatures, suffixes, topk
 from tramline.llm.common import crc_mod, table
 
 
+def op1_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.digest(paragraphs.remove_paragraphs(table(spark, sf_dir, "documents")))
+
+
 def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = crc_mod("doc_id", 5)
@@ -41,7 +45,8 @@ def op6_dom_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     end_of_text = 49407
-    return separators.document_counts(docs, public_tokenizers.path("word_bpe_49k.json"), end_of_text)
+    counted = separators.document_counts(docs, public_tokenizers.path("word_bpe_49k.json"), end_of_text)
+    return counted.select("doc_id", "n_tokens")  # where a document starts depends on how the files were dealt
 
 
 def op8_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +64,18 @@ def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_compression_quality, op3_byte_bpe, op4_decontaminate, op5_induced_suffixes, op6_dom_field, op7_separator_scan, op8_signature_trees, op9_repair_tokens, op10_norm_buckets)
+    f.__name__: f
+    for f in (
+        op1_paragraph_minhash,
+        op2_compression_quality,
+        op3_byte_bpe,
+        op4_decontaminate,
+        op5_induced_suffixes,
+        op6_dom_field,
+        op7_separator_scan,
+        op8_signature_trees,
+        op9_repair_tokens,
+        op10_norm_buckets,
+    )
 }
 SQL: dict[str, str] = {"op10_norm_buckets": topk.SQL}

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import arrow_rows, input_bytes, stage
-from tramline.llm.repair import encoded
+from tramline.llm.common import arrow_rows, stage
+from tramline.llm.wordids import WordIds
 
 BLOCK = 1 << 19  # tokens of a block
 
@@ -39,41 +40,44 @@ def flat_blocks(found: Iterator[tuple], width: int, block: int) -> Iterator[tupl
 
 
 def write_flat(
-    docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str = "text", shard_bytes: int = 8 << 20
+    docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, DataFrame, int]:
-    """Flat token file of all texts in ascending order of the key; the keys in that order; bytes per id.
+    """Flat token files of all texts, one for each task that reads them; the keys in their order; bytes per id.
 
-    The end id must not be an id of any text. Null and empty texts are a lone end id. Null keys come first.
+    Texts stay in the order they are read in, so nothing is shuffled. The end id must not be an id of any text. Null
+    and empty texts are a lone end id.
     """
-    count = max(24, -(-input_bytes(docs.select(key, text)) // shard_bytes))
-    ids, _, width = encoded(docs, tokenizer, end, key, text, count)
+    with open(tokenizer, encoding="utf-8") as file:
+        content = file.read()
+    width = WordIds(content).dtype.itemsize
+    sent = docs.sparkSession.sparkContext.broadcast(content)  # as large as the vocabulary, whatever the input
     kind = docs.schema[key].dataType.simpleString()
-    dealt = ids.repartition(count, "shard").sortWithinPartitions("shard", F.col(key).asc_nulls_first(), "ids")
 
     def rows(found):
-        listed: list[tuple] = []  # lists of keys, which leave between the blocks: the ids are sorted once
+        words = WordIds(sent.value)
+        last = np.array([end], words.dtype).tobytes()
+        shard = TaskContext.get().partitionId()
+        listed: list[tuple] = []  # lists of keys, which leave between the blocks
 
         def noted():
-            shard, first, keys = None, 0, []
-            for own, name, tokens in found:
-                if keys and (own != shard or len(keys) == 10_000):
+            first, keys = 0, []
+            for (name,), ids in words.encode_all(found):
+                if len(keys) == 10_000:
                     listed.append((shard, None, None, first, keys))
                     first, keys = first + len(keys), []
-                if own != shard:
-                    shard, first = own, 0
                 keys.append(name)
-                yield own, name, tokens
+                yield shard, name, ids + last
             if keys:
                 listed.append((shard, None, None, first, keys))
 
-        for shard, number, tokens in flat_blocks(noted(), width, BLOCK):
-            yield shard, number, tokens, None, None
+        for own, number, tokens in flat_blocks(noted(), width, BLOCK):
+            yield own, number, tokens, None, None
             yield from listed
             listed.clear()
         yield from listed
 
     both = stage(
-        arrow_rows(dealt, rows, f"shard int, block int, tokens binary, first long, keys array<{kind}>"), "flat"
+        arrow_rows(docs.select(key, text), rows, f"shard int, block int, tokens binary, first long, keys array<{kind}>"), "flat"
     )
     names = both.where("keys is not null").select(
         "shard", "first", F.posexplode("keys").alias("_place", key)
@@ -142,6 +146,6 @@ def count_tokens(blocks: DataFrame, end: int, width: int) -> DataFrame:
 
 
 def document_counts(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Write the flat file, scan it, and give ``key, start, n_tokens`` per document."""
+    """Write the flat files, scan them, and give ``key, start, n_tokens`` per document."""
     blocks, names, width = write_flat(docs, tokenizer, end, key, text)
     return count_tokens(blocks, end, width).join(names, ["shard", "place"]).select(key, "start", "n_tokens")

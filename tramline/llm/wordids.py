@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE = 1_000_000  # words a worker remembers at most; then it starts anew
+CACHE = 500_000  # words a worker remembers at most; then it starts anew
 TOGETHER = 2_000_000  # bytes of text whose new words are looked up in one call
 STOPS = (b".", b",", b";", b":", b"!", b"?")
 
