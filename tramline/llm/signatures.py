@@ -383,17 +383,8 @@ def _verified(at: DataFrame, leaves: DataFrame) -> DataFrame:
     return arrow_rows(met.select("a_sets", "b_sets"), rows, "a binary, b binary")
 
 
-def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id`` of every row.
-
-    Sets hold the distinct 5-word shingles, or all words of a shorter text as one; two rows link when their sets'
-    Jaccard similarity is 0.75 or more; the component is the smallest key reachable by links, itself included. Equal
-    sets, of repeated rows or not, are one. Null and empty texts, and texts of white space, have no shingles and link
-    with nothing: they are their own component. Rows with a null key keep it and link like others; a component whose
-    keys are all null has none.
-    """
-    own = docs.select(F.col(key), F.col(text))
-    packed, size = pack(own, text)
+def _components(packed: DataFrame, size: int, key: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """All rows as ``block, at, key, n_shingles, id``; and ``id, component`` of the sets that link."""
     shards = shard_count(size, 12)
     parts = max(24, size >> 25)
     given = None
@@ -401,15 +392,19 @@ def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         given = ask(packed, given, level, WORDS, shards, lambda d, s, g: _Shingled(d, s, g, shards).level)
 
     def described(found):
-        for sizes, rest, data in found:
-            at = 0
-            for values, n in zip(rest, np.frombuffer(sizes, np.int64).tolist(), strict=True):
-                one = shingles(bytes(data[at : at + n]))
-                at += n
-                yield values[key], len(one), hashlib.md5(one.tobytes()).digest()
-
-    kind = docs.schema[key].dataType.simpleString()
-    rows_ = stage(arrow_rows(packed.select("sizes", "rest", "data"), described, f"{key} {kind}, n_shingles long, id binary"), "sets")
+        for block, sizes, rest, data in found:
+            start = 0
+            for at, (values, n) in enumerate(zip(rest, np.frombuffer(sizes, np.int64).tolist(), strict=True)):
+                one = shingles(bytes(data[start : start + n]))
+                start += n
+                yield block, at, values[key], len(one), hashlib.md5(one.tobytes()).digest()
+
+    described_ = arrow_rows(
+        packed.select("block", "sizes", "rest", "data"),
+        described,
+        f"block long, at int, {key} {kind}, n_shingles long, id binary",
+    )
+    rows_ = stage(described_, "sets")
 
     def left(found):
         for sizes, data, answers in found:
@@ -427,6 +422,20 @@ def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         more = _tree_links(apart, count)
         if not more.isEmpty():
             comps = connected_components(links.unionByName(more))
+    return rows_, comps
+
+
+def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_shingles, component_id`` of every row.
+
+    Sets hold the distinct 5-word shingles, or all words of a shorter text as one; two rows link when their sets'
+    Jaccard similarity is 0.75 or more; the component is the smallest key reachable by links, itself included. Equal
+    sets, of repeated rows or not, are one. Null and empty texts, and texts of white space, have no shingles and link
+    with nothing: they are their own component. Rows with a null key keep it and link like others; a component whose
+    keys are all null has none.
+    """
+    packed, size = pack(docs.select(key, text), text)
+    rows_, comps = _components(packed, size, key, docs.schema[key].dataType.simpleString())
     # the smallest key of each set, of each component, and back
     least = rows_.where("n_shingles > 0").groupBy("id").agg(F.min(key).alias("_least"))
     least = least.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -437,6 +446,34 @@ def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return found.select(key, "n_shingles", smallest.alias("component_id"))
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, all columns: the one with the smallest key, of equal keys the first one read.
+
+    Null keys come last. Rows without shingles link with nothing and all stay.
+    """
+    packed, size = pack(docs, text)
+    rows_, comps = _components(packed, size, key, docs.schema[key].dataType.simpleString())
+    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key), "block", "at"))
+    sets = rows_.where("n_shingles > 0").groupBy("id").agg(first.alias("first"))
+    sets = sets.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    stays = sets.groupBy("component").agg(F.min("first").alias("first")).select("first.block", "first.at")
+    stays = stays.unionByName(rows_.where("n_shingles = 0").select("block", "at"))
+    stays = stays.groupBy("block").agg(F.collect_list("at").alias("places"))
+    names, at_text = docs.columns, docs.columns.index(text)
+
+    def rows(found):
+        for sizes, rest, data, places in found:
+            wanted, start = set(places), 0
+            for at, (values, n) in enumerate(zip(rest, np.frombuffer(sizes, np.int64).tolist(), strict=True)):
+                if at in wanted:
+                    own = bytes(data[start : start + n]).decode()
+                    yield tuple(own if i == at_text else values[c] for i, c in enumerate(names))
+                start += n
+
+    joined = packed.join(stays.hint("shuffle_hash"), "block").select("sizes", "rest", "data", "places")
+    return arrow_rows(joined, rows, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
 def brute_force(documents: list[tuple]) -> list[tuple]:
     """The same rows from all pairs: for tests."""
     sets = []

@@ -191,6 +191,28 @@ def _full(given: dict) -> dict:
     return {level: given.get(level, {}) for level in (1, 2, 3, 4)}
 
 
+def without_repeats(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
+    """The rows of ``docs``, all columns, with what :func:`remove_repeats` leaves of the text.
+
+    A character that is cut by an edge of a removed run goes as a whole. Where ``docs`` has a column ``chars``, it
+    becomes the new text's number of characters.
+    """
+    removed = remove_repeats(docs, text)
+    names = docs.columns
+    rest = [c for c in names if c != text]
+
+    def rows(found):
+        for *values, kept in found:
+            left = bytes(kept).decode("utf-8", "ignore")
+            own = dict(zip(rest, values, strict=True)) | {text: left}
+            if chars in own:
+                own[chars] = len(left)
+            yield tuple(own[c] for c in names)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return arrow_rows(removed.select(*[f"`{c}`" for c in rest], "kept"), rows, schema)
+
+
 def digest(removed: DataFrame, key: str = "doc_id") -> DataFrame:
     return removed.select(key, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
