@@ -90,14 +90,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, f"llm-{name}")
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the files under a DataFrame, as Spark's optimizer estimates it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+UNKNOWN = 1 << 56  # Spark's estimate for rows that come from no file is far above
 
 
-def shards(df: DataFrame, per_shard: int, least: int = 16) -> int:
-    """How many shards to deal work into: in proportion to the input, never one."""
-    return max(least, -(-input_bytes(df) // per_shard))
+def shards(df: DataFrame, per_shard: int, least: int = 24, most: int = 100_000) -> int:
+    """How many shards to deal work into: in proportion to the input's size as Spark estimates it, where it can."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(most, max(least, -(-size // per_shard))) if size < UNKNOWN else least
 
 
 def blob(values: np.ndarray) -> bytes:

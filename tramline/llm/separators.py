@@ -109,10 +109,10 @@ def count_tokens(blocks: DataFrame, end: int, width: int) -> DataFrame:
         (F.lead("block").over(within).isNull()).alias("_last"),
     )
     seen = seen.withColumn(
-        "_open", F.coalesce(F.max(F.col("_before") + F.element_at("_at", -1)).over(earlier) + 1, F.lit(0))
+        "_open", F.coalesce(F.max(F.col("_before") + F.get("_at", F.size("_at") - 1)).over(earlier) + 1, F.lit(0))
     )
     # what stands behind a shard's last separator ends with the shard
-    closed = F.when(F.size("_at") > 0, F.element_at("_at", -1) + 1).otherwise(F.col("_open") - F.col("_before"))
+    closed = F.when(F.size("_at") > 0, F.get("_at", F.size("_at") - 1) + 1).otherwise(F.col("_open") - F.col("_before"))
     rest = F.col("_last") & (closed < F.col("_n"))
     stops = F.when(rest, F.concat("_at", F.array(F.col("_n").cast("int")))).otherwise(F.col("_at"))
     shards = blocks.select("shard", (F.length("tokens") / width).cast("long").alias("_n")).groupBy("shard").agg(
