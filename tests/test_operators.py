@@ -191,3 +191,54 @@ def test_long_trips_continue_in_further_documents(spark):
     assert sorted((r.part, [e.seq for e in r.stop_events]) for r in docs.collect()) == [
         (0, list(range(10))), (1, list(range(10, 20))), (2, list(range(20, 25))),
     ]
+
+
+def test_feed_merge_cuts_each_day_by_itself(spark):
+    from tramline.sinks.tables import merge_daily_feed
+
+    schema = "day int, k string, feed_timestamp long"
+    stored = spark.createDataFrame([(1, "a", 100), (1, "b", 9000), (2, "a", 90000), (2, "a", 99000), (3, "a", 1), (3, "a", 2)], schema)
+    new = spark.createDataFrame([(1, "b", 9100), (2, "a", 99500)], schema)
+    day = [F.col("day")]
+    merged = merge_daily_feed(stored, new, ["day", "k"], day)
+    assert sorted(map(tuple, merged.select("day", "k", "feed_timestamp").collect())) == [
+        (1, "a", 100), (1, "b", 9000), (2, "a", 90000), (2, "a", 99000), (3, "a", 1), (3, "a", 2),
+    ]
+    assert merge_daily_feed(stored, new.limit(0), ["day", "k"], day).count() == stored.count()
+
+
+def test_nothing_stored_takes_everything(spark):
+    from tramline.operators.changes import replace_recent
+    from tramline.sources.manifest import schedules_to_process
+
+    rows = spark.sql("SELECT 1 AS id, DATE'2024-01-01' AS d")
+    assert replace_recent(rows.limit(0), rows, "d").count() == 1
+    index = spark.sql("SELECT 20180105L AS published_date, 20180101L AS feed_start_date, 'v' AS feed_version")
+    assert schedules_to_process(index, index.limit(0), 2018).count() == 1
+
+
+def test_repeated_keys_of_a_batch_become_one_event(spark):
+    schema = "k string, stop_sequence int, vp_move_timestamp long, vp_stop_timestamp long, tu_stop_timestamp long"
+    stored = spark.createDataFrame([("a", 1, 50, None, None)], schema)
+    batch = spark.createDataFrame([("a", 2, 40, None, 7), ("a", 3, None, 60, 9), ("b", 5, None, None, 4), ("b", 5, None, None, 4)], schema)
+    found = events.upsert_events(stored, batch, ["k"])
+    assert sorted(map(tuple, found.collect())) == [("a", 2, 40, 60, 9), ("b", 5, None, None, 4)]
+
+
+def test_ids_keep_all_digits(spark):
+    from tramline.functions.texts import dated_id
+
+    found = spark.sql("SELECT DATE'2024-01-01' AS d, explode(array(7, 10000, 100000)) AS n").select(dated_id(F.col("d"), F.col("n")))
+    assert [r[0] for r in found.collect()] == [2024010100007, 2024010110000, 20240101100000]
+
+
+def test_backfill_removes_days_that_are_left_empty(spark):
+    from tramline.plans.ingest import backfill
+    from tramline.session import scratch_path
+    from tramline.sinks.tables import write_partitioned
+
+    rows = spark.sql("SELECT n, date_add(DATE'2024-01-01', n) AS day FROM (SELECT explode(sequence(0, 3)) AS n)")
+    path = scratch_path(spark, "days")
+    write_partitioned(rows, path, ["day"])
+    backfill(rows, path, "day", "2024-01-01", "2024-01-02", F.col("n") != 1)
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == [0, 2, 3]

@@ -57,6 +57,21 @@ def test_stop_event_stream_equals_replayed_batches(spark):
     assert sinks.read_snapshot(spark, published, se.STATE).count() == 3
 
 
+def test_stop_event_state_does_not_depend_on_batches(spark):
+    found = []
+    for per_batch in (1, None):
+        folder = tempfile.mkdtemp(prefix="docs-")
+        for i, doc in enumerate(DOCS):
+            with open(os.path.join(folder, f"{i}.json"), "w") as f:
+                f.write(doc)
+            os.utime(os.path.join(folder, f"{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+        state = VersionedTable(spark, scratch_path(spark, "state"), se.STATE)
+        stream = jobs.document_stream(spark, folder, per_batch)
+        jobs.stop_event_loop(spark, stream, state, scratch_path(spark, "progress")).awaitTermination()
+        found.append(sorted(map(str, state.latest().collect())))
+    assert found[0] == found[1] and len(found[0]) == 3
+
+
 def test_state_survives_a_repeated_batch(spark):
     state = VersionedTable(spark, scratch_path(spark, "state"), se.STATE)
     one = spark.createDataFrame([("i", 1, "d", "r", "t", "v", 1, 0, "s", True, "s", 1, None, 1)], se.STATE)
@@ -141,12 +156,31 @@ def test_shared_folder_is_the_sessions(spark):
                 return "/shared/scratch" if key == "spark.checkpoint.dir" else default
 
     assert shared_folder(Named) == "/shared/scratch"
+
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master = "spark://host:7077"
+            applicationId = "app"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
     assert shared_folder(spark) == shared_folder(spark)
 
 
 def test_every_query_has_sql_and_builds(spark):
-    queries, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) == set(queries) and len(queries) > 150
+    from tramline.workload import load
+
+    own, queries, sql = load(), entry.queries(), entry.oracle_sql()
+    assert set(own) <= set(queries) and set(own) <= set(sql) and len(own) > 150
 
 
 @pytest.mark.parametrize("name", ["stop_event_metrics", "headway_trunk", "asof_nearest", "scd2_merge"])

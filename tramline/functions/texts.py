@@ -42,8 +42,10 @@ def strip_leading_zeros(code: Column) -> Column:
 
 
 def dated_id(date: Column, number: Column) -> Column:
-    """``YYYYMMDD`` followed by a five-digit number, as one long."""
-    return F.concat(F.date_format(date, "yyyyMMdd"), F.lpad(number.cast("string"), 5, "0")).cast("long")
+    """``YYYYMMDD`` followed by a number of five digits or more, as one long; no digit is cut off."""
+    digits = number.cast("string")
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(5)), F.lit("0"))
+    return F.concat(F.date_format(date, "yyyyMMdd"), padded).cast("long")
 
 
 def joined_id(parts: Sequence[Column], separator: str = "-") -> Column:

@@ -72,11 +72,11 @@ def windowed_dedup(rows: DataFrame, new_from: Column | int, payload: Sequence[st
     """Repeats of a payload collapse to the earliest feed time, from ``new_from`` on.
 
     Older rows stay as they are. Equality is on the payload columns themselves,
-    so unequal rows never merge.
+    so unequal rows never merge. A null ``new_from`` leaves a row as it is.
     """
     cut = F.lit(new_from) if isinstance(new_from, int) else new_from
     same = [F.col(quoted(c)) for c in payload]
-    old = rows.filter(F.col(ts) < cut).select(*same, ts)
+    old = rows.filter(cut.isNull() | (F.col(ts) < cut)).select(*same, ts)
     recent = rows.filter(F.col(ts) >= cut).groupBy(*same).agg(F.min(ts).alias(ts))
     return old.unionByName(recent)
 

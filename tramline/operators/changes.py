@@ -118,9 +118,12 @@ def splice(before: DataFrame, after: DataFrame, at: str, cut) -> DataFrame:
 
 
 def replace_recent(stored: DataFrame, requeried: DataFrame, date: str, days_back: int = 1) -> DataFrame:
-    """Stored rows older than ``days_back`` before the newest date, and re-queried rows from there on."""
+    """Stored rows older than ``days_back`` before the newest date, and re-queried rows from there on.
+
+    Nothing stored: all re-queried rows.
+    """
     cut = stored.agg(F.date_sub(F.max(date), days_back)).scalar()
-    return stored.filter(F.col(date) < cut).unionByName(requeried.filter(F.col(date) >= cut))
+    return stored.filter(F.col(date) < cut).unionByName(requeried.filter(cut.isNull() | (F.col(date) >= cut)))
 
 
 def newer_versions(published: DataFrame, source: DataFrame, version: str) -> DataFrame:

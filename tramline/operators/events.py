@@ -122,9 +122,10 @@ def upsert_events(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
 
     Move and stop times take the earliest; a prediction takes the newest. The
     stop (sequence, id) follows whichever row brought an earlier time. New
-    events are inserted.
+    events are inserted. Repeated keys of a batch are made one event first.
     """
     value_cols = [c for c in new.columns if c not in keys]
+    new = one_event_per_key(new, keys)
     s = stored.select(*keys, *[F.col(c).alias(f"s_{c}") for c in value_cols], F.lit(True).alias("_s"))
     n = new.select(*keys, *[F.col(c).alias(f"n_{c}") for c in value_cols], F.lit(True).alias("_n"))
     both = s.join(n, list(keys), "full")
@@ -142,6 +143,23 @@ def upsert_events(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     return both.select(*keys, *[out[c].alias(c) for c in value_cols])
 
 
+def one_event_per_key(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Earliest move and stop, latest prediction; other columns of the row with the earliest time."""
+    times = ("vp_move_timestamp", "vp_stop_timestamp", "tu_stop_timestamp")
+    rest = [c for c in events.columns if c not in keys and c not in times]
+    earliest = F.least("vp_move_timestamp", "vp_stop_timestamp")
+    by_time = F.struct(earliest.isNull(), earliest, *[F.col(c) for c in rest])
+    merged = events.groupBy(*keys).agg(
+        F.min("vp_move_timestamp").alias("vp_move_timestamp"),
+        F.min("vp_stop_timestamp").alias("vp_stop_timestamp"),
+        F.max("tu_stop_timestamp").alias("tu_stop_timestamp"),
+        F.min_by(F.struct(F.lit(True), *[F.col(c) for c in rest]), by_time).alias("_rest"),
+    )
+    return merged.select(
+        *[F.col("_rest").getField(c).alias(c) if c in rest else F.col(c) for c in events.columns]
+    )
+
+
 def change_flags() -> dict[str, Column]:
     """What a new event (``n_``) changes about a stored one (``s_``)."""
 

@@ -328,7 +328,7 @@ def operator_assignment(
 
 
 def public_operator_ids(work: DataFrame, seed: str, date: str = "service_date", trip: str = "tm_trip_id") -> DataFrame:
-    """A public id per date and trip: the date and a five-digit number no other trip of the date has.
+    """A public id per date and trip: the date and a number of five digits or more that no other trip of the date has.
 
     Trips are numbered in the order of a seeded hash: reproducible, without
     repeats, and telling nothing about the operator.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.operators.filters import route_filters
-from tramline.sinks.tables import merge_daily_feed, write_partitioned
+from tramline.sinks.tables import drop_days, merge_daily_feed, write_partitioned
 from tramline.sources import feeds
 from tramline.sources.schedules import with_version
 from tramline.sources.tables import conform, stored_table
@@ -37,7 +37,7 @@ def ingest_feed(
 
     The touched days are read back, merged with the batch without repeats and
     rewritten; other days are not opened. Trip updates also keep a full,
-    undeduplicated copy of their rail rows.
+    undeduplicated copy of their rail rows, rewritten for the touched days.
     """
     rows, bad = feed_rows(documents, feed)
     new = cut_lineage(rows, f"new-{feed.lower()}")
@@ -49,18 +49,27 @@ def ingest_feed(
     else:
         stored = conform(stored, new.schema).join(days, list(DAY), "left_semi")
     _, part = FLATTEN[feed]
-    merged = cut_lineage(merge_daily_feed(stored, new, payload), f"merged-{feed.lower()}")
+    merged = cut_lineage(merge_daily_feed(stored, new, payload, [F.col(c) for c in DAY]), f"merged-{feed.lower()}")
     write_partitioned(merged, table, DAY, sort=[part])
     if rail_table and feed == "RT_TRIP_UPDATES":
         rail = new.filter(route_filters(F.col(f"`{part}`"))["rail"])
-        rail.write.mode("append").partitionBy(*DAY).parquet(rail_table)
+        before = stored_table(spark, rail_table)
+        if before is not None:  # whole rows once: a batch that runs again adds nothing
+            before = conform(before, rail.schema).join(days, list(DAY), "left_semi")
+            rail = cut_lineage(before.unionByName(rail).distinct(), "rail-copy")
+        write_partitioned(rail, rail_table, DAY)
     return bad
 
 
 def backfill(source: DataFrame, table: str, day: str, first: str, last: str, where: Column | None = None) -> None:
-    """Rebuild the days of an inclusive range from source rows; other days stay as they are."""
+    """Rebuild the days of an inclusive range from source rows; other days stay as they are.
+
+    A day of the range without any row left is removed.
+    """
     days = source.filter(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    write_partitioned(days if where is None else days.filter(where), table, [day])
+    rows = days if where is None else days.filter(where)
+    write_partitioned(rows, table, [day])
+    drop_days(source.sparkSession, table, day, first, last, rows)
 
 
 def versioned_tables(tables: dict[str, DataFrame], version: int, base: str, order: Sequence[str] = ("feed_info",)) -> None:

@@ -49,12 +49,15 @@ _OWN_FOLDER: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared scratch folder, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a temporary folder
-    made, one per application.
+    Only where a local session names none (tests, a laptop) is a temporary
+    folder made, one per application; on a cluster that is an error, because
+    executors would write to their own disks.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_FOLDER:
         _OWN_FOLDER[app] = tempfile.mkdtemp(prefix="tramline-")

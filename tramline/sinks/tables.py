@@ -35,11 +35,22 @@ def cluster_sort(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def merge_daily_feed(
-    stored: DataFrame, new: DataFrame, payload: Sequence[str], ts: str = "feed_timestamp", back_seconds: int = 45 * 60
+    stored: DataFrame,
+    new: DataFrame,
+    payload: Sequence[str],
+    day: Sequence[Column],
+    ts: str = "feed_timestamp",
+    back_seconds: int = 45 * 60,
 ) -> DataFrame:
-    """Stored rows of the day with new ones; repeats go from 45 minutes before the first new row on."""
-    first = new.agg(F.min(ts) - back_seconds).scalar()
-    return windowed_dedup(stored.unionByName(new), first, payload, ts)
+    """Stored rows with new ones; within a day, repeats go from 45 minutes before the day's first new row on.
+
+    ``day`` are the columns that tell a row's day file. Days without new rows stay as they are.
+    """
+    days = {f"_day{i}": c for i, c in enumerate(day)}
+    cuts = new.withColumns(days).groupBy(*days).agg((F.min(ts) - back_seconds).alias("_cut"))
+    both = stored.unionByName(new).withColumns(days).withColumn("_on", F.struct(*days))
+    both = both.join(cuts.select(F.struct(*days).alias("_on"), "_cut"), "_on", "left").drop("_on")
+    return windowed_dedup(both, F.col("_cut"), [*payload, *days], ts).drop(*days)
 
 
 def guarded_replace(spark: SparkSession, df: DataFrame, path: str) -> bool:
@@ -57,6 +68,19 @@ def guarded_replace(spark: SparkSession, df: DataFrame, path: str) -> bool:
     return True
 
 
+def drop_days(spark: SparkSession, path: str, column: str, first: str, last: str, keep: DataFrame) -> None:
+    """Remove the date partitions from ``first`` to ``last`` that ``keep`` has no row of."""
+    kept = {str(r[0]) for r in keep.select(column).distinct().collect()}  # at most one for each date of the range
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return
+    for entry in fs.listStatus(top):
+        name, _, value = entry.getPath().getName().partition("=")
+        if name == column and first <= value <= last and value not in kept:
+            fs.delete(entry.getPath(), True)
+
+
 def write_snapshot(df: DataFrame, path: str, sort: Sequence[str]) -> None:
     """Sorted gzip JSON lines."""
     df.orderBy(*sort).write.mode("overwrite").option("compression", "gzip").json(path)
@@ -109,8 +133,8 @@ def write_index(index: DataFrame, path: str) -> None:
 
 
 def rolling_window(df: DataFrame, date: str, days: int, schema: T.StructType, where: Column | None = None, convert=None) -> DataFrame:
-    """The last ``days`` days of a table (by its newest date), filtered, converted, in declared columns."""
-    recent = df.filter(F.col(date) >= df.agg(F.date_sub(F.max(date), days - 1)).scalar())
+    """The newest date of a table and the ``days`` days before it, filtered, converted, in declared columns."""
+    recent = df.filter(F.col(date) >= df.agg(F.date_sub(F.max(date), days)).scalar())
     return extract(recent, schema, where, convert)
 
 

@@ -177,5 +177,6 @@ def schedules_to_process(index: DataFrame, archived: DataFrame, year: int) -> Da
     """
     recent = index.filter(F.col("published_date") > year * 10000)
     if year <= 2018:
-        return recent.filter(F.col("feed_start_date") > archived.agg(F.max("feed_start_date")).scalar())
+        newest = archived.agg(F.max("feed_start_date")).scalar()  # null where nothing is archived
+        return recent.filter(newest.isNull() | (F.col("feed_start_date") > newest))
     return recent.join(archived.select("feed_version"), "feed_version", "left_anti")

@@ -13,6 +13,7 @@ from tramline.operators.changes import append_distinct
 from tramline.operators.events import upsert_events
 from tramline.plans import stop_events
 from tramline.sinks.tables import write_snapshot
+from tramline.session import cut_lineage
 from tramline.sources import event_bus, feeds
 from tramline.streaming.state import VersionedTable
 
@@ -44,37 +45,33 @@ def stop_event_loop(
     """Position snapshots -> stop events, kept in ``state`` and published as JSON lines.
 
     ``every='3 seconds'`` is the live loop; without it all waiting files are
-    worked off. A batch's newest document time is its publication time, and
-    several documents of one batch count as one snapshot by their newest record
-    per key.
+    worked off. The snapshots of a batch are taken one after another by their
+    publication times, so the state does not depend on how documents fall into
+    batches; documents of one time are one snapshot.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        parsed = feeds.parse_documents(batch, feeds.POSITIONS_ENTITY)
-        newest = parsed.agg(F.max("message.header.timestamp")).collect()[0][0]
-        if newest is None:
-            return
-        rows = parsed.select("message.*").filter(F.col("entity").isNotNull())
-        new = stop_events.unnest_positions(newest_entities(rows))
-        updated = stop_events.update_stop_events(state.before(number), new, newest, max_age)
-        state.write(updated, number)
-        if snapshot:
+        parsed = feeds.parse_documents(batch, feeds.POSITIONS_ENTITY).select("message.*").persist()
+        try:
+            at = F.col("header.timestamp")
+            times = [r[0] for r in parsed.where(at.isNotNull()).select(at.alias("t")).distinct().orderBy("t").collect()]
+            current = state.before(number)
+            for i, published in enumerate(times):
+                rows = parsed.filter((at == published) & F.col("entity").isNotNull())
+                new = stop_events.unnest_positions(rows)
+                current = stop_events.update_stop_events(current, new, published, max_age)
+                if i < len(times) - 1:
+                    current = cut_lineage(current, "snapshot")
+            if times:
+                state.write(current, number)
+        finally:
+            parsed.unpersist()
+        if times and snapshot:
             write_snapshot(state.latest(), snapshot, ["start_time", "route_id", "stop_sequence"])
 
     return start(documents, each, checkpoint, every)
 
 
-def newest_entities(documents: DataFrame) -> DataFrame:
-    """One entity list row per vehicle record: the newest per state key."""
-    rows = documents.select(F.explode("entity").alias("e"))
-    v = "e.vehicle"
-    keyed = rows.groupBy(
-        F.col(f"{v}.trip.start_date"), F.col(f"{v}.trip.route_id"), F.col(f"{v}.trip.trip_id"), F.col(f"{v}.vehicle.id"),
-        F.col(f"{v}.current_stop_sequence"),
-    ).agg(F.max_by("e", F.struct(F.col(f"{v}.timestamp"), F.col("e.id"))).alias("e"))
-    return keyed.select(F.array("e").alias("entity"))
-
-
 def late_deduplicated(stream: DataFrame, event_time: str, payload: Sequence[str], late: str = "45 minutes") -> DataFrame:
     """Stream form of the 45-minute dedup: repeats within the watermark go, state is dropped after it."""
     return stream.withWatermark(event_time, late).dropDuplicatesWithinWatermark(list(payload))

@@ -399,21 +399,31 @@ def state_expiry(t):
 
 @query(f"""
 WITH {POSITIONS},
-newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY service_date, route_id, trip_id, vehicle_id, stop_sequence ORDER BY epoch DESC, CAST(event_id AS VARCHAR) DESC) AS n FROM positions WHERE event_type <> 'error') WHERE n = 1)
-SELECT strftime(service_date, '%Y%m%d') AS start_date, route_id, trip_id, stop_sequence, CASE WHEN current_status = 'STOPPED_AT' THEN epoch END AS arrived, (SELECT max(epoch) FROM positions) AS timestamp FROM newest WHERE current_status = 'STOPPED_AT'
+c AS (SELECT strftime(service_date, '%Y%m%d') AS start_date, route_id, trip_id, vehicle_id, stop_sequence, epoch // 432000 AS d, CASE WHEN current_status = 'STOPPED_AT' THEN epoch END AS arrived,
+  count(*) OVER (PARTITION BY service_date, route_id, trip_id, vehicle_id, stop_sequence, epoch // 432000) AS copies FROM positions WHERE event_type <> 'error'),
+cand AS (SELECT * FROM c WHERE copies = 1), docs AS (SELECT epoch // 432000 AS d, max(epoch) AS t FROM positions GROUP BY 1),
+firsts AS (SELECT start_date, route_id, trip_id, vehicle_id, stop_sequence, min(d) AS a, arg_min(arrived, d) AS arrived FROM cand WHERE arrived IS NOT NULL GROUP BY ALL),
+moves AS (SELECT start_date, route_id, trip_id, vehicle_id, d, max(stop_sequence) AS m FROM cand GROUP BY ALL),
+kept AS (SELECT start_date, route_id, trip_id, vehicle_id, docs.d, max(stop_sequence) AS m FROM firsts JOIN docs ON docs.d > a GROUP BY ALL),
+passed AS (SELECT f.start_date, f.route_id, f.trip_id, f.vehicle_id, f.stop_sequence, min(k.d) AS df, max(k.d) AS dl FROM firsts f JOIN kept k ON k.start_date = f.start_date AND k.route_id = f.route_id AND k.trip_id = f.trip_id AND k.vehicle_id = f.vehicle_id AND k.d > f.a
+  LEFT JOIN moves m ON m.start_date = k.start_date AND m.route_id = k.route_id AND m.trip_id = k.trip_id AND m.vehicle_id = k.vehicle_id AND m.d = k.d WHERE greatest(k.m, coalesce(m.m, k.m)) > f.stop_sequence GROUP BY ALL)
+SELECT f.start_date, f.route_id, f.trip_id, f.stop_sequence, f.arrived, (SELECT arg_max(x.arrived, x.d) FROM cand x WHERE x.start_date = f.start_date AND x.route_id = f.route_id AND x.trip_id = f.trip_id AND x.vehicle_id = f.vehicle_id AND x.stop_sequence = f.stop_sequence AND x.arrived IS NOT NULL AND x.d < p.dl) AS departed,
+  coalesce(pd.t, ad.t) AS timestamp FROM firsts f LEFT JOIN passed p USING (start_date, route_id, trip_id, vehicle_id, stop_sequence) JOIN docs ad ON ad.d = f.a LEFT JOIN docs pd ON pd.d = p.df
 """)
 def stop_event_loop(t):
-    """The stream over feed documents written as files, worked off at once."""
+    """Documents of several snapshots in one micro-batch; the SQL replays the snapshots."""
     folder = scratch_path(t.spark, "documents")
-    docs = _documents(t).select(
-        F.to_json(F.struct(F.struct(F.col("published").alias("timestamp")).alias("header"), F.col("entity"))).alias("value")
+    found = _documents(t).withColumn("snapshot", F.floor(F.col("published") / 432_000))
+    times = found.groupBy("snapshot").agg(F.max("published").alias("at"))
+    docs = found.join(times, "snapshot").select(
+        F.to_json(F.struct(F.struct(F.col("at").alias("timestamp")).alias("header"), F.col("entity"))).alias("value")
     )
     docs.write.text(folder)
     state = VersionedTable(t.spark, scratch_path(t.spark, "stop-events"), stop_events.STATE)
     lines = t.spark.readStream.format("text").load(folder).select(F.col("value").alias("document"))
     run = streams.stop_event_loop(t.spark, lines, state, scratch_path(t.spark, "stop-events-progress"), max_age=10**9)
     run.awaitTermination()
-    return state.latest().select("start_date", "route_id", "trip_id", "stop_sequence", "arrived", "timestamp")
+    return state.latest().select("start_date", "route_id", "trip_id", "stop_sequence", "arrived", "departed", "timestamp")
 
 
 @query(f"""
@@ -440,15 +450,15 @@ WITH {RAIL_EVENTS}
 SELECT service_date, trip_id, parent_station, vp_move_timestamp, vp_stop_timestamp, tu_stop_timestamp FROM rail_events
 """)
 def incremental_change_loop(t):
-    """Rail events arriving in two files, upserted by the stream into the event table."""
+    """Rail events arriving twice in one micro-batch, upserted by the stream into the event table."""
     keys = ["service_date", "trip_id", "parent_station"]
     e = rail_events(t).select(*keys, "stop_sequence", "vp_move_timestamp", "vp_stop_timestamp", "tu_stop_timestamp")
     folder = scratch_path(t.spark, "changes")
     moves = e.withColumns({"vp_stop_timestamp": F.lit(None).cast("long"), "tu_stop_timestamp": F.lit(None).cast("long")})
-    moves.coalesce(1).write.parquet(f"{folder}/part=1")
-    e.coalesce(1).write.parquet(f"{folder}/part=2")
+    moves.write.parquet(f"{folder}/part=1")
+    e.write.parquet(f"{folder}/part=2")
     state = VersionedTable(t.spark, scratch_path(t.spark, "rail-events"), e.schema)
-    arriving = t.spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+    arriving = t.spark.readStream.schema(e.schema).parquet(f"{folder}/part=*")
     run = streams.incremental_change_loop(t.spark, arriving, state, keys, None, scratch_path(t.spark, "rail-progress"))
     run.awaitTermination()
     return state.latest().select(*keys, "vp_move_timestamp", "vp_stop_timestamp", "tu_stop_timestamp")

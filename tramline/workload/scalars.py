@@ -292,12 +292,12 @@ def null_horizontal_min_max(t):
 
 
 @query("""
-SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') || lpad(CAST(o_orderkey % 90000 + 10000 AS VARCHAR), 5, '0') AS BIGINT) AS public_id
+SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') || lpad(CAST(o_orderkey * 40 AS VARCHAR), CAST(greatest(5, length(CAST(o_orderkey * 40 AS VARCHAR))) AS INTEGER), '0') AS BIGINT) AS public_id
 FROM orders
 """)
 def dated_public_id(t):
     return t.orders.select(
-        "o_orderkey", texts.dated_id(F.col("o_orderdate"), F.col("o_orderkey") % 90000 + 10000).alias("public_id")
+        "o_orderkey", texts.dated_id(F.col("o_orderdate"), F.col("o_orderkey") * 40).alias("public_id")
     )
 
 

@@ -375,19 +375,24 @@ def write_partitioned(t):
 
 
 _FEED_SQL = f"""{POSITIONS},
-feed AS (SELECT route_id, trip_id, stop_sequence, event_type, epoch AS feed_timestamp FROM positions),
-cut AS (SELECT min(feed_timestamp) - 2700 AS c FROM feed WHERE event_type IN ('view', 'click'))"""
+feed AS (SELECT route_id, trip_id, stop_sequence, event_type, epoch AS feed_timestamp, epoch // 86400 AS day FROM positions),
+cut AS (SELECT day, min(feed_timestamp) - 2700 AS c FROM feed WHERE event_type IN ('view', 'click') AND day % 3 > 0 AND feed_timestamp % 86400 > 43200 GROUP BY 1),
+kept AS (SELECT * FROM feed WHERE event_type NOT IN ('view', 'click') OR (day % 3 > 0 AND feed_timestamp % 86400 > 43200))"""
 
 
 @query(f"""
 WITH {_FEED_SQL}
-SELECT route_id, trip_id, stop_sequence, event_type, feed_timestamp FROM feed, cut WHERE feed_timestamp < c
-UNION ALL SELECT route_id, trip_id, stop_sequence, event_type, min(feed_timestamp) FROM feed, cut WHERE feed_timestamp >= c GROUP BY 1, 2, 3, 4
+SELECT route_id, trip_id, stop_sequence, event_type, feed_timestamp FROM kept LEFT JOIN cut USING (day) WHERE c IS NULL OR feed_timestamp < c
+UNION ALL SELECT route_id, trip_id, stop_sequence, event_type, min(feed_timestamp) FROM kept JOIN cut USING (day) WHERE feed_timestamp >= c GROUP BY 1, 2, 3, 4, day
 """)
 def daily_feed_merge(t):
     feed = positions(t).select("route_id", "trip_id", "stop_sequence", "event_type", F.col("epoch").alias("feed_timestamp"))
     is_new = F.col("event_type").isin("view", "click")
-    return sinks.merge_daily_feed(feed.filter(~is_new), feed.filter(is_new), ["route_id", "trip_id", "stop_sequence", "event_type"])
+    at = F.col("feed_timestamp")
+    # every day has its own first new row; days without new rows stay as they are
+    new = feed.filter(is_new & (F.floor(at / 86400) % 3 > 0) & (at % 86400 > 43200))
+    payload = ["route_id", "trip_id", "stop_sequence", "event_type"]
+    return sinks.merge_daily_feed(feed.filter(~is_new), new, payload, [F.floor(at / 86400)])
 
 
 @query(f"""
@@ -431,7 +436,7 @@ def file_index_csv(t):
 
 @query("""
 SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS absent, ROUND(value * 2, 4) AS doubled FROM events
-WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) - 6 FROM events) AND event_type <> 'error'
+WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) - 7 FROM events) AND event_type <> 'error'
 """)
 def rolling_window_extract(t):
     schema = T.StructType.fromDDL("event_id long, user_id long, value double, absent string, doubled double")

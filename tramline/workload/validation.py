@@ -155,7 +155,7 @@ def alerts_schema_fallback(t):
 
 
 @query("""
-SELECT strftime(d, '%Y-%m-%d') AS service_date, trip, CAST(strftime(d, '%Y%m%d') || lpad(CAST(9999 + row_number() OVER (PARTITION BY d ORDER BY md5('s' || trip), trip) AS VARCHAR), 5, '0') AS BIGINT) AS public_operator_id
+SELECT strftime(d, '%Y-%m-%d') AS service_date, trip, CAST(strftime(d, '%Y%m%d') || CAST(9999 + row_number() OVER (PARTITION BY d ORDER BY md5('s' || trip), trip) AS VARCHAR) AS BIGINT) AS public_operator_id
 FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS d, CAST(o_custkey AS VARCHAR) AS trip FROM orders)
 """)
 def public_operator_id(t):
