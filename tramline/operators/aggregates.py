@@ -147,28 +147,35 @@ def canonical_sequences(patterns: DataFrame, stop_times: DataFrame) -> DataFrame
     ).drop("_seq")
 
 
-def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str, width: int = 1000) -> DataFrame:
-    """Exact quantile of whole-number values, linear between neighbours.
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float], width: int = 1000) -> DataFrame:
+    """Exact quantiles of whole-number values, linear between neighbours; ``wanted`` names them.
 
-    Equal values are counted first, then positions run along the counts; no
-    group is gathered, whatever its size.
+    Equal values are counted first, then positions run along the counts, once
+    for all quantiles; no group is gathered, whatever its size.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     along = ordered(counts, keys, [F.col(value)], stretch(F.col(value), width), _before=sum_before(F.col("_n")))
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     joined = along.join(totals, list(keys))
-    position = F.lit(q) * (F.col("_total") - 1)
-    low, high = F.floor(position), F.ceil(position)
+    position = {name: F.lit(q) * (F.col("_total") - 1) for name, q in wanted.items()}
 
     def holds(at: Column) -> Column:
         return (F.col("_before") <= at) & (at < F.col("_before") + F.col("_n"))
 
+    sides = {"low": F.floor, "high": F.ceil}
     picked = joined.groupBy(*keys, "_total").agg(
-        F.max(F.when(holds(low), F.col(value))).alias("_low"),
-        F.max(F.when(holds(high), F.col(value))).alias("_high"),
+        *[
+            F.max(F.when(holds(side(at)), F.col(value))).alias(f"_{which}_{name}")
+            for name, at in position.items()
+            for which, side in sides.items()
+        ]
     )
-    fraction = position - low
-    return picked.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * fraction).alias(name))
+
+    def between(name: str, at: Column) -> Column:
+        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        return (low + (high - low) * (at - F.floor(at))).alias(name)
+
+    return picked.select(*keys, *[between(name, at) for name, at in position.items()])
 
 
 def coverage_ratio(plausible: DataFrame, found: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:
@@ -194,17 +201,17 @@ def coverage_ratio(plausible: DataFrame, found: DataFrame, keys: Sequence[str],
 
 def trip_documents(
     events: DataFrame, keys: Sequence[str], seq: str, stop_fields: Sequence[str], newest_from: int, ts: str = "timestamp",
-    stops_per_document: int = 10_000,
+    span_seconds: int = 3600,
 ) -> DataFrame:
-    """One nested document per trip: its recent stop events as an array ordered by sequence.
+    """Nested documents of a trip: its recent stop events as arrays ordered by sequence.
 
-    Events older than ``newest_from`` go before anything is gathered. A trip
-    with more sequence numbers than ``stops_per_document`` continues in further
-    documents (``part``), so no array grows without bound.
+    Events older than ``newest_from`` go before anything is gathered. Every
+    document covers ``span_seconds`` of a trip and carries the span's number
+    (``span``) as part of its key, whatever the number of events.
     """
-    recent = events.filter(F.col(ts) >= newest_from).withColumn("part", stretch(F.col(seq), stops_per_document))
+    recent = events.filter(F.col(ts) >= newest_from).withColumn("span", stretch(F.col(ts), span_seconds))
     item = F.struct(F.col(seq), *[F.col(f) for f in stop_fields])
-    return recent.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(item)).alias("stop_events"))
+    return recent.groupBy(*keys, "span").agg(F.sort_array(F.collect_list(item)).alias("stop_events"))
 
 
 def distinct_trips_by_date(df: DataFrame, date: str, trip: str) -> DataFrame:

@@ -217,26 +217,21 @@ def outer_merge_events(positions: DataFrame, predictions: DataFrame, keys: Seque
     """Position events and prediction events of one trip-stop in one row.
 
     Details come from the row with the fewest nulls among sequence, label and
-    consist; positions win a tie, so the choice is always the same.
+    consist; positions win a tie, so the choice is always the same. Both sides
+    are read once and shuffled once; the earliest time stands where a side
+    repeats a key.
     """
-    times = full_outer_coalesce(
-        positions.select(*keys, "vp_move_timestamp", "vp_stop_timestamp"),
-        predictions.select(*keys, "tu_stop_timestamp"),
-        keys,
+    times = ("vp_move_timestamp", "vp_stop_timestamp", "tu_stop_timestamp")
+    both = positions.select(*keys, *times[:2], *details, F.lit(0).alias("_from")).unionByName(
+        predictions.select(*keys, times[2], *details, F.lit(1).alias("_from")), allowMissingColumns=True
     )
-    both = positions.select(*keys, *details, F.lit(0).alias("_from")).unionByName(
-        predictions.select(*keys, *details, F.lit(1).alias("_from"))
+    nulls = null_count(F.col("stop_sequence"), F.col("vehicle_label"), F.col("vehicle_consist"))
+    detail = F.struct(*[F.col(d) for d in details])
+    merged = both.groupBy(*keys).agg(
+        *[F.min(t).alias(t) for t in times],
+        F.min_by(detail, F.struct(nulls, F.col("_from"), *[F.col(d) for d in details])).alias("_best"),
     )
-    best = first_row(
-        both,
-        keys,
-        [
-            null_count(F.col("stop_sequence"), F.col("vehicle_label"), F.col("vehicle_consist")),
-            F.col("_from"),
-            *[F.col(d) for d in details],
-        ],
-    ).drop("_from")
-    return times.join(best, list(keys), "left")
+    return merged.select(*keys, *times, *[F.col("_best").getField(d).alias(d) for d in details])
 
 
 def drop_unpreserved_trips(bus: DataFrame, sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -147,18 +147,15 @@ def dates_to_rebuild(outputs: DataFrame, wanted: DataFrame, date: str = "service
     return stale.join(wanted.select(date), date, "left_semi").union(missing).distinct()
 
 
-def files_by_date(files: DataFrame, by: Sequence[str] = ("service_date", "source"), digits: int = 1) -> DataFrame:
-    """Sorted lists of paths per service date and source.
+def files_by_date(files: DataFrame, by: Sequence[str] = ("service_date", "source")) -> DataFrame:
+    """Files with their position in the sorted list of their service date and source, one row per file.
 
-    A list is split by the first ``digits`` hex digits of the path's MD5
-    (``part``), so a date with very many files is not gathered in one task.
+    A date may have any number of files: its list is never gathered.
     """
-    part = F.substring(F.md5("path"), 1, digits)
-    return (
-        files.withColumn("part", part)
-        .groupBy(*by, "part")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    )
+    # stretches of paths that differ in the last three of the longest path's characters at most
+    head = files.agg(F.max(F.length("path")) - 3).scalar()
+    cut = F.substring(F.col("path"), F.lit(1), head)
+    return ordered(files, list(by), [F.col("path")], cut, position=row_number())
 
 
 def schedule_index(index: DataFrame) -> DataFrame:

@@ -163,17 +163,17 @@ def static_trip_summary(t):
 
 @query(f"""
 WITH {POSITIONS}
-SELECT strftime(service_date, '%Y-%m-%d') AS service_date, route_id, substr(md5(path), 1, 1) AS part, string_agg(path, ',' ORDER BY path) AS files
-FROM (SELECT *, lpad(CAST(event_id AS VARCHAR), 12, '0') AS path FROM positions) WHERE event_type = 'signup' GROUP BY ALL
+SELECT strftime(service_date, '%Y-%m-%d') AS service_date, route_id, path, row_number() OVER (PARTITION BY service_date, route_id ORDER BY path) AS position
+FROM (SELECT *, lpad(CAST(event_id AS VARCHAR), 12, '0') AS path FROM positions)
 """)
 def collect_files(t):
     from tramline.sources.manifest import files_by_date
 
-    files = positions(t).filter(F.col("event_type") == "signup").select(
+    files = positions(t).select(
         "service_date", F.col("route_id").alias("source"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("path")
     )
     return files_by_date(files).select(
-        text(F.col("service_date")).alias("service_date"), F.col("source").alias("route_id"), "part", F.array_join("paths", ",").alias("files")
+        text(F.col("service_date")).alias("service_date"), F.col("source").alias("route_id"), "path", "position"
     )
 
 
@@ -183,8 +183,7 @@ SELECT route_id, quantile_cont(lag, 0.99) AS q99, quantile_cont(lag, 0.5) AS q50
 """)
 def event_quantiles(t):
     lags = rail_events(t).select("route_id", F.abs(F.col("vp_stop_timestamp") - F.col("vp_move_timestamp")).alias("lag"))
-    high = aggregates.exact_quantile(lags, ["route_id"], "lag", 0.99, "q99", width=3600)
-    return high.join(aggregates.exact_quantile(lags, ["route_id"], "lag", 0.5, "q50", width=3600), "route_id")
+    return aggregates.exact_quantiles(lags, ["route_id"], "lag", {"q99": 0.99, "q50": 0.5}, width=3600)
 
 
 @query(f"""
@@ -223,14 +222,14 @@ def service_date_gaps(t):
 
 @query(f"""
 WITH {RAIL_EVENTS}
-SELECT service_date, trip_id, string_agg(stop_sequence || ':' || stop_id, ',' ORDER BY stop_sequence) AS stops FROM rail_events
-WHERE coalesce(vp_stop_timestamp, vp_move_timestamp, tu_stop_timestamp) >= 1705276800 GROUP BY 1, 2
+SELECT service_date, trip_id, coalesce(vp_stop_timestamp, vp_move_timestamp, tu_stop_timestamp) // 3600 AS span, string_agg(stop_sequence || ':' || stop_id, ',' ORDER BY stop_sequence) AS stops FROM rail_events
+WHERE coalesce(vp_stop_timestamp, vp_move_timestamp, tu_stop_timestamp) >= 1705276800 GROUP BY 1, 2, 3
 """)
 def nested_trip_documents(t):
     e = rail_events(t).withColumn("timestamp", F.coalesce("vp_stop_timestamp", "vp_move_timestamp", "tu_stop_timestamp"))
     documents = aggregates.trip_documents(e, ["service_date", "trip_id"], "stop_sequence", ["stop_id"], 1705276800)
     stops = F.array_join(F.transform("stop_events", lambda s: F.concat_ws(":", s["stop_sequence"], s["stop_id"])), ",")
-    return documents.select("service_date", "trip_id", stops.alias("stops"))
+    return documents.select("service_date", "trip_id", "span", stops.alias("stops"))
 
 
 @query("""

@@ -511,12 +511,12 @@ def jsonl_snapshot_sink(t):
 
 
 @query("""
-SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS trips FROM events WHERE day(ts) <= 10 GROUP BY 1
+SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS trips FROM events GROUP BY 1
 """)
 def catalog_views(t):
     catalog.create_views(t.spark, {"daily_positions": _by_day(t, "published")})
     return t.spark.sql(
-        "SELECT event_type, count(*) AS n, count(DISTINCT vehicle_trip) AS trips FROM daily_positions WHERE day <= 10 GROUP BY event_type"
+        "SELECT event_type, count(*) AS n, count(DISTINCT vehicle_trip) AS trips FROM daily_positions GROUP BY event_type"
     )
 
 
