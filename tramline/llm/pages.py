@@ -305,7 +305,10 @@ def fit(pages: DataFrame, sample: int = 300, key: str = "page_id", page: str = "
     composed pages of fixed texts are used.
     """
     usable = pages.where(F.col(page).contains("<article") & (F.length(page) <= longest))
-    taken = usable.orderBy(F.xxhash64(F.col(key), F.lit("sample")), page).select(page).limit(sample).collect()
+    order = F.xxhash64(F.col(key), F.lit("sample"))
+    # keys first: a task then passes on a few numbers, not pages
+    chosen = usable.select(key).distinct().orderBy(order, key).limit(sample)
+    taken = usable.join(F.broadcast(chosen), key).dropDuplicates([key]).orderBy(order, key).select(page).collect()
     texts = [r[0] for r in taken] or ["<nav><a>Home</a></nav><article><h1>Title</h1><p>Some text of a page.</p></article>"]
     return train(labelled(texts))
 

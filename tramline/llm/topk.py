@@ -116,10 +116,11 @@ def search(
     spark = vectors.sparkSession
     asked = held.where(F.col(key) % every == 0)
     groups = max(1, -(-asked.count() // group))
-    # at most LONGEST rows
+    # at most LONGEST keys; they come first, so that a task passes on numbers and not vectors
+    top = held.groupBy(key).agg(F.max("norm").alias("norm")).orderBy(F.desc("norm"), key).limit(LONGEST).select(key)
     longest = [
         (r[0], np.frombuffer(r[1], "<i8").astype(np.float64))
-        for r in held.orderBy(F.desc("norm"), key).limit(LONGEST).select(key, "ints").collect()
+        for r in held.join(F.broadcast(top), key).dropDuplicates([key]).select(key, "ints").collect()
     ]
     found = None
     for number in range(groups):
