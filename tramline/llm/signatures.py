@@ -6,10 +6,11 @@ largest overlap that any of their sets could have; a pair that cannot reach the
 1. Equal sets become one. Sets that have too few shingles in common with any others cannot link and leave early: by
    the prefix rule first (of the smallest fingerprints a linked set must share a known number), then by all shingles.
    Shingles are names that meet in shards; texts do not move.
-2. What is left meets in groups of equal smallest fingerprint under some permutations. Large groups are dealt over
-   chunks. Each chunk has a tree, and a dual traversal finds its links; sets that are connected already need no look.
-3. Links missed so far can only join different components. Sets without enough shingles in another component leave.
-   A tree over the rest is traversed level by level as joins of node pairs, down to leaves whose sets are verified.
+2. What is left meets in groups of equal smallest fingerprint under some permutations, in chunks. Each chunk has a
+   tree, and a dual traversal of it with itself finds its links; sets that are connected already need no look.
+3. Links missed so far can only join different components. Sets that share too little with other components leave.
+   The rest meets by the rarest shingles that several components share, of which linked sets have one in common: sets
+   that such shingles connect have a tree together, or, where those are too many, one for each shingle's group.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ WORDS = 5
 PERCENT = 75  # Jaccard, in percent
 SHARED = 0.3  # shingles of the prefix that linked sets must share, as a part of a set
 CHUNK = 256  # sets of a tree in one task
-PASSES = 3  # permutations
+PASSES = 2  # permutations
 BITS = 4096
 LEAF, FAN = 8, 8
 
@@ -215,172 +216,158 @@ def _full(given: dict) -> dict:
     return {level: given.get(level, {}) for level in (1, 2, 3)}
 
 
-def _chunks(found: Iterator[tuple]) -> Iterator[tuple]:
-    """Sorted rows ``(key, salt, id, tokens)`` to links within chunks of equal key and salt."""
+def tree_links(found: Iterator[tuple]) -> Iterator[tuple]:
+    """Sorted rows ``(key, cell, side, id, component, tokens)`` to links that connect what is apart in their cell.
 
-    def links(held: list[tuple]):
-        ids = [h[2] for h in held]
-        sets = [np.frombuffer(h[3], np.uint64) for h in held]
-        for i, j in SignatureTree(sets).join(Forest(len(sets))):
-            yield ids[i], ids[j]
+    Rows of one side meet each other where the cell has one side only, else the sides meet. Rows of the same component
+    (null: unknown) are connected from the start.
+    """
+
+    def verified(held: list[tuple]):
+        sides = [[h for h in held if h[2] == s] for s in (0, 1)]
+        whole = [*sides[0], *sides[1]]
+        forest = Forest(len(whole))
+        first: dict = {}
+        for i, row in enumerate(whole):
+            if row[4] is not None:
+                forest.join(i, first.setdefault(row[4], i))
+        trees = [SignatureTree([np.frombuffer(h[5], np.uint64) for h in side]) for side in sides]
+        found = trees[0].join(forest, trees[1], len(sides[0])) if sides[1] else trees[0].join(forest)
+        for i, j in found:
+            yield whole[i][3], whole[j][3]
 
     held: list[tuple] = []
     for row in found:
-        if held and (row[:2] != held[0][:2] or len(held) == CHUNK):
-            yield from links(held)
+        if held and row[:2] != held[0][:2]:
+            yield from verified(held)
             held = []
         held.append(row)
     if held:
-        yield from links(held)
+        yield from verified(held)
 
 
-def _grouped_links(sets: DataFrame, parts: int) -> DataFrame:
-    """Links found in groups of equal smallest fingerprint, for some permutations."""
+def in_cells(keyed: DataFrame, chunk: int) -> DataFrame:
+    """Rows ``key, id`` to ``key, cell, side, id``: a large key's rows are dealt over chunks, and all chunks meet.
 
-    def rows(found):
+    Cell (i, j) with i < j holds chunk i on one side and chunk j on the other, cell (i, i) one side. Keys of one row
+    have nothing to meet.
+    """
+    counts = keyed.groupBy("key").count().where("count > 1")
+    chunks = F.ceil(F.col("count") / chunk).cast("int")
+    placed = keyed.join(counts, "key").select(
+        "key", "id", chunks.alias("k"), F.pmod(F.xxhash64("id"), chunks.cast("long")).cast("int").alias("c")
+    )
+    cell = F.transform(
+        F.sequence(F.lit(0), F.col("k") - 1),
+        lambda o: F.struct(
+            (F.least(o, F.col("c")) * F.col("k") + F.greatest(o, F.col("c"))).alias("cell"),
+            (o < F.col("c")).cast("int").alias("side"),
+        ),
+    )
+    return placed.select("key", "id", F.explode(cell).alias("at")).select("key", "at.cell", "at.side", "id")
+
+
+def _grouped_links(sets: DataFrame, count: int, parts: int) -> DataFrame:
+    """Links found among sets of equal smallest fingerprint, for some permutations.
+
+    Keys with more than a thousandth of all sets are dealt over tasks; there are fewer than a thousand of them. Groups
+    are looked at in chunks: what chunks or tasks keep apart is found later.
+    """
+
+    def rows(found, p):
         for name, tokens in found:
             own = np.frombuffer(tokens, np.uint64)
-            yield name, [int(mix(own ^ np.uint64(p * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).min() >> 1) for p in range(1, PASSES + 1)]
+            yield int(mix(own ^ np.uint64(p * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).min() >> 1), name, tokens
+
+    def links(found):
+        last = None
+        held: list[tuple] = []
+        for key, salt, name, tokens in found:
+            last = (key, salt)
+            if held and (held[0][0] != last or len(held) == CHUNK):
+                yield from tree_links(iter(held))
+                held = []
+            held.append((last, 0, 0, name, None, tokens))
+        yield from tree_links(iter(held))
 
-    keyed = stage(arrow_rows(sets.select("id", "tokens"), rows, "id binary, keys array<long>"), "smallest")
     found = None
-    for p in range(PASSES):
-        own = keyed.select("id", F.col("keys")[p].alias("key"))
-        counts = own.groupBy("key").count().where("count > 1")
-        # a large group is dealt over chunks, otherwise in each permutation
+    for p in range(1, PASSES + 1):
+        own = arrow_rows(sets.select("id", "tokens"), lambda f, p=p: rows(f, p), "key long, id binary, tokens binary")
+        own = stage(own, "smallest")
+        large = F.broadcast(own.groupBy("key").count().where(F.col("count") > max(4 * CHUNK, count // 1000)))
         salt = F.pmod(F.xxhash64("id", F.lit(p)), F.ceil(F.col("count") / (4 * CHUNK)).cast("long"))
-        met = own.join(counts, "key").select("key", salt.alias("salt"), "id").join(sets.select("id", "tokens"), "id")
-        met = met.select("key", "salt", "id", "tokens").repartition(parts, "key", "salt")
-        some = arrow_rows(met.sortWithinPartitions("key", "salt"), _chunks, "a binary, b binary")
+        met = own.join(large, "key", "left").select("key", F.coalesce(salt, F.lit(0)).alias("salt"), "id", "tokens")
+        dealt = met.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt")
+        some = arrow_rows(dealt, links, "a binary, b binary")
         found = some if found is None else found.union(some)
     return stage(found, "group-links")
 
 
-def _apart(sets: DataFrame, comps: DataFrame) -> DataFrame:
-    """Sets (with their component) that share enough prefix shingles with sets of other components."""
+def _exploded(sets: DataFrame, comps: DataFrame, part) -> DataFrame:
+    """``id, n, size, comp, token``: the chosen shingles of every set, how many they are, and a number of its component."""
 
     def rows(found):
         for name, tokens in found:
             own = np.frombuffer(tokens, np.uint64)
-            yield name, len(own), _prefix(own).astype(np.int64).tolist()
+            chosen = part(own)
+            yield name, len(own), len(chosen), chosen.astype(np.int64).tolist()
 
-    labelled = sets.join(comps.select("id", "component"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
-    )
-    listed = arrow_rows(sets.select("id", "tokens"), rows, "id binary, n int, prefix array<long>")
-    each = listed.join(labelled.select("id", "component"), "id").select("id", "n", "component", F.explode("prefix").alias("token"))
-    several = each.groupBy("token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
-    need = 1 + F.floor(F.lit(SHARED) * F.ceil(F.col("n") * PERCENT / 100))
-    enough = each.join(several.select("token"), "token", "left_semi").groupBy("id").agg(F.count("*").alias("_m"), F.first("n").alias("n"))
-    return stage(labelled.join(enough.where(F.col("_m") >= need).select("id"), "id", "left_semi"), "apart")
+    listed = arrow_rows(sets.select("id", "tokens"), rows, "id binary, n int, size int, shingles array<long>")
+    named = listed.join(comps.select("id", "component"), "id", "left")
+    comp = F.xxhash64(F.coalesce("component", "id"))
+    return named.select("id", "n", "size", comp.alias("comp"), F.explode("shingles").alias("token"))
 
 
-_NODE = "node long, bits binary, least int, most int, extra int, low binary, high binary"
-WIDE = 32_768  # bits of the nodes of the large tree
+def _shared(each: DataFrame) -> DataFrame:
+    """Shingles that stand in sets of several components, with their number of sets."""
+    groups = each.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("sets"))
+    return groups.where("_a <> _b").select("token", "sets")
 
 
-def _levels(apart: DataFrame, count: int) -> tuple[list[DataFrame], DataFrame]:
-    """Nodes by level, leaves first, of a tree over the sets in the order of a smallest fingerprint; and the leaves."""
-    leaves = max(1, count // 32)
+def _across_links(sets: DataFrame, comps: DataFrame, parts: int) -> DataFrame:
+    """Links between components.
 
-    def rows(found):
-        for name, component, tokens in found:
-            own = np.frombuffer(tokens, np.uint64)
-            place = int(mix(own ^ np.uint64(0x5851F42D4C957F2D)).min() >> 1) % leaves
-            bits = bitmap(own, WIDE)
-            extra = len(own) - int(np.bitwise_count(bits).sum())
-            yield place, blob(bits), len(own), len(own), extra, component, component, name, tokens
-
-    leafed = arrow_rows(apart.select("id", "component", "tokens"), rows, f"{_NODE}, id binary, tokens binary")
-    leafed = stage(leafed, "leaves")
-
-    def merged(nodes: DataFrame, parent) -> DataFrame:
-        def rows(found):
-            held = None
-            for node, bits, least, most, extra, low, high in found:
-                own = np.frombuffer(bits, np.uint8)
-                if held and held[0] == node:
-                    held = [node, held[1] | own, min(held[2], least), max(held[3], most), max(held[4], extra), min(held[5], low), max(held[6], high)]
-                else:
-                    if held:
-                        yield (held[0], blob(held[1]), *held[2:])
-                    held = [node, own, least, most, extra, low, high]
-            if held:
-                yield (held[0], blob(held[1]), *held[2:])
-
-        moved = nodes.select(parent.alias("node"), "bits", "least", "most", "extra", "low", "high")
-        once = arrow_rows(moved.sortWithinPartitions("node"), rows, _NODE)  # partial sums before they move
-        return stage(arrow_rows(once.repartition("node").sortWithinPartitions("node"), rows, _NODE), "nodes")
-
-    levels = [merged(leafed, F.col("node"))]
-    width = leaves
-    while width > FAN:
-        levels.append(merged(levels[-1], F.floor(F.col("node") / FAN)))
-        width = -(-width // FAN)
-    return levels, leafed.select("node", "id", F.col("low").alias("component"), "tokens")
-
-
-def _tree_links(apart: DataFrame, count: int) -> DataFrame:
-    """Links between components, by a dual traversal of one tree with itself, level by level."""
-    levels, leaves = _levels(apart, count)
-
-    def pruned(pairs_: DataFrame, nodes: DataFrame) -> DataFrame:
-        left = nodes.select(*[F.col(c).alias(f"a_{c}") for c in nodes.columns])
-        right = nodes.select(*[F.col(c).alias(f"b_{c}") for c in nodes.columns])
-        met = pairs_.join(left, "a_node").join(right, "b_node")
-        met = met.where(~((F.col("a_low") == F.col("a_high")) & (F.col("a_low") == F.col("b_low")) & (F.col("b_low") == F.col("b_high"))))
-
-        def rows(found):
-            for a, b, x, y, extra_a, extra_b, *sizes in found:
-                common = int(np.bitwise_count(np.frombuffer(x, np.uint8) & np.frombuffer(y, np.uint8)).sum())
-                if may_link(common, min(extra_a, extra_b), *sizes):
-                    yield a, b
-
-        names = ("a_node", "b_node", "a_bits", "b_bits", "a_extra", "b_extra", "a_least", "a_most", "b_least", "b_most")
-        return stage(arrow_rows(met.select(*names), rows, "a_node long, b_node long"), "pairs")
-
-    top = levels[-1].select("node")
-    # at most FAN nodes stand at the top
-    at = top.select(F.col("node").alias("a_node")).join(top.select(F.col("node").alias("b_node")), F.col("a_node") <= F.col("b_node"))
-    at = pruned(at, levels[-1])
-    for nodes in levels[-2::-1]:
-        below = nodes.select("node", F.floor(F.col("node") / FAN).alias("up"))
-        left = below.select(F.col("up").alias("a_node"), F.col("node").alias("a"))
-        right = below.select(F.col("up").alias("b_node"), F.col("node").alias("b"))
-        at = at.join(left, "a_node").join(right, "b_node").where("a <= b").select(F.col("a").alias("a_node"), F.col("b").alias("b_node"))
-        at = pruned(at, nodes)
-    # a leaf has some 32 sets; leaves of equal sets' likes may have more, and are verified in pieces
-    pieces = leaves.withColumn("piece", F.pmod(F.xxhash64("id"), F.lit(1 << 30)))
-    return stage(_verified(at, pieces), "tree-links")
-
-
-def _verified(at: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Links between the sets of leaf pairs."""
-    bound = 128
-    sizes = leaves.groupBy("node").agg(F.ceil(F.count("*") / bound).cast("long").alias("_k"))
-    packed = (
-        leaves.join(sizes, "node")
-        .select("node", F.pmod("piece", "_k").alias("part"), F.struct("id", "component", "tokens").alias("s"))
-        .groupBy("node", "part")
-        .agg(F.collect_list("s").alias("sets"))
+    A set that links to another component shares enough of its prefix with other components; the rest leaves. Of all
+    shingles, those of one component alone come first, then the rarest: linked sets share one of the first that are
+    more than a set may lack. Shingles with the same sets give one group.
+    """
+    prefix = _exploded(sets, comps, _prefix)
+    need = 1 + F.floor(F.lit(SHARED) * F.ceil(F.col("n") * PERCENT / 100))
+    met = prefix.join(_shared(prefix).select("token"), "token", "left_semi")
+    enough = met.groupBy("id").agg(F.count("*").alias("_m"), F.first("n").alias("n")).where(F.col("_m") >= need)
+    apart = stage(sets.join(enough.select("id"), "id", "left_semi"), "apart")
+    each = stage(_exploded(apart, comps, lambda own: own), "apart-shingles")
+    known = each.join(_shared(each), "token")
+    # n - m shingles stand in one component alone; more than n - need of them, and the set can't link elsewhere
+    lists = known.groupBy("id", "n", "comp").agg(F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("l"))
+    first = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("l"))
+    keyed = lists.where(first > 0).select(
+        "id", "comp", F.explode(F.slice("l", F.lit(1), first.cast("int"))).alias("s")
+    ).select("id", "comp", F.col("s.token").alias("key"))
+    keyed = stage(keyed, "rare")
+    same = keyed.groupBy("key").agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+        (F.min("comp") != F.max("comp")).alias("several"),
     )
-    packed = stage(packed, "leaf-sets")
-    left = packed.select(F.col("node").alias("a_node"), F.col("part").alias("a_part"), F.col("sets").alias("a_sets"))
-    right = packed.select(F.col("node").alias("b_node"), F.col("part").alias("b_part"), F.col("sets").alias("b_sets"))
-    met = at.join(left, "a_node").join(right, "b_node").where("a_node < b_node or a_part <= b_part")
-
-    def rows(found):
-        for a, b in found:
-            forest = Forest(len(a) + len(b))
-            whole = [*a, *b]
-            first: dict = {}
-            for i, s in enumerate(whole):
-                forest.join(i, first.setdefault(bytes(s["component"]), i))
-            trees = [SignatureTree([np.frombuffer(s["tokens"], np.uint64) for s in side]) for side in (a, b)]
-            for i, j in trees[0].join(forest, trees[1], len(a)):
-                yield whole[i]["id"], whole[j]["id"]
-
-    return arrow_rows(met.select("a_sets", "b_sets"), rows, "a binary, b binary")
+    chosen = same.where("several").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+    groups = stage(keyed.join(chosen, "key", "left_semi").select("key", "id"), "groups")
+    # sets that groups connect go to one tree together, each of them once, unless they are too many for it
+    least = groups.groupBy("key").agg(F.min("id").alias("b"))
+    clusters = connected_components(groups.join(least, "key").select(F.col("id").alias("a"), "b"))
+    sizes = clusters.groupBy("component").agg((F.count("*") <= CHUNK).alias("small"))
+    clusters = stage(clusters.join(sizes, "component"), "clusters")
+    together = clusters.where("small").select(
+        F.xxhash64("component").alias("key"), F.lit(0).alias("cell"), F.lit(0).alias("side"), "id"
+    )
+    crowded = groups.join(clusters.where("not small").select("id"), "id", "left_semi").select("key", "id")
+    cells = together.unionByName(in_cells(crowded, CHUNK))
+    whole = apart.join(comps.select("id", "component"), "id", "left")
+    whole = whole.select("id", F.coalesce("component", "id").alias("component"), "tokens")
+    placed = cells.join(whole, "id").select("key", "cell", "side", "id", "component", "tokens")
+    dealt = placed.repartition(parts, "key", "cell").sortWithinPartitions("key", "cell")
+    return stage(arrow_rows(dealt, tree_links, "a binary, b binary"), "across-links")
 
 
 def _components(packed: DataFrame, size: int, key: str, kind: str) -> tuple[DataFrame, DataFrame]:
@@ -414,14 +401,11 @@ def _components(packed: DataFrame, size: int, key: str, kind: str) -> tuple[Data
 
     rest = packed.select("block", "sizes", "data").join(by_block(given).hint("shuffle_hash"), "block")
     sets = stage(arrow_rows(rest.select("sizes", "data", "given"), left, "id binary, tokens binary"), "candidates")
-    links = _grouped_links(sets, parts)
+    links = _grouped_links(sets, sets.count(), parts)
     comps = connected_components(links)
-    apart = _apart(sets, comps)
-    count = apart.count()
-    if count:
-        more = _tree_links(apart, count)
-        if not more.isEmpty():
-            comps = connected_components(links.unionByName(more))
+    more = _across_links(sets, comps, parts)
+    if not more.isEmpty():
+        comps = connected_components(links.unionByName(more))
     return rows_, comps
 
 
