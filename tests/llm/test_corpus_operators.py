@@ -78,9 +78,12 @@ def test_similar_sets_at_the_threshold(documents, rows):
     assert rows(signatures.similar_sets(documents(pairs))) == ordered(signatures.brute_force(pairs))
 
 
-def test_tree_finds_links_between_components(documents, rows, monkeypatch):
-    """Without the permutations, all links come from the large tree."""
+@pytest.mark.parametrize("chunks", [32, 0])
+def test_links_between_components(documents, rows, monkeypatch, chunks):
+    """With small chunks the groups leave links out; clusters in cells, or groups by shingle, find them."""
     monkeypatch.setattr(signatures, "PASSES", 1)
+    monkeypatch.setattr(signatures, "CHUNK", 3)
+    monkeypatch.setattr(signatures, "CHUNKS", chunks)
     draw = random.Random(8)
     base = [[draw.randint(0, 9999) for _ in range(60)] for _ in range(6)]
     pairs = []

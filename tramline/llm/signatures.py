@@ -10,7 +10,7 @@ largest overlap that any of their sets could have; a pair that cannot reach the
    tree, and a dual traversal of it with itself finds its links; sets that are connected already need no look.
 3. Links missed so far can only join different components. Sets that share too little with other components leave.
    The rest meets by the rarest shingles that several components share, of which linked sets have one in common: sets
-   that such shingles connect have a tree together, or, where those are too many, one for each shingle's group.
+   that such shingles connect have trees together, chunk by chunk, or, where those are too many, for each shingle.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ WORDS = 5
 PERCENT = 75  # Jaccard, in percent
 SHARED = 0.3  # shingles of the prefix that linked sets must share, as a part of a set
 CHUNK = 256  # sets of a tree in one task
+CHUNKS = 32  # chunks of a cluster that all meet, some fewer than the groups of a set
 PASSES = 2  # permutations
 BITS = 4096
 LEAF, FAN = 8, 8
@@ -353,16 +354,15 @@ def _across_links(sets: DataFrame, comps: DataFrame, parts: int) -> DataFrame:
     )
     chosen = same.where("several").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
     groups = stage(keyed.join(chosen, "key", "left_semi").select("key", "id"), "groups")
-    # sets that groups connect go to one tree together, each of them once, unless they are too many for it
+    # sets that groups connect meet together, each in as many cells as its cluster has chunks; where that is more than
+    # a set has groups, they meet group by group
     least = groups.groupBy("key").agg(F.min("id").alias("b"))
     clusters = connected_components(groups.join(least, "key").select(F.col("id").alias("a"), "b"))
-    sizes = clusters.groupBy("component").agg((F.count("*") <= CHUNK).alias("small"))
+    sizes = clusters.groupBy("component").agg((F.count("*") <= CHUNKS * CHUNK).alias("small"))
     clusters = stage(clusters.join(sizes, "component"), "clusters")
-    together = clusters.where("small").select(
-        F.xxhash64("component").alias("key"), F.lit(0).alias("cell"), F.lit(0).alias("side"), "id"
-    )
+    together = clusters.where("small").select(F.xxhash64("component").alias("key"), "id")
     crowded = groups.join(clusters.where("not small").select("id"), "id", "left_semi").select("key", "id")
-    cells = together.unionByName(in_cells(crowded, CHUNK))
+    cells = in_cells(together.unionByName(crowded), CHUNK)
     whole = apart.join(comps.select("id", "component"), "id", "left")
     whole = whole.select("id", F.coalesce("component", "id").alias("component"), "tokens")
     placed = cells.join(whole, "id").select("key", "cell", "side", "id", "component", "tokens")
