@@ -8,104 +8,126 @@ and of each class the first paragraph stays.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.common import arrow_rows, blob, stage
 from tramline.llm.components import connected_components
-from tramline.llm.names import REPEATED, STANDS, Level, ask, by_block, by_level, mix, pack, shard_count, single
-from tramline.llm.signatures import Forest, SignatureTree, shingles
+from tramline.llm.names import (
+    REPEATED,
+    STANDS,
+    Fingerprints,
+    Level,
+    ask,
+    by_block,
+    by_level,
+    mix,
+    pack,
+    pairs,
+    shard_count,
+    single,
+)
+from tramline.llm.signatures import in_cells, tree_links
 
 LEAST = 20  # words from which a line counts as a paragraph that can be a duplicate
-BANDS, ROWS = 10, 3  # at a similarity of 0.75, 1 - (1 - 0.75 ** 3) ** 10 = 0.996 of the pairs collide
+WORDS = 5
+BANDS, ROWS = 14, 3  # at a similarity of 0.75, 1 - (1 - 0.75 ** 3) ** 14 = 0.9995 of the pairs collide
 CHUNK = 512  # paragraphs of one side of a verification
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
 
-def bands(own: np.ndarray) -> np.ndarray:
-    """A name for each band of a set: the smallest fingerprints under ``ROWS`` permutations, mixed."""
-    least = mix(own[None, :] ^ _SEEDS[:, None]).min(axis=1).reshape(BANDS, ROWS)
-    name = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for r in range(ROWS):
-        name = mix(name ^ least[:, r])
-    return name
+def line_sets(data: bytes, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines of ``least`` words or more in concatenated texts, with their sets of 5-word shingles.
+
+    Returns the lines' texts, their places among the text's lines, where each line's shingles start (and where the
+    last one's end), and the shingles, distinct and ascending within a line. Words are what stands between white space
+    once A-Z are lower-cased.
+    """
+    low = np.frombuffer(data.lower(), np.uint8)
+    nothing = np.zeros(0, np.int64)
+    if not len(low):
+        return nothing, nothing, np.zeros(1, np.int64), np.zeros(0, np.uint64)
+    begins = np.cumsum(sizes) - sizes
+    inside = begins[begins < len(low)]
+    word = ~((low == 32) | ((low >= 9) & (low <= 13)))
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    first[inside] |= word[inside]
+    ends = inside[inside > 0] - 1
+    last[ends] |= word[ends]
+    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+    breaks = np.unique(np.r_[inside, np.flatnonzero(low == 10) + 1])
+    line = np.searchsorted(breaks, starts, "right") - 1
+    wanted = np.bincount(line, minlength=len(breaks)) >= least
+    names = Fingerprints(low, 0).of(starts, stops)
+    together = np.zeros(max(0, len(names) - WORDS + 1), np.uint64)
+    for k in range(WORDS):
+        together += names[k : k + len(together)] * (_SEEDS[k] | np.uint64(1))
+    whole = np.flatnonzero((line[: len(together)] == line[WORDS - 1 :][: len(together)]) & wanted[line[: len(together)]])
+    shingle, at = mix(together[whole]), line[whole]
+    order = np.lexsort((shingle, at))
+    shingle, at = shingle[order], at[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (shingle[1:] != shingle[:-1]) | (at[1:] != at[:-1])
+    shingle, at = shingle[new], at[new]
+    lines, edges = np.unique(at, return_index=True)
+    text = np.searchsorted(begins, breaks[lines], "right") - 1
+    place = lines - np.searchsorted(breaks, begins[text])
+    return text, place, np.r_[edges, len(at)].astype(np.int64), shingle
 
 
 class _Lines:
     """The paragraphs of a block, led through the levels as far as answers are known."""
 
     def __init__(self, data: bytes, sizes: np.ndarray, given: dict, shards: int, least: int):
-        self.lines: list[tuple[int, int]] = []  # place of the text, place of the line
-        self.sets: list[np.ndarray] = []
-        at = 0
-        for text, size in enumerate(sizes.tolist()):
-            for place, line in enumerate(data[at : at + size].split(b"\n")):
-                if len(line) >= 2 * least - 1 and len(line.split()) >= least:
-                    self.lines.append((text, place))
-                    self.sets.append(shingles(line))
-            at += size
-        self.keys = [hashlib.md5(s.tobytes()).digest() for s in self.sets]
-        self.level = Level(np.frombuffer(b"".join(self.keys), [("a", "<u8"), ("b", "<u8")]), shards)
+        self.text, self.place, self.edges, self.shingles = line_sets(data, sizes, least)
+        begin = self.edges[:-1]
+        if len(begin):
+            sums = [np.add.reduceat(mix(self.shingles ^ seed), begin) for seed in _SEEDS[:2]]
+            self.keys = pairs(sums[0], sums[1] ^ np.diff(self.edges).astype(np.uint64))
+        else:
+            self.keys = single(np.zeros(0, np.uint64))
+        self.level = Level(self.keys, shards)
         if 1 not in given:
             return
         stands = np.flatnonzero(self.level.answers(given[1]) & STANDS)
-        self.open = stands[np.sort(np.unique(self.level.inverse[stands], return_index=True)[1])].tolist()
-        self.names = np.array([bands(self.sets[i]) for i in self.open], np.uint64).reshape(-1, BANDS)
+        self.open = stands[np.sort(np.unique(self.level.inverse[stands], return_index=True)[1])]
+        self.names = self.bands(self.open)
         self.level = Level(single(self.names.ravel()), shards)
         if 2 in given:
             self.met = (self.level.answers(given[2]) & REPEATED > 0).reshape(-1, BANDS)
 
+    def bands(self, which: np.ndarray) -> np.ndarray:
+        """A name for each band of lines: the smallest shingles under ``ROWS`` permutations, mixed."""
+        out = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(which), 1))
+        if not len(which):
+            return out
+        size = np.diff(self.edges)[which]
+        begin = np.cumsum(size) - size
+        inner = np.arange(int(size.sum())) - np.repeat(begin, size)
+        own = self.shingles[np.repeat(self.edges[which], size) + inner]
+        for band in range(BANDS):
+            for row in range(ROWS):
+                out[:, band] = mix(out[:, band] ^ np.minimum.reduceat(mix(own ^ _SEEDS[band * ROWS + row]), begin))
+        return out
 
-def _links(found: Iterator[tuple]) -> Iterator[tuple]:
-    """Sorted rows ``(key, cell, side, id, tokens)`` to verified links of each cell."""
-
-    def verified(held: list[tuple]):
-        sides = [[h for h in held if h[2] == s] for s in (0, 1)]
-        trees = [SignatureTree([np.frombuffer(h[4], np.uint64) for h in side]) for side in sides]
-        forest = Forest(len(held))
-        ids = [h[3] for side in sides for h in side]
-        pairs = trees[0].join(forest, trees[1], len(sides[0])) if sides[1] else trees[0].join(forest)
-        for i, j in pairs:
-            yield ids[i], ids[j]
+    def key(self, i: int) -> bytes:
+        return self.keys[i].tobytes()
 
-    held: list[tuple] = []
-    for row in found:
-        if held and row[:2] != held[0][:2]:
-            yield from verified(held)
-            held = []
-        held.append(row)
-    if held:
-        yield from verified(held)
+    def set(self, i: int) -> bytes:
+        return blob(self.shingles[self.edges[i] : self.edges[i + 1]])
 
 
 def _verified_links(candidates: DataFrame, parts: int) -> DataFrame:
     """Links of paragraphs that share a band; groups beyond ``CHUNK`` meet cell by cell, all chunks with all."""
-    each = candidates.select("id", F.explode("keys").alias("key"))
-    counts = each.groupBy("key").count().where("count > 1")
-    chunks = F.ceil(F.col("count") / CHUNK).cast("int")
-    placed = each.join(counts, "key").select(
-        "key", "id", chunks.alias("k"), F.pmod(F.xxhash64("id"), chunks.cast("long")).cast("int").alias("c")
+    cells = in_cells(candidates.select("id", F.explode("keys").alias("key")), CHUNK)
+    met = cells.join(candidates.select("id", "tokens"), "id").select(
+        "key", "cell", "side", "id", F.lit(None).cast("binary").alias("component"), "tokens"
     )
-    # cell (i, j) with i <= j holds chunk i on the left and chunk j on the right; cell (i, i) one side only
-    cells = placed.select(
-        "key",
-        "id",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.col("k") - 1),
-                lambda o: F.struct(
-                    (F.least(o, F.col("c")) * F.col("k") + F.greatest(o, F.col("c"))).alias("cell"),
-                    (o < F.col("c")).cast("int").alias("side"),
-                ),
-            )
-        ).alias("at"),
-    ).select("key", "at.cell", "at.side", "id")
-    met = cells.join(candidates.select("id", "tokens"), "id").select("key", "cell", "side", "id", "tokens")
     dealt = met.repartition(parts, "key", "cell").sortWithinPartitions("key", "cell")
-    return stage(arrow_rows(dealt, _links, "a binary, b binary"), "paragraph-links")
+    return stage(arrow_rows(dealt, tree_links, "a binary, b binary"), "paragraph-links")
 
 
 def remove_paragraphs(docs: DataFrame, least: int = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -128,9 +150,9 @@ def remove_paragraphs(docs: DataFrame, least: int = LEAST, key: str = "doc_id",
         for sizes, data, answers in found:
             own = {level: by_level([answers]).get(level, {}) for level in (1, 2)}
             state = _Lines(bytes(data), np.frombuffer(sizes, np.int64), own, shards, least)
-            for i, names, met in zip(state.open, state.names, state.met, strict=True):
+            for i, names, met in zip(state.open.tolist(), state.names, state.met, strict=True):
                 if met.any():
-                    yield state.keys[i], (names[met] >> np.uint64(1)).astype(np.int64).tolist(), blob(state.sets[i])
+                    yield state.key(i), (names[met] >> np.uint64(1)).astype(np.int64).tolist(), state.set(i)
 
     source = packed.select("block", "sizes", "data").join(by_block(given).hint("shuffle_hash"), "block")
     candidates = stage(
@@ -142,8 +164,8 @@ def remove_paragraphs(docs: DataFrame, least: int = LEAST, key: str = "doc_id",
     def listed(found):
         for block, sizes, rest, data in found:
             state = _Lines(bytes(data), np.frombuffer(sizes, np.int64), {}, shards, least)
-            for (at, line), name in zip(state.lines, state.keys, strict=True):
-                yield block, at, line, rest[at][key], name
+            for i, (at, line) in enumerate(zip(state.text.tolist(), state.place.tolist(), strict=True)):
+                yield block, at, line, rest[at][key], state.key(i)
 
     lines = arrow_rows(
         packed.select("block", "sizes", "rest", "data"), listed, f"block long, at int, line int, {key} {kind}, id binary"
