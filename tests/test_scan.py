@@ -105,3 +105,11 @@ def test_a_hot_key_is_spread_over_stretches(spark):
     plan = scanned._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_part" in plan and "SinglePartition" not in plan
     assert scanned.agg(F.max("n")).first()[0] == 5000
+
+
+def test_rows_without_a_time_do_not_share_a_stretch(spark):
+    from tramline.operators.metrics import headway
+
+    df = spark.range(2000).select(F.lit("s").alias("station"), F.col("id"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("t"))
+    found = headway(df, ["station"], F.col("t"), "gap", ["id"]).collect()
+    assert sorted((r.id, r.gap) for r in found) == [(i, 4 if i % 4 == 0 and i else None) for i in range(2000)]

@@ -32,6 +32,7 @@ from tramline.operators.scan import (
 # Widths of one stretch: stop sequences of a trip, seconds at a station.
 SEQUENCE_BLOCK = 256
 STATION_SECONDS = 900
+UNTIMED_STRETCHES = 1 << 16  # stretches that rows without a time are dealt over
 
 
 def plan_travel_time(
@@ -61,13 +62,17 @@ def headway(
 
     ``at`` is a time in seconds; rows order by it and then by ``tie``. Where
     very many rows can share a second, ``split`` cuts finer (``fine_stretch``).
+    Rows without a time have no headway and give none, so they may lie in any
+    order before the others: they are dealt over stretches of their own.
     """
     work = df.withColumn("_at", at)
+    untimed = F.pmod(F.xxhash64(*[F.col(t) for t in tie]), F.lit(UNTIMED_STRETCHES)) - 2 * UNTIMED_STRETCHES - (1 << 40)
+    timed = stretch(F.col("_at"), STATION_SECONDS)
     scanned = ordered(
         work,
         keys,
         [F.col("_at"), *[F.col(t) for t in tie]],
-        stretch(F.col("_at"), STATION_SECONDS) if split is None else split,
+        F.when(F.col("_at").isNull(), untimed).otherwise(timed) if split is None else split,
         _previous=lag_at(),
     )
     gap = F.col("_at") - F.col("_previous")
