@@ -136,6 +136,39 @@ def test_large_paragraph_groups_meet_cell_by_cell(documents, prose, monkeypatch)
     assert sorted(r.doc_id for r in found if r.n_removed == 0) == [0]
 
 
+def test_short_paragraphs_equal_brute_force(documents, prose, rows):
+    """Lines of 1 to 24 words: copies, and near copies on both sides of the threshold."""
+    lines = []
+    for n in range(1, 25):
+        words = (prose(200 + n, 80).replace("\n", " ").split() * 2)[:n]
+        lines += [" ".join(words)] * 2 + [" ".join(words).title(), " ".join([*words[:-1], "zz"]), " ".join(["zz", *words[1:-1], "yy"])]
+    lines += ["a b c d e"] * 5
+    random.Random(3).shuffle(lines)
+    pairs = [(i, "\n".join(lines[i::9])) for i in range(9)]
+
+    sets, places = [], []
+    for key, text in pairs:
+        for at, line in enumerate(text.split("\n")):
+            words = "".join(c.lower() if "A" <= c <= "Z" else c for c in line).split()
+            sets.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+            places.append((key, at))
+    forest = signatures.Forest(len(sets))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                forest.join(i, j)
+    roots = [forest.root(i) for i in range(len(sets))]
+    repeated = [p for p, r in zip(places, roots, strict=True) if roots.count(r) > 1]
+    goes = [p for i, p in enumerate(places) if roots[i] in roots[:i]]
+    expected = []
+    for key, text in pairs:
+        kept = [line for at, line in enumerate(text.split("\n")) if (key, at) not in goes]
+        n = [sum(p[0] == key for p in own) for own in (places, repeated, goes)]
+        expected.append((key, *n, bytearray("\n".join(kept).encode())))
+    assert len(goes) > 35
+    assert rows(paragraphs.remove_paragraphs(documents(pairs))) == ordered(expected)
+
+
 def test_empty_tables(documents, spark):
     none = documents([])
     assert suffixes.remove_repeats(none).count() == 0

@@ -30,8 +30,8 @@ from tramline.llm.names import (
 )
 from tramline.llm.signatures import in_cells, tree_links
 
-LEAST = 20  # words from which a line counts as a paragraph that can be a duplicate
 WORDS = 5
+LEAST = WORDS  # words from which a line has a shingle, and so counts as a paragraph that can be a duplicate
 BANDS, ROWS = 14, 3  # at a similarity of 0.75, 1 - (1 - 0.75 ** 3) ** 14 = 0.9995 of the pairs collide
 CHUNK = 512  # paragraphs of one side of a verification
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
@@ -136,7 +136,8 @@ def remove_paragraphs(docs: DataFrame, least: int = LEAST, key: str = "doc_id",
     Lines of ``least`` words or more are near duplicates when the Jaccard similarity of their 5-word shingles is 0.75
     or more; classes are components of such pairs. ``n_paragraphs`` counts all lines that are not blank,
     ``n_repeated`` those in a class of two or more, ``n_removed`` those of them that go: all but the class's first,
-    by key, by the text's place, by line. Shorter lines stay. Null counts as empty. One row per row.
+    by key, by the text's place, by line. Lines under five words have no shingle and stay. Null counts as empty. One row
+    per row.
     """
     packed, size = pack(docs.select(key, text), text)
     shards = shard_count(size, 30)
