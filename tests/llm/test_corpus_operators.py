@@ -1,6 +1,7 @@
 """Operators that compare texts or vectors with each other."""
 
 import random
+import types
 
 import numpy as np
 import pytest
@@ -197,3 +198,35 @@ def test_top_k_equals_all_products(spark, group):
         near = [(-int(ints[q] @ v), i) for i, v in ints.items() if i != q and len(v) == len(ints[q])]
         expected += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(near)[:5], 1)]
     assert sorted(map(tuple, topk.search(table, group=group).collect())) == sorted(expected)
+
+
+def best_of_keys(vectors, query, k):
+    """Every other key once with its best score: higher scores, then smaller keys."""
+    asked, best = next(v for i, v in vectors if i == query), {}
+    for i, v in vectors:
+        if i != query:
+            best[i] = max(best.get(i, -(1 << 62)), int(asked @ v))
+    return sorted(((i, s) for i, s in best.items()), key=lambda x: (-x[1], x[0]))[:k]
+
+
+def test_top_k_of_keys_repeated_in_several_buckets(spark):
+    draw = np.random.default_rng(7)
+    vectors = [(0, np.ones(8)), *((i, draw.normal(size=8) + 0.5) for i in range(1, 200))]
+    vectors += [(7, np.ones(8) * 2.0**n) for n in range(6)] + [(9, np.ones(8) * 3)] * 6
+    rows = [(i, v.tolist()) for i, v in vectors]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    found = sorted(map(tuple, topk.search(table, every=1000).collect()))
+    expected = best_of_keys([(i, np.floor(256 * v).astype(int)) for i, v in vectors], 0, 5)
+    assert found == [(0, r, i, s) for r, (i, s) in enumerate(expected, 1)]
+
+
+def test_top_k_of_keys_repeated_in_several_batches():
+    draw = np.random.default_rng(8)
+    query = np.array([256, 256, 256])
+    vectors = [(0, query), *((i, draw.integers(-99, 100, 3)) for i in range(1, 3 * 8192))]
+    for at in (5, 8192 + 5, 2 * 8192 + 5):  # the same row in each batch, far above the others
+        vectors[at] = (5, np.array([900, 900, 900]))
+    rows = [(i, 3, float(np.sqrt(v @ v)), 0, v.astype("<i8").tobytes()) for i, v in vectors]
+    sent = types.SimpleNamespace(value=({0: query.astype(float)}, {0: -np.inf}))
+    found = sorted((i, s) for _, i, s in topk._scan(sent, 3)(iter(rows)))
+    assert found == sorted(best_of_keys(vectors, 0, 3))

@@ -49,14 +49,14 @@ def _products(matrix: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """The k best of a query so far: higher scores, then smaller ids."""
+    """The k best of a query so far, each id once with its best score: higher scores, then smaller ids."""
 
     def __init__(self, k: int, floor: float):
         self.k, self.floor = k, floor
         self.scores, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        scores, ids = np.r_[self.scores, scores], np.r_[self.ids, ids]
+        ids, scores = _once(np.r_[self.ids, ids], np.r_[self.scores, scores])
         order = np.lexsort((ids, -scores))[: self.k]
         self.scores, self.ids = scores[order], ids[order]
         if len(order) == self.k:
@@ -161,8 +161,7 @@ def _scan(sent, k: int):
                         scores = _products(matrix[at], q)
                         good = scores >= best[name].floor
                         if good.any():
-                            ids_, scores_ = _once(ids[at][good], scores[good])
-                            best[name].add(scores_, ids_)
+                            best[name].add(scores[good], ids[at][good])
 
         batch: list[tuple] = []
         for row in found:
