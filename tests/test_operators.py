@@ -207,6 +207,20 @@ def test_feed_merge_cuts_each_day_by_itself(spark):
     assert merge_daily_feed(stored, new.limit(0), ["day", "k"], day).count() == stored.count()
 
 
+def test_feed_merge_query_keeps_every_row(spark):
+    """Rows of either kind at every hour of four days: each has its own payload, so each comes out once."""
+    from types import SimpleNamespace
+
+    from tramline.workload import load
+
+    kinds = ["view", "click", "purchase", "error", None]
+    rows = [(i, i, f"2024-01-{1 + i % 4:02d} {i // 20 % 24:02d}:30:00", kinds[i % 5]) for i in range(480)]
+    made = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string")
+    t = SimpleNamespace(events=made.withColumns({"ts": F.col("ts").cast("timestamp_ntz"), "value": F.lit(1.0), "props": F.lit("{}")}))
+    found = load()["daily_feed_merge"].build(t).select("trip_id", "event_type").collect()
+    assert len(found) == len(set(found)) == 480
+
+
 def test_nothing_stored_takes_everything(spark):
     from tramline.operators.changes import replace_recent
     from tramline.sources.manifest import schedules_to_process

@@ -387,12 +387,12 @@ UNION ALL SELECT route_id, trip_id, stop_sequence, event_type, min(feed_timestam
 """)
 def daily_feed_merge(t):
     feed = positions(t).select("route_id", "trip_id", "stop_sequence", "event_type", F.col("epoch").alias("feed_timestamp"))
-    is_new = F.col("event_type").isin("view", "click")
     at = F.col("feed_timestamp")
     # every day has its own first new row; days without new rows stay as they are
-    new = feed.filter(is_new & (F.floor(at / 86400) % 3 > 0) & (at % 86400 > 43200))
+    is_new = F.col("event_type").isin("view", "click") & (F.floor(at / 86400) % 3 > 0) & (at % 86400 > 43200)
+    is_new = F.coalesce(is_new, F.lit(False))
     payload = ["route_id", "trip_id", "stop_sequence", "event_type"]
-    return sinks.merge_daily_feed(feed.filter(~is_new), new, payload, [F.floor(at / 86400)])
+    return sinks.merge_daily_feed(feed.filter(~is_new), feed.filter(is_new), payload, [F.floor(at / 86400)])
 
 
 @query(f"""
