@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tramline.llm import bpe, decontaminate, pages, paragraphs, quality, repair, separators, signatures, suffixes, topk
+from pyspark.sql import functions as F
+
+from tramline.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    negatives,
+    pages,
+    paragraphs,
+    quality,
+    repair,
+    separators,
+    signatures,
+    sketches,
+    suffixes,
+    topk,
+)
 from tramline.llm.common import crc_mod, table
 
 
@@ -63,6 +78,22 @@ def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fast_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved))
+
+
+def op13_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_documents(docs, files[0], public_tokenizers.PATTERN, files[1])[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_signature_trees,
         op9_repair_tokens,
         op10_norm_buckets,
+        op11_fast_sketches,
+        op12_angular_negatives,
+        op13_aligned_tokens,
     )
 }
-SQL: dict[str, str] = {"op10_norm_buckets": topk.SQL}
+SQL: dict[str, str] = {"op10_norm_buckets": topk.SQL, "op12_angular_negatives": negatives.SQL}
