@@ -113,3 +113,21 @@ def test_rows_without_a_time_do_not_share_a_stretch(spark):
     df = spark.range(2000).select(F.lit("s").alias("station"), F.col("id"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("t"))
     found = headway(df, ["station"], F.col("t"), "gap", ["id"]).collect()
     assert sorted((r.id, r.gap) for r in found) == [(i, 4 if i % 4 == 0 and i else None) for i in range(2000)]
+
+
+def test_even_stretches_of_texts_with_common_ends(spark):
+    from tramline.operators.scan import even_stretches
+    from tramline.sources.manifest import files_by_date, grouped_and_sorted
+
+    paths = [f"bucket/out/{i:06d}/part.parquet" for i in range(3000)]
+    files = spark.createDataFrame([("2024-01-01", "a" if i % 3 else "b", p) for i, p in enumerate(paths)], "service_date string, source string, path string")
+    cut = even_stretches(files, [F.col("path")], 10)
+    sizes = [r["count"] for r in cut.groupBy("_stretch").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 900  # neither one stretch nor one for each path
+    found = {(r.source, r.path): r.position for r in files_by_date(files).collect()}
+    for source in "ab":
+        own = sorted(p for s, p in found if s == source)
+        assert [found[source, p] for p in own] == list(range(1, len(own) + 1))
+    odd = spark.createDataFrame([(f"x/no-stamp-{i:04d}_type.json",) for i in range(500)] + [(None,)], "path string")
+    placed = grouped_and_sorted(odd.where("path is not null")).orderBy("path").collect()
+    assert [r.position for r in placed] == list(range(1, 501))

@@ -229,11 +229,14 @@ def date_gaps(df: DataFrame, date: str) -> DataFrame:
     return scanned.select(date, F.datediff("_next", date).alias("days_to_next"))
 
 
-def row_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, nulls, lowest and highest of each column, one row per column."""
+def row_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, nulls, lowest and highest of each column (all, if none are named), one row per column.
+
+    All columns are summed up in one pass over the rows; the summaries are then unpivoted.
+    """
     aggs = []
-    for c in columns:
-        col = F.col(c)
+    for c in columns or df.columns:
+        col = F.col(f"`{c}`")
         aggs.append(
             F.struct(
                 F.lit(c).alias("column"),

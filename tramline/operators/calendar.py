@@ -105,10 +105,13 @@ def version_for_dates(dates: DataFrame, feeds: DataFrame) -> DataFrame:
 
     Live rule first (published on or before the date; latest active date, then
     latest creation), else the archive rule (latest start date). Dates no feed
-    covers keep a null version. Feeds are listed by date, so the match is an
-    equality and the choice an aggregate.
+    covers keep a null version. Feeds are listed by date, from the first to the
+    last of ``dates`` at most, so the match is an equality and the choice an
+    aggregate.
     """
-    listed = each_date(feeds, "feed_start_date", "feed_end_date").select(
+    first, last = (dates.agg(f("service_date").cast("long")).scalar() for f in (F.min, F.max))
+    asked = feeds.withColumns({"_from": F.greatest("feed_start_date", first), "_to": F.least("feed_end_date", last)})
+    listed = each_date(asked, "_from", "_to").select(
         "service_date", "feed_active_date", "feed_start_date", "created_on", "static_version_key"
     )
     order = F.struct("created_on", "static_version_key")

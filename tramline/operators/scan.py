@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline.operators.groups import key_struct
+from tramline.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -116,6 +117,17 @@ def fine_stretch(first: Column, second: Column, width: int) -> Column:
     return F.struct(first.alias("first"), stretch(second, width).alias("block"))
 
 
+def even_stretches(df: DataFrame, order: Sequence[Column], parts: int | None = None) -> DataFrame:
+    """Add ``_stretch``, which cuts the rows by ``order`` into about even parts, whatever the values look like.
+
+    The cuts are quantiles that Spark takes from a sample of the order columns, so texts with common prefixes or
+    suffixes and repeated values spread as well as numbers do. Rows equal in all order columns share a stretch, and
+    stretches rise with the order, nulls first. The rows are written once: the cuts are drawn once.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(max(2, parts), *order)
+    return cut_lineage(dealt.withColumn("_stretch", F.spark_partition_id().cast("long")), "stretches")
+
 
 def ordered(
     df: DataFrame,

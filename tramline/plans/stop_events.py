@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,10 @@ def departed_when_advanced(events: DataFrame, trip: Sequence[str] = TRIP) -> Dat
     ).drop("_furthest")
 
 
+def _row_type(fields: Sequence[str]) -> T.StructType:
+    return T.StructType([STATE[c] for c in fields])
+
+
 def update_stop_events(
     existing: DataFrame, new: DataFrame, published: Column | int, max_age: int = MAX_AGE_SECONDS
 ) -> DataFrame:
@@ -98,26 +102,31 @@ def update_stop_events(
 
     Old events go. By key, existing values win except the last standing time,
     which the snapshot renews. A stop the trip has passed gets its departure
-    and, the first time, the publication time. Stops without any event go.
+    and, the first time, the publication time. Stops without any event go. The
+    state has a key once, and so has a snapshot (``unnest_positions``); a trip has
+    as many rows as stops.
     """
     at = (F.lit(published) if isinstance(published, int) else published).cast("long")
-    kept = expire(existing, at, max_age)
     fields = [c for c in STATE.fieldNames() if c not in KEY]
-    old = kept.select(*KEY, *[F.col(c).alias(f"o_{c}") for c in fields])
-    fresh = new.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in fields])
-    both = with_group_values(old.join(fresh, list(KEY), "full"), TRIP, _furthest=F.max("stop_sequence"))
-    passed = F.col("_furthest") > F.col("stop_sequence")
-    merged = both.select(
+    row = F.struct(*fields)
+    # one shuffle and one sort, by a hash of the trip first, which compares faster than its columns: rows meet by key,
+    # and the trip's furthest stop is found where they are
+    sides = expire(existing, at, max_age).select(*KEY, row.alias("o"), F.lit(None).cast(_row_type(fields)).alias("n"))
+    fresh = new.select(*KEY, F.lit(None).cast(_row_type(fields)).alias("o"), row.alias("n"))
+    dealt = sides.unionByName(fresh).withColumn("_trip", F.xxhash64(*TRIP)).repartition("_trip")
+    both = dealt.groupBy("_trip", *KEY).agg(F.max("o").alias("o"), F.max("n").alias("n"))
+    passed = F.max("stop_sequence").over(Window.partitionBy("_trip", *TRIP)) > F.col("stop_sequence")
+    merged = both.withColumn("_passed", passed).select(
         *KEY,
         *[
-            F.coalesce(f"o_{c}", f"n_{c}").alias(c)
+            F.coalesce(f"o.{c}", f"n.{c}").alias(c)
             for c in ("id", "direction_id", "start_time", "revenue", "stop_id", "arrived")
         ],
-        F.coalesce(F.when(passed, F.col("o_latest_stopped_timestamp")), F.col("o_departed")).alias("departed"),
+        F.coalesce(F.when(F.col("_passed"), F.col("o.latest_stopped_timestamp")), F.col("o.departed")).alias("departed"),
         F.coalesce(
-            F.when(passed & F.col("o_departed").isNull(), at), F.col("o_timestamp"), at
+            F.when(F.col("_passed") & F.col("o.departed").isNull(), at), F.col("o.timestamp"), at
         ).alias("timestamp"),
-        F.coalesce("n_latest_stopped_timestamp", "o_latest_stopped_timestamp").alias("latest_stopped_timestamp"),
+        F.coalesce("n.latest_stopped_timestamp", "o.latest_stopped_timestamp").alias("latest_stopped_timestamp"),
     )
     seen = merged.filter(F.col("arrived").isNotNull() | F.col("departed").isNotNull())
     return V.valid(seen.select(*STATE.fieldNames()), _rules())

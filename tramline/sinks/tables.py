@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,7 +14,8 @@ from tramline.functions.nested import quoted
 from tramline.operators.aggregates import windowed_dedup
 from tramline.operators.validate import Rules, quarantined, valid
 from tramline.session import scratch_path
-from tramline.sources.tables import conform, stored_table
+from tramline.sinks.versions import PublishedTable
+from tramline.sources.tables import conform
 
 
 def write_partitioned(
@@ -54,18 +56,18 @@ def merge_daily_feed(
 
 
 def guarded_replace(spark: SparkSession, df: DataFrame, path: str) -> bool:
-    """Replace a table only by one with at least as many rows.
+    """Replace a table only by one with at least as many rows; read it with ``published``.
 
-    The new rows are written aside first, counted there, and then put in place.
+    The rows are written once, into a folder of their own; then a small list points to it. Until that moment, and
+    whatever happens before, readers have the old rows.
     """
-    staged = scratch_path(spark, "staged")
-    df.write.parquet(staged)
-    fresh = spark.read.schema(df.schema).parquet(staged)
-    stored = stored_table(spark, path)
-    if stored is not None and fresh.count() < stored.count():
-        return False
-    fresh.write.mode("overwrite").parquet(path)
-    return True
+    table = PublishedTable(spark, path)
+    return table.replace(df, table.rows())
+
+
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows that ``guarded_replace`` published last; none where it never did."""
+    return PublishedTable(spark, path).read()
 
 
 def drop_days(spark: SparkSession, path: str, column: str, first: str, last: str, keep: DataFrame) -> None:
@@ -128,8 +130,38 @@ def file_index(manifest: DataFrame, url_prefix: str) -> DataFrame:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """The index as CSV, newest date first."""
-    index.orderBy(F.desc("service_date")).write.mode("overwrite").option("header", "true").csv(path)
+    """The index as one CSV file with a header, newest date first.
+
+    Tasks write ranges of the order; the file system client then copies their files, by name, into one, 64 KB at a
+    time: no task and no memory holds the index.
+    """
+    spark = index.sparkSession
+    parts = scratch_path(spark, "index")
+    named = index.select(*[F.col(quoted(c)).cast("string") for c in index.columns])
+    named.orderBy(F.desc("service_date"), "file_url").write.csv(f"{parts}/rows")
+    header = spark.createDataFrame([tuple(index.columns)], named.schema)
+    header.coalesce(1).write.csv(f"{parts}/header")
+    join_files(spark, [f"{parts}/header", f"{parts}/rows"], path)
+
+
+def join_files(spark: SparkSession, folders: Sequence[str], path: str) -> None:
+    """All part files of some folders, in order of their names, as one file: aside first, then in its place."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place, aside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = place.getFileSystem(conf)
+    out = fs.create(aside, True)
+    for folder in folders:
+        top = jvm.org.apache.hadoop.fs.Path(folder)
+        own = top.getFileSystem(conf)
+        for found in sorted(s.getPath().getName() for s in own.listStatus(top) if s.getPath().getName().startswith("part-")):
+            source = own.open(jvm.org.apache.hadoop.fs.Path(top, found))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+            source.close()
+    out.close()
+    if fs.exists(place):
+        fs.delete(place, True)
+    if not fs.rename(aside, place):
+        raise OSError(f"cannot put {path} in place")
 
 
 def rolling_window(df: DataFrame, date: str, days: int, schema: T.StructType, where: Column | None = None, convert=None) -> DataFrame:

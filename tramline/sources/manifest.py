@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.times import date_int, published_at
 from tramline.operators.groups import first_row
-from tramline.operators.scan import ordered, row_number
+from tramline.operators.scan import even_stretches, ordered, row_number
 
 # Text in a feed file's name and the feed it tells; the first match wins.
 FEED_PATTERNS = (
@@ -65,8 +65,9 @@ def grouped_and_sorted(manifest: DataFrame, tie: Sequence[str] = ()) -> DataFram
         F.regexp_extract(name, r"^[^_]*_(.*)$", 1).alias("file_type"),
         F.substring(name, 1, 20).alias("stamp"),
     )
-    minute = F.translate(F.substring("stamp", 1, 16), "-T:", "").try_cast("long")
-    return ordered(named, ["file_type"], [minute, F.col("stamp"), F.col("path"), *[F.col(c) for c in tie]], minute, position=row_number())
+    order = [F.col("stamp"), F.col("path"), *[F.col(c) for c in tie]]
+    cut = even_stretches(named, order)
+    return ordered(cut, ["file_type"], order, F.col("_stretch"), position=row_number()).drop("_stretch")
 
 
 def partition_time(path: Column) -> Column:
@@ -152,10 +153,8 @@ def files_by_date(files: DataFrame, by: Sequence[str] = ("service_date", "source
 
     A date may have any number of files: its list is never gathered.
     """
-    # stretches of paths that differ in the last three of the longest path's characters at most
-    head = files.agg(F.max(F.length("path")) - 3).scalar()
-    cut = F.substring(F.col("path"), F.lit(1), head)
-    return ordered(files, list(by), [F.col("path")], cut, position=row_number())
+    cut = even_stretches(files, [F.col("path")])
+    return ordered(cut, list(by), [F.col("path")], F.col("_stretch"), position=row_number()).drop("_stretch")
 
 
 def schedule_index(index: DataFrame) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tramline.operators import validate as V
-from tramline.operators.changes import append_distinct
 from tramline.operators.events import upsert_events
+from tramline.operators.groups import anti
 from tramline.plans import stop_events
 from tramline.sinks.tables import write_snapshot
+from tramline.sinks.versions import AppendTable, DatedTable
 from tramline.session import cut_lineage
 from tramline.sources import event_bus, feeds
 from tramline.streaming.state import VersionedTable
@@ -78,20 +79,30 @@ def late_deduplicated(stream: DataFrame, event_time: str, payload: Sequence[str]
 
 
 def event_bus_append(
-    spark: SparkSession, records: DataFrame, tables: dict[str, VersionedTable], quarantine: str, checkpoint: str, every: str | None = None
+    spark: SparkSession, records: DataFrame, tables: dict[str, AppendTable], quarantine: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Event-bus records -> one typed table per kind, repeats once, rule breakers and unknown kinds aside."""
+    """Event-bus records -> one typed append-only table per kind, repeats once, rule breakers and unknown kinds aside.
+
+    A batch writes its own folders only. Rows that are stored already are left out by an anti join, so records that
+    come again later add nothing, and a batch that runs again after a failure replaces its own folders.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        routed = event_bus.route_records(batch)
-        unknown = routed.filter(F.col("kind") == "unknown").select("id", F.lit("unknown").alias("kind"), F.array(F.lit("no distinguishing key")).alias("reasons"))
-        unknown.write.mode("overwrite").parquet(f"{quarantine}/batch={number}/kind=unknown")
-        for kind, table in tables.items():
-            rows = event_bus.typed_table(routed, kind)
-            rules = event_bus.rules(kind)
-            bad = V.quarantined(rows, rules).select("id", F.lit(kind).alias("kind"), "reasons")
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={number}/kind={kind}")
-            table.write(append_distinct(table.before(number), V.valid(rows, rules)).select(*table.schema.fieldNames()), number)
+        routed = event_bus.route_records(batch).persist()
+        try:
+            unknown = routed.filter(F.col("kind") == "unknown").select(
+                "id", F.lit("unknown").alias("kind"), F.array(F.lit("no distinguishing key")).alias("reasons")
+            )
+            unknown.write.mode("overwrite").parquet(f"{quarantine}/batch={number}/kind=unknown")
+            for kind, table in tables.items():
+                rows = event_bus.typed_table(routed, kind)
+                rules = event_bus.rules(kind)
+                bad = V.quarantined(rows, rules).select("id", F.lit(kind).alias("kind"), "reasons")
+                bad.write.mode("overwrite").parquet(f"{quarantine}/batch={number}/kind={kind}")
+                new = V.valid(rows, rules).select(*table.schema.fieldNames()).distinct()
+                table.append(anti(new, table.before(number), table.schema.fieldNames()), number)
+        finally:
+            routed.unpersist()
 
     return start(records, each, checkpoint, every)
 
@@ -99,27 +110,30 @@ def event_bus_append(
 def incremental_change_loop(
     spark: SparkSession,
     new_events: DataFrame,
-    state: VersionedTable,
+    state: DatedTable,
     keys: Sequence[str],
-    recompute: Callable[[DataFrame, DataFrame], None] | None,
+    recompute: Callable[[DataFrame, list[str]], None] | None,
     checkpoint: str,
     every: str | None = None,
-    date: str = "service_date",
 ) -> StreamingQuery:
-    """New events upserted into the event table, then ``recompute(events, touched dates)`` of each batch.
+    """New events upserted into the event table, then ``recompute(events of the touched dates, touched dates)``.
 
-    The stream's checkpoint remembers which files are done; a failed batch is
-    run again from the same state.
+    A batch reads and writes the dates it touches and no others; the table's date column is one of ``keys``. The
+    stream's checkpoint remembers which files are done; a failed batch is run again from the same state.
     """
+    if state.by not in keys:
+        raise ValueError(f"{state.by!r} has to be one of the keys")
 
     def each(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
-            merged = upsert_events(state.before(number), batch, keys)
+            touched = state.dates(batch)
+            if not touched:
+                return
+            merged = upsert_events(state.read(before=number, dates=touched), batch, keys)
             state.write(merged.select(*state.schema.fieldNames()), number)
             if recompute is not None:
-                touched = batch.select(date).distinct()
-                recompute(state.latest().join(touched, date, "left_semi"), touched)
+                recompute(state.read(dates=touched), touched)
         finally:
             batch.unpersist()
 

@@ -232,9 +232,12 @@ def nested_trip_documents(t):
     return documents.select("service_date", "trip_id", "span", stops.alias("stops"))
 
 
-@query("""
-SELECT 'o_custkey' AS "column", count(o_custkey) AS count, count(*) - count(o_custkey) AS nulls, CAST(min(o_custkey) AS VARCHAR) AS min, CAST(max(o_custkey) AS VARCHAR) AS max FROM orders
-UNION ALL SELECT 'o_orderpriority', count(o_orderpriority), count(*) - count(o_orderpriority), min(o_orderpriority), max(o_orderpriority) FROM orders
-""")
+_ORDER_COLUMNS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM orders"""
+    for c in _ORDER_COLUMNS
+))
 def row_profile(t):
-    return aggregates.row_profile(t.orders, ["o_custkey", "o_orderpriority"])
+    return aggregates.row_profile(t.orders)

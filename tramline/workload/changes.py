@@ -35,6 +35,7 @@ def _exceptions(t):
     )
 
 
+_VERSION_SPANS = ((19970101, 19980331), (19980101, 19981231), (19970601, 19990630))
 _CAL_SQL = """cal AS (SELECT o_orderkey AS service_id, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_custkey % 120 AS INT) AS e, o_custkey FROM orders),
 exc AS (SELECT l_orderkey AS service_id, CAST(l_shipdate AS DATE) AS d, CASE l_returnflag WHEN 'R' THEN 2 WHEN 'A' THEN 1 ELSE 0 END AS kind FROM lineitem)"""
 
@@ -53,19 +54,22 @@ def service_ids_for_date(t):
 
 @query(f"""
 WITH {_CAL_SQL},
+feeds AS (SELECT * FROM (VALUES (0, DATE '1997-01-01', DATE '1998-03-31'), (1, DATE '1998-01-01', DATE '1998-12-31'), (2, DATE '1997-06-01', DATE '1999-06-30')) AS f(v, fs, fe)),
 regular AS (SELECT service_id, d FROM (SELECT service_id, o_custkey, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM cal) WHERE (o_custkey >> ((dayofweek(d) + 6) % 7)) & 1 = 1),
 services AS (SELECT service_id, d FROM regular UNION SELECT service_id, d FROM exc WHERE kind = 1)
-SELECT DISTINCT o_orderpriority AS route_id, service_id, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS service_date, CAST(2 AS BIGINT) AS static_version_key
-FROM services JOIN orders ON service_id = o_orderkey WHERE (service_id, d) NOT IN (SELECT (service_id, d) FROM exc WHERE kind = 2) AND d BETWEEN DATE '1997-01-01' AND DATE '1999-06-30'
+SELECT DISTINCT o_orderpriority AS route_id, service_id, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS service_date, CAST(v AS BIGINT) AS static_version_key
+FROM services JOIN orders ON service_id = o_orderkey JOIN feeds ON o_orderkey % 3 = v AND d BETWEEN fs AND fe WHERE (service_id, d) NOT IN (SELECT (service_id, d) FROM exc WHERE kind = 2)
 """)
 def service_id_calendar(t):
-    feeds = t.region.groupBy().agg(F.lit(2).cast("long").alias("static_version_key")).withColumns(
-        {"feed_start_date": F.lit(19970101).cast("long"), "feed_end_date": F.lit(19990630).cast("long")}
-    )
-    service_trips = t.orders.select(
-        F.lit(2).cast("long").alias("static_version_key"), F.col("o_orderkey").alias("service_id"), F.col("o_orderpriority").alias("route_id")
-    )
-    return calendar.service_calendar(_calendar(t), _exceptions(t), feeds, service_trips)
+    """Three versions, each with its own services; up to three are live on a date."""
+    version = F.col("service_id") % 3
+    span = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in _VERSION_SPANS])
+    feeds = t.region.filter("r_regionkey < 3").select(
+        F.col("r_regionkey").cast("long").alias("static_version_key"), F.get(span, F.col("r_regionkey").cast("int")).alias("_s")
+    ).select("static_version_key", F.col("_s.a").alias("feed_start_date"), F.col("_s.b").alias("feed_end_date"))
+    service_trips = t.orders.select(F.col("o_orderkey").alias("service_id"), F.col("o_orderpriority").alias("route_id"))
+    tables = [df.withColumn("static_version_key", version) for df in (_calendar(t), _exceptions(t), service_trips)]
+    return calendar.service_calendar(tables[0], tables[1], feeds, tables[2])
 
 
 @query("""

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.operators import events, filters
 from tramline.operators import validate as V
 from tramline.plans import alerts, bus, rail, stop_events
 from tramline.session import cut_lineage, scratch_path
+from tramline.sinks.versions import DatedTable
 from tramline.streaming import jobs as streams
 from tramline.streaming.state import VersionedTable
 from tramline.workload.aggregations import _KEPT_SQL
@@ -447,21 +449,30 @@ def late_and_out_of_order(t):
 
 @query(f"""
 WITH {RAIL_EVENTS}
-SELECT service_date, trip_id, parent_station, vp_move_timestamp, vp_stop_timestamp, tu_stop_timestamp FROM rail_events
+SELECT service_date, trip_id, parent_station, vp_move_timestamp, vp_stop_timestamp, tu_stop_timestamp, count(*) OVER (PARTITION BY service_date, trip_id) AS trip_stops FROM rail_events
 """)
 def incremental_change_loop(t):
-    """Rail events arriving twice in one micro-batch, upserted by the stream into the event table."""
+    """Rail events in several micro-batches, moves first, upserted by date; trips of touched dates counted anew."""
     keys = ["service_date", "trip_id", "parent_station"]
     e = rail_events(t).select(*keys, "stop_sequence", "vp_move_timestamp", "vp_stop_timestamp", "tu_stop_timestamp")
     folder = scratch_path(t.spark, "changes")
     moves = e.withColumns({"vp_stop_timestamp": F.lit(None).cast("long"), "tu_stop_timestamp": F.lit(None).cast("long")})
-    moves.write.parquet(f"{folder}/part=1")
-    e.write.parquet(f"{folder}/part=2")
-    state = VersionedTable(t.spark, scratch_path(t.spark, "rail-events"), e.schema)
-    arriving = t.spark.readStream.schema(e.schema).parquet(f"{folder}/part=*")
-    run = streams.incremental_change_loop(t.spark, arriving, state, keys, None, scratch_path(t.spark, "rail-progress"))
+    moves.coalesce(1).write.parquet(f"{folder}/part=1")
+    # moves come again: a batch of their own and one that all events share give the same table
+    moves.unionByName(e).repartition(2).write.parquet(f"{folder}/part=2")
+    state = DatedTable(t.spark, scratch_path(t.spark, "rail-events"), e.schema, "service_date")
+    counted = T.StructType([e.schema["service_date"], e.schema["trip_id"], T.StructField("trip_stops", T.LongType())])
+    trips_ = DatedTable(t.spark, scratch_path(t.spark, "rail-trips"), counted, "service_date")
+
+    def recompute(rows, dates):
+        fresh = rows.groupBy("service_date", "trip_id").agg(F.count("*").alias("trip_stops"))
+        trips_.write(fresh, trips_.next_number(), dates)
+
+    arriving = t.spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/part=*")
+    run = streams.incremental_change_loop(t.spark, arriving, state, keys, recompute, scratch_path(t.spark, "rail-progress"))
     run.awaitTermination()
-    return state.latest().select(*keys, "vp_move_timestamp", "vp_stop_timestamp", "tu_stop_timestamp")
+    columns = [*keys, "vp_move_timestamp", "vp_stop_timestamp", "tu_stop_timestamp", "trip_stops"]
+    return state.latest().join(trips_.latest(), ["service_date", "trip_id"]).select(*columns)
 
 
 @query("""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +14,9 @@ from tramline.operators.scan import time_stretch
 from tramline.operators.validate import in_range, not_null, quarantined
 from tramline.session import scratch_path
 from tramline.sinks import catalog, tables as sinks
+from tramline.sinks.versions import AppendTable, DatedTable
 from tramline.sources import event_bus, feeds, manifest, schedules, tables as sources
+from tramline.streaming import jobs as streams
 from tramline.workload.registry import query
 from tramline.workload.standins import (
     POSITIONS,
@@ -343,11 +348,28 @@ def event_bus_route(t):
 
 
 @query("""
-SELECT CAST(event_id AS VARCHAR) AS id, unnest(['start', 'stop']) AS change FROM events WHERE event_type = 'view'
+SELECT CAST(event_id AS VARCHAR) AS id, 'editor_changes' AS kind, unnest(['start', 'stop']) AS detail FROM events WHERE event_type = 'view'
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'operator_sign_ins', CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'click' AND user_id IS NOT NULL
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'trip_updates', 'u' FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'vehicle_trip_assignment', strftime(ts, '%Y-%m-%d') FROM events WHERE event_type = 'signup'
 """)
 def event_bus_append(t):
-    table = event_bus.typed_table(event_bus.route_records(_bus_records(t)), "editor_changes")
-    return table.select("id", F.col("data_changes_type").alias("change"))
+    """One stream over all records, in several batches, to the tables of the four kinds."""
+    folder = scratch_path(t.spark, "bus")
+    _bus_records(t).repartition(3).write.text(folder)
+    details = {
+        "editor_changes": "data_changes_type", "operator_sign_ins": "data_operator_badgeNumber",
+        "trip_updates": "data_tripUpdates_type", "vehicle_trip_assignment": "data_tripKey_serviceDate",
+    }
+    nothing = event_bus.route_records(t.spark.createDataFrame([], "value string"))
+    tables = {
+        kind: AppendTable(t.spark, scratch_path(t.spark, kind), event_bus.typed_table(nothing, kind).schema) for kind in details
+    }
+    lines = t.spark.readStream.format("text").option("maxFilesPerTrigger", 2).load(folder)
+    run = streams.event_bus_append(t.spark, lines, tables, scratch_path(t.spark, "bus-aside"), scratch_path(t.spark, "bus-progress"))
+    run.awaitTermination()
+    rows = [tables[k].latest().select("id", F.lit(k).alias("kind"), F.col(c).alias("detail")) for k, c in details.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query(f"""
@@ -376,14 +398,13 @@ def write_partitioned(t):
 
 _FEED_SQL = f"""{POSITIONS},
 feed AS (SELECT route_id, trip_id, stop_sequence, event_type, epoch AS feed_timestamp, epoch // 86400 AS day FROM positions),
-cut AS (SELECT day, min(feed_timestamp) - 2700 AS c FROM feed WHERE event_type IN ('view', 'click') AND day % 3 > 0 AND feed_timestamp % 86400 > 43200 GROUP BY 1),
-kept AS (SELECT * FROM feed WHERE event_type NOT IN ('view', 'click') OR (day % 3 > 0 AND feed_timestamp % 86400 > 43200))"""
+cut AS (SELECT day, min(feed_timestamp) - 2700 AS c FROM feed WHERE event_type IN ('view', 'click') AND day % 3 > 0 AND feed_timestamp % 86400 > 43200 GROUP BY 1)"""
 
 
 @query(f"""
 WITH {_FEED_SQL}
-SELECT route_id, trip_id, stop_sequence, event_type, feed_timestamp FROM kept LEFT JOIN cut USING (day) WHERE c IS NULL OR feed_timestamp < c
-UNION ALL SELECT route_id, trip_id, stop_sequence, event_type, min(feed_timestamp) FROM kept JOIN cut USING (day) WHERE feed_timestamp >= c GROUP BY 1, 2, 3, 4, day
+SELECT route_id, trip_id, stop_sequence, event_type, feed_timestamp FROM feed LEFT JOIN cut USING (day) WHERE c IS NULL OR feed_timestamp < c
+UNION ALL SELECT route_id, trip_id, stop_sequence, event_type, min(feed_timestamp) FROM feed JOIN cut USING (day) WHERE feed_timestamp >= c GROUP BY 1, 2, 3, 4, day
 """)
 def daily_feed_merge(t):
     feed = positions(t).select("route_id", "trip_id", "stop_sequence", "event_type", F.col("epoch").alias("feed_timestamp"))
@@ -431,7 +452,9 @@ def file_index_csv(t):
         F.col("o_custkey").alias("size_bytes"),
         F.col("o_orderdate").alias("last_modified"),
     )
-    return sinks.file_index(files, "https://host/").drop("last_modified")
+    path = f"{scratch_path(t.spark, 'index')}.csv"
+    sinks.write_index(sinks.file_index(files, "https://host/").drop("last_modified"), path)
+    return t.spark.read.option("header", "true").schema("service_date string, file_url string, size_bytes long").csv(path)
 
 
 @query("""
@@ -457,8 +480,10 @@ SELECT event_id, 'stored' AS origin FROM stored, cut WHERE CAST(ts AS DATE) < c
 def replace_recent_partitions(t):
     all_rows = t.events.select("event_id", "event_type", F.to_date("ts").alias("service_date"))
     stored = all_rows.filter(F.col("event_type") != "signup").withColumn("origin", F.lit("stored"))
-    merged = changes.replace_recent(stored, all_rows.withColumn("origin", F.lit("again")), "service_date")
-    return merged.select("event_id", "origin")
+    table = DatedTable(t.spark, scratch_path(t.spark, "dated"), stored.schema, "service_date")
+    table.write(stored, 0)
+    table.replace_recent(all_rows.withColumn("origin", F.lit("again")))
+    return table.latest().select("event_id", "origin")
 
 
 @query(f"""
@@ -487,7 +512,7 @@ def guarded_replace(t):
     path = scratch_path(t.spark, "customers")
     replaced = sinks.guarded_replace(t.spark, t.customer, path)
     shrunk = sinks.guarded_replace(t.spark, t.customer.filter(F.col("c_acctbal") > 0), path)
-    return t.spark.read.parquet(path).select("c_custkey", F.lit(replaced).alias("replaced"), F.lit(shrunk).alias("shrunk"))
+    return sinks.published(t.spark, path).select("c_custkey", F.lit(replaced).alias("replaced"), F.lit(shrunk).alias("shrunk"))
 
 
 @query("""
