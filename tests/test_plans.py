@@ -329,3 +329,46 @@ def test_versioned_tables_keep_other_versions(spark):
     ingest.versioned_tables({"feed_info": table, "routes": table}, 100, base)
     ingest.versioned_tables({"routes": table}, 200, base)
     assert sorted(r.timestamp for r in spark.read.parquet(f"{base}/routes").collect()) == [100, 200]
+
+
+def test_a_batch_replaces_its_own_rail_rows(spark):
+    start = 1717243200
+    docs = [feed_document(start + 10 * i, stops=("1", "1")) for i in range(3)]  # equal rows in one document stay
+
+    def copy(*batches):
+        table, rail_table = scratch_path(spark, "updates"), scratch_path(spark, "updates-rail")
+        for batch in batches:
+            found = spark.createDataFrame([(f"p{i}", d) for i, d in enumerate(batch)], "path string, document string")
+            ingest.ingest_feed(spark, found, "RT_TRIP_UPDATES", table, rail_table)
+        return sorted((r.feed_timestamp, r["trip_update.stop_time_update.stop_sequence"]) for r in spark.read.parquet(rail_table).collect())
+
+    once = copy(docs)
+    assert len(once) == 6 and copy(docs[:1], docs[1:]) == once and copy(docs, docs[1:]) == once
+
+
+def test_all_feed_layouts_keep_their_fields(spark):
+    trip = '"trip": {"trip_id": "t", "route_id": "Red", "direction_id": 0, "start_time": "08:00:00", "start_date": "20240601", "tm_trip_id": "9", "overload_id": 3}'
+    vehicle = '"vehicle": {"id": "v", "label": "1800", "consist": [{"label": "1800"}, {"label": "1801"}], "assignment_status": "A"}'
+    position = f'{{"id": "e", "is_deleted": false, "vehicle": {{{trip}, {vehicle}, "position": {{"latitude": 42.0, "odometer": 5.5}}, "current_stop_sequence": 3, "stop_id": "70086", "timestamp": 1717243100, "current_status": "STOPPED_AT", "congestion_level": "LOW", "operator": {{"id": "o"}}, "load": 4, "multi_carriage_details": [{{"label": "1800", "carriage_sequence": 1}}]}}}}'
+    update = f'{{"id": "e", "trip_update": {{{trip}, {vehicle}, "trip_properties": {{"trip_headsign": "h"}}, "stop_time_update": [{{"stop_id": "70086", "arrival": {{"time": 1717243300}}, "cause_id": 5, "remark": "r"}}]}}}}'
+    alert = '{"id": "e", "alert": {"cause": "c", "url": {"translation": [{"text": "u", "language": "en"}]}, "reminder_times": [5], "informed_entity": [{"agency_id": "1", "trip": {"trip_id": "t"}}]}}'
+    found = {}
+    for feed, layout in feeds.FEEDS.items():
+        entity = alert if feed == "RT_ALERTS" else update if feed.endswith("UPDATES") else position
+        doc = f'{{"header": {{"timestamp": 1717243200}}, "entity": [{entity}]}}'
+        table = scratch_path(spark, feed)
+        ingest.ingest_feed(spark, spark.createDataFrame([("p", doc)], "path string, document string"), feed, table)
+        found[feed] = spark.read.parquet(table)
+        assert found[feed].count() == 1 and layout.sort in found[feed].columns
+    bus_row = found["BUS_VEHICLE_POSITIONS"].first()
+    assert (bus_row["vehicle.operator.id"], bus_row["vehicle.load"], bus_row["vehicle.trip.overload_id"], bus_row["is_deleted"]) == ("o", 4, 3, False)
+    assert found["BUS_TRIP_UPDATES"].first()["trip_update.stop_time_update.cause_id"] == 5
+    assert found["RT_TRIP_UPDATES"].first()["trip_update.trip_properties.trip_headsign"] == "h"
+    assert found["RT_ALERTS"].first()["alert.informed_entity"][0]["trip"]["trip_id"] == "t"
+    rail_row = feeds.rail_position_rows(found["RT_VEHICLE_POSITIONS"]).first()
+    assert ([c["label"] for c in rail_row.vehicle_consist], rail_row.multi_carriage_details[0]["carriage_sequence"]) == (["1800", "1801"], 1)
+    assert feeds.bus_position_rows(found["BUS_VEHICLE_POSITIONS"]).first().latitude == 42.0
+    predicted = feeds.prediction_rows(found["RT_TRIP_UPDATES"]).first()
+    assert (predicted.timestamp, predicted.tu_stop_timestamp, predicted.start_time, predicted.service_date) == (1717243200, 1717243300, 28800, 20240601)
+    older = found["RT_VEHICLE_POSITIONS"].drop("vehicle.vehicle.consist", "vehicle.multi_carriage_details")
+    assert feeds.rail_position_rows(older).first().vehicle_consist is None

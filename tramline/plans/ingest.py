@@ -16,18 +16,11 @@ from tramline.session import cut_lineage
 
 DAY = ("year", "month", "day")
 
-# per feed: how rows are flattened, and the column whose values part the files
-FLATTEN = {
-    "RT_VEHICLE_POSITIONS": (feeds.flat_positions, "vehicle.trip.route_id"),
-    "RT_TRIP_UPDATES": (feeds.flat_updates, "trip_update.trip.route_id"),
-}
-
 
 def feed_rows(documents: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """Flat rows of a feed's documents, and the documents that could not be used."""
-    flatten, _ = FLATTEN[feed]
-    parsed = feeds.parse_documents(documents, feeds.ENTITIES[feed])
-    return flatten(feeds.entity_rows(parsed)), feeds.damaged(parsed)
+    parsed = feeds.parse_documents(documents, feeds.FEEDS[feed].entity)
+    return feeds.flat_rows(feeds.entity_rows(parsed), feed), feeds.damaged(parsed)
 
 
 def ingest_feed(
@@ -37,7 +30,8 @@ def ingest_feed(
 
     The touched days are read back, merged with the batch without repeats and
     rewritten; other days are not opened. Trip updates also keep a full,
-    undeduplicated copy of their rail rows, rewritten for the touched days.
+    undeduplicated copy of their rail rows: a batch replaces the rows of its own
+    feed times, so one batch, several, or one that comes again give the same copy.
     """
     rows, bad = feed_rows(documents, feed)
     new = cut_lineage(rows, f"new-{feed.lower()}")
@@ -48,15 +42,16 @@ def ingest_feed(
         stored = new.limit(0)
     else:
         stored = conform(stored, new.schema).join(days, list(DAY), "left_semi")
-    _, part = FLATTEN[feed]
+    part = feeds.FEEDS[feed].sort
     merged = cut_lineage(merge_daily_feed(stored, new, payload, [F.col(c) for c in DAY]), f"merged-{feed.lower()}")
     write_partitioned(merged, table, DAY, sort=[part])
     if rail_table and feed == "RT_TRIP_UPDATES":
         rail = new.filter(route_filters(F.col(f"`{part}`"))["rail"])
         before = stored_table(spark, rail_table)
-        if before is not None:  # whole rows once: a batch that runs again adds nothing
+        if before is not None:
             before = conform(before, rail.schema).join(days, list(DAY), "left_semi")
-            rail = cut_lineage(before.unionByName(rail).distinct(), "rail-copy")
+            kept = before.join(new.select("feed_timestamp").distinct(), "feed_timestamp", "left_anti")
+            rail = cut_lineage(kept.unionByName(rail), "rail-copy")
         write_partitioned(rail, rail_table, DAY)
     return bad
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tramline.operators import events, filters
 from tramline.operators import validate as V
-from tramline.plans import alerts, bus, rail, stop_events
+from tramline.plans import alerts, bus, ingest, rail, stop_events
 from tramline.session import cut_lineage, scratch_path
 from tramline.sinks.versions import DatedTable
+from tramline.sources import feeds
 from tramline.streaming import jobs as streams
 from tramline.streaming.state import VersionedTable
 from tramline.workload.aggregations import _KEPT_SQL
@@ -486,3 +490,82 @@ def freshness_lag(t):
     )
 
 
+
+
+# Feeds from files to events -------------------------------------------------
+
+_FEED_NAMES = (
+    "RT_VEHICLE_POSITIONS", "RT_TRIP_UPDATES", "RT_ALERTS", "BUS_VEHICLE_POSITIONS", "BUS_TRIP_UPDATES",
+    "DEV_GREEN_RT_TRIP_UPDATES", "DEV_GREEN_RT_VEHICLE_POSITIONS",
+)
+
+
+def _feed_files(t, name, folder):
+    """A document for every week and tenth of the events, in one file each; ``name`` tells an event's feed."""
+    p = positions(t).withColumn("feed", name)
+    trip = F.struct(
+        "trip_id", "route_id", F.col("direction_id").cast("int").alias("direction_id"), "start_time",
+        F.date_format("service_date", "yyyyMMdd").alias("start_date"), F.lit(True).alias("revenue"),
+    )
+    cars = F.array(F.struct(F.col("vehicle_label").alias("label")), F.struct(F.lit("x").alias("label")))
+    vehicle = F.struct(F.col("vehicle_id").alias("id"), F.col("vehicle_label").alias("label"), cars.alias("consist"))
+    place = F.struct(F.col("stop_sequence").alias("stop_sequence"), "stop_id", F.struct((F.col("epoch") + 60).alias("time")).alias("arrival"))
+    position = F.struct(
+        trip.alias("trip"), vehicle.alias("vehicle"), F.struct("latitude", "longitude").alias("position"),
+        F.col("stop_sequence").alias("current_stop_sequence"), "stop_id", F.col("epoch").alias("timestamp"), "current_status",
+    )
+    update = F.struct(trip.alias("trip"), vehicle.alias("vehicle"), F.array(place).alias("stop_time_update"), F.col("epoch").alias("timestamp"))
+    alert = F.struct(F.col("route_id").alias("cause"), F.lit("DELAY").alias("effect"), F.col("stop_sequence").cast("int").alias("severity"))
+    entity = F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.when(F.col("feed").endswith("POSITIONS"), position).alias("vehicle"),
+        F.when(F.col("feed").endswith("UPDATES"), update).alias("trip_update"),
+        F.when(F.col("feed").endswith("ALERTS"), alert).alias("alert"),
+    )
+    part = F.concat_ws("-", F.date_format("service_date", "yyyyMMdd"), (F.col("event_id") % 10).cast("string"))
+    docs = p.groupBy("feed", part.alias("doc")).agg(F.max("epoch").alias("timestamp"), F.collect_list(entity).alias("entity"))
+    text_ = F.to_json(F.struct(F.struct("timestamp").alias("header"), F.col("entity")))
+    docs.select("feed", "doc", text_.alias("value")).repartition("feed", "doc").write.partitionBy("feed", "doc").text(folder)
+
+
+@query(f"""
+WITH {POSITIONS}, named AS (SELECT *, ['{"', '".join(_FEED_NAMES)}'][event_id % 7 + 1] AS feed FROM positions)
+SELECT feed, CAST(event_id AS VARCHAR) AS id, route_id AS value, max(epoch) OVER (PARTITION BY feed, service_date, event_id % 10) AS feed_timestamp FROM named
+""")
+def feeds_ingested(t):
+    """All seven feeds, from written files into their tables."""
+    folder = scratch_path(t.spark, "feed-files")
+    _feed_files(t, F.element_at(F.array(*[F.lit(n) for n in _FEED_NAMES]), (F.col("event_id") % 7 + 1).cast("int")), folder)
+    found = []
+    for name in _FEED_NAMES:
+        table = scratch_path(t.spark, name.lower())
+        ingest.ingest_feed(t.spark, feeds.read_documents(t.spark, f"{folder}/feed={name}/*"), name, table)
+        value = F.col("`alert.cause`" if name == "RT_ALERTS" else f"`{feeds.FEEDS[name].sort}`")
+        found.append(t.spark.read.parquet(table).select(F.lit(name).alias("feed"), "id", value.alias("value"), "feed_timestamp"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(f"""
+WITH {POSITIONS}, rail AS (SELECT *, CAST(strftime(service_date, '%Y%m%d') AS BIGINT) AS day, coalesce('p' || nullif(CAST(stop_id AS BIGINT) % 4, 3), stop_id) AS station FROM positions
+  WHERE route_id IN ('Red', 'Orange', 'Blue', 'Green-B', 'Green-C', 'Green-D', 'Green-E', 'Mattapan'))
+SELECT day AS service_date, route_id, trip_id, station AS parent_station, min(epoch) FILTER (current_status <> 'STOPPED_AT') AS vp_move_timestamp,
+  min(epoch) FILTER (current_status = 'STOPPED_AT') AS vp_stop_timestamp, min(vehicle_label) || '|x' AS vehicle_consist, CAST(7 AS BIGINT) AS static_version_key
+FROM rail GROUP BY ALL
+""")
+def feed_position_events(t):
+    """Position documents -> stored feed -> the analysis' columns -> rail events."""
+    folder, table = scratch_path(t.spark, "feed-files"), scratch_path(t.spark, "positions")
+    _feed_files(t, F.lit("RT_VEHICLE_POSITIONS"), folder)
+    ingest.ingest_feed(t.spark, feeds.read_documents(t.spark, f"{folder}/feed=*/*"), "RT_VEHICLE_POSITIONS", table)
+    rows = feeds.rail_position_rows(t.spark.read.parquet(table))
+    version = F.lit(7).cast("long").alias("static_version_key")
+    days = [F.lit(d).cast("long") for d in (20200101, 20291231, 20200101)]
+    info = t.region.limit(1).select(
+        version, days[0].alias("feed_start_date"), days[1].alias("feed_end_date"), days[2].alias("feed_active_date"), days[2].alias("created_on")
+    )
+    number = F.col("stop_id").cast("long") % 4
+    stops = rows.select("stop_id").distinct().select(
+        version, "stop_id", F.when(number < 3, F.concat(F.lit("p"), number.cast("string"))).alias("parent_station")
+    )
+    found = rail.position_events(rows, list(filters.SUBWAY_ROUTES), info, stops)
+    return found.select("service_date", "route_id", "trip_id", "parent_station", "vp_move_timestamp", "vp_stop_timestamp", "vehicle_consist", "static_version_key")
