@@ -48,6 +48,13 @@ def test_texts_without_repeats_stay_whole(documents, prose):
     assert left[1].text == "" and set(docs.columns) == set(left[1].asDict())
 
 
+def test_sampled_suffixes_spread_over_the_shards(prose):
+    texts = [prose(i, 400).encode() for i in range(40)]
+    state = suffixes.BlockState(b"".join(texts), np.array([len(t) for t in texts]), {}, 24, (200, 150))
+    sizes = np.diff(state.level.edges)
+    assert sizes.sum() > 1000 and sizes.max() < 2 * sizes.mean()
+
+
 def test_disk_queue_merges_runs():
     draw = np.random.default_rng(2)
     queue = names.DiskQueue(held=50)

@@ -8,7 +8,7 @@ from tramline.llm import decontaminate, queries, signatures, suffixes
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_equal_their_brute_force(spark, documents, corpus, prose, tmp_path):

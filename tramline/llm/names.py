@@ -20,11 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import arrow_rows, blob, stage
+from tramline.llm.common import arrow_rows, blob, shards, stage
 from tramline.session import scratch_path
 
 BLOCK = 1 << 20  # bytes of text from which a block ends
 SHARD = 1 << 20  # names of a shard, about
+BUCKET = 64 << 20  # bytes of input of a bucket of blocks, at most about
 MOST = 4096  # beyond as many shards they grow instead, and their queues go to disk
 HELD = 4_000_000  # tuples a priority queue keeps in memory
 
@@ -201,7 +202,7 @@ class Level:
         return out[self.inverse]
 
 
-def pack(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
+def pack(docs: DataFrame, text: str, block: int = BLOCK) -> tuple[DataFrame, int]:
     """Blocks of whole texts with their rows, written once, dealt over the files by their number."""
     spark = docs.sparkSession
     rest = [c for c in docs.columns if c != text]
@@ -212,7 +213,7 @@ def pack(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
         number, own, data, weight = 0, [], [], 0
         for *values, content in found:
             encoded = (content or "").encode()
-            if own and weight + len(encoded) > BLOCK:
+            if own and weight + len(encoded) > block:
                 yield task + number, blob(np.array([len(d) for d in data], np.int64)), own, b"".join(data)
                 number, own, data, weight = number + 1, [], [], 0
             own.append(dict(zip(rest, values, strict=True)))
@@ -225,7 +226,8 @@ def pack(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
         docs.select(*rest, text), rows, f"block long, sizes binary, rest array<struct<{kinds}>>, data binary"
     )
     # bucketed by the block's number: answers come to the texts, which stay where they are
-    name, buckets = f"llm_blocks_{uuid.uuid4().hex}", max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = f"llm_blocks_{uuid.uuid4().hex}"
+    buckets = shards(docs, BUCKET, max(64, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     packed.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "llm-blocks")).saveAsTable(name)
     packed = spark.table(name)
     packed.schema  # resolved: the name can go, the files stay  # noqa: B018

@@ -20,6 +20,7 @@ it holds it, so no passage that many documents share is a hot key.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,6 +35,7 @@ from tramline.llm.names import (
     ask,
     by_block,
     by_level,
+    mix,
     pack,
     pairs,
     shard_count,
@@ -42,6 +44,8 @@ from tramline.llm.names import (
 
 LENGTH = 200
 CORE = 150  # bytes of a sampled suffix that name it
+BLOCK = 1 << 19  # bytes of text from which a block ends: where all strings repeat, a block takes a hundred times its size
+
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, by doubling."""
@@ -53,6 +57,12 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def core_names(cores: np.ndarray) -> np.ndarray:
+    """Names of sampled suffixes. A sample has the smallest fingerprint of many, so its bits are mixed before its upper
+    ones choose a shard; else most names would meet in the first."""
+    return single(mix(cores))
+
+
 class Runs:
     """Runs of neighbouring windows of a block that share their sampled suffix."""
 
@@ -108,7 +118,7 @@ class BlockState:
         n = len(self.runs.first)
         self.sure = np.zeros(n, bool)  # all windows of the run are repeated
         self.single = np.zeros(0, np.int64)  # repeated windows of other runs
-        self.level = Level(single(self.runs.cores), shards)
+        self.level = Level(core_names(self.runs.cores), shards)
         if 1 not in given:
             return
         open_ = np.flatnonzero(self.level.answers(given[1]) & REPEATED)
@@ -121,7 +131,7 @@ class BlockState:
         stands = np.flatnonzero(answer & STANDS)
         stands = stands[np.sort(np.unique(self.level.inverse[stands], return_index=True)[1])]
         open_ = open_[stands]
-        self.level = Level(single(self.runs.cores[open_]), shards)
+        self.level = Level(core_names(self.runs.cores[open_]), shards)
         if 3 not in given:
             return
         open_ = open_[self.level.answers(given[3]) & REPEATED > 0]
@@ -145,7 +155,7 @@ def find_repeats(
     docs: DataFrame, text: str = "text", length: int = LENGTH, core: int = CORE
 ) -> tuple[DataFrame, DataFrame, int]:
     """Packed texts and the answers to the names of all levels: ``block, given``; and the number of shards."""
-    packed, size = pack(docs, text)
+    packed, size = pack(docs, text, BLOCK)
     shards = shard_count(size, 30)
     given = None
     for level, common in enumerate((core, length, core, length), 1):
@@ -165,26 +175,36 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, co
     their names; repeated rows are copies of each other and lose all that is long enough. Null counts as empty; texts
     shorter than ``length`` stay whole.
     """
+    rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text]
+    schema = ", ".join([*rest, "kept binary", "n_bytes long", "n_removed long", "n_spans long"])
+
+    def row(values: dict, kept: bytes, size: int, spans: int) -> tuple:
+        return (*values.values(), kept, size, size - len(kept), spans)
+
+    return _each_left(docs, text, length, core, row, schema)
+
+
+def _each_left(docs: DataFrame, text: str, length: int, core: int, row: Callable[..., tuple], schema: str) -> DataFrame:
+    """A row for every row, made of its other columns, the bytes left, the bytes before and the number of runs."""
     packed, given, shards = find_repeats(docs, text, length, core)
-    rest = [c for c in docs.columns if c != text]
-    names = [f.name for f in docs.schema if f.name != text]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
+    names = [c for c in docs.columns if c != text]
 
     def rows(found):
         for _, sizes, own, data, answers in found:
             sizes = np.frombuffer(sizes, np.int64)
             state = BlockState(bytes(data), sizes, _full(by_level([answers])), shards, (length, core))
-            gone = state.removed()
+            gone, whole = state.removed(), state.runs.bytes
+            del state
             stop = 0
             for values, size in zip(own, sizes.tolist(), strict=True):
                 start, stop = stop, stop + size
                 flags = gone[start:stop]
-                kept = state.runs.bytes[start:stop][~flags].tobytes()
+                kept = whole[start:stop][~flags].tobytes()
                 spans = int(np.count_nonzero(np.diff(flags.astype(np.int8), prepend=0) == 1))
-                yield (*(values[n] for n in names), kept, size, size - len(kept), spans)
+                yield row({n: values[n] for n in names}, kept, size, spans)
 
     joined = packed.join(given.hint("shuffle_hash"), "block", "left")
-    return arrow_rows(joined, rows, f"{kinds}, kept binary, n_bytes long, n_removed long, n_spans long")
+    return arrow_rows(joined, rows, schema)
 
 
 def _full(given: dict) -> dict:
@@ -197,20 +217,17 @@ def without_repeats(docs: DataFrame, text: str = "text", chars: str = "n_chars")
     A character that is cut by an edge of a removed run goes as a whole. Where ``docs`` has a column ``chars``, it
     becomes the new text's number of characters.
     """
-    removed = remove_repeats(docs, text)
     names = docs.columns
-    rest = [c for c in names if c != text]
 
-    def rows(found):
-        for *values, kept in found:
-            left = bytes(kept).decode("utf-8", "ignore")
-            own = dict(zip(rest, values, strict=True)) | {text: left}
-            if chars in own:
-                own[chars] = len(left)
-            yield tuple(own[c] for c in names)
+    def row(values: dict, kept: bytes, size: int, spans: int) -> tuple:
+        left = kept.decode("utf-8", "ignore")
+        own = values | {text: left}
+        if chars in own:
+            own[chars] = len(left)
+        return tuple(own[c] for c in names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_rows(removed.select(*[f"`{c}`" for c in rest], "kept"), rows, schema)
+    return _each_left(docs, text, LENGTH, CORE, row, schema)
 
 
 def digest(removed: DataFrame, key: str = "doc_id") -> DataFrame:
