@@ -165,6 +165,41 @@ def test_token_files_hold_the_librarys_ids_in_order(documents, corpus, rows):
     )
 
 
+SPECIAL = [
+    "hello <|endoftext|> world", "a<|startoftext|>b <|ENDOFTEXT|> <|EndOfText|>c", "<|endoftext|>", "it's 2024-05-11, don't!! x--'s",
+    "'s 'LL '!' \"quoted,\" a.b/c?d=1&e=%20 --'re", "ÀÉ ﬁne İstanbul Σας 漢字かな ½ e\u0301", "ab\x00c d\x1fe f\x85g h\xa0i", "", "<| endoftext |>",
+]
+
+
+def test_special_strings_are_the_librarys(documents, rows):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(WORDS)
+    expected, start = [], 0
+    for key, text in enumerate(SPECIAL):
+        ids = np.array([*own.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        expected.append((key, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert any(49406 in own.encode(t, add_special_tokens=False).ids for t in SPECIAL)
+    parts, first = repair.write_token_file(documents(enumerate(SPECIAL)), WORDS)
+    assert rows(repair.read_documents(parts, first)) == sorted(expected, key=lambda r: tuple(map(str, r)))
+    plain = library_ids(SPECIAL)  # the separator scan keeps them plain: its end id is one of them
+    counted = separators.document_counts(documents(enumerate(SPECIAL)), WORDS, 49407)
+    assert rows(counted, "doc_id", "n_tokens") == [(i, len(ids)) for i, ids in enumerate(plain)]
+
+
+def test_words_equal_the_library_after_the_cache_turned(corpus, monkeypatch):
+    from tramline.llm import wordids
+
+    monkeypatch.setattr(wordids, "CACHE", 40)
+    monkeypatch.setattr(wordids, "TOGETHER", 300)
+    texts = [t for _, t in corpus if t] + SPECIAL
+    with open(WORDS, encoding="utf-8") as file:
+        words = wordids.WordIds(file.read())
+    found = [np.frombuffer(ids, words.dtype).tolist() for _, ids in words.encode_all((i, t) for i, t in enumerate(texts))]
+    assert words.by_word and words.split and found == library_ids(texts)
+
+
 def test_grammar_round_trip_and_random_access():
     draw = np.random.default_rng(0)
     ids = np.concatenate([draw.integers(0, 50, 3000), np.tile([1, 2, 3, 3, 3], 900), np.full(700, 9)]).astype(np.uint16)

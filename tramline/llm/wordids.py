@@ -14,13 +14,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE = 500_000  # words a worker remembers at most; then it starts anew
+CACHE = 250_000  # words a worker remembers at most of the newest and of those before them
 TOGETHER = 2_000_000  # bytes of text whose new words are looked up in one call
-STOPS = (b".", b",", b";", b":", b"!", b"?")
 
 
 class WordIds:
-    def __init__(self, content: str):
+    """Ids of one worker. With ``special``, special strings in a text are special tokens, as the library has it by
+    default; without, they are plain text."""
+
+    def __init__(self, content: str, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -28,25 +30,40 @@ class WordIds:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         parts = json.loads(content)
+        self.whole = Tokenizer.from_str(content)  # for texts with special strings
+        self.special = [t["content"] for t in parts.get("added_tokens") or []] if special else []
         self.by_word = _drops_white_space(parts)
         self.lower = self.by_word and '"Lowercase"' in json.dumps(parts.get("normalizer"))
+        # ASCII words split by the pattern alone, and nothing but the model acts on a piece of letters
+        self.split = re.compile(_ascii_pattern(parts).encode()) if self.lower else None
+        self.model = self.library
+        if self.split:
+            bare = parts | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+            self.model = Tokenizer.from_str(json.dumps(bare))
         self.cache: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
-    def library_ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
+    def library_ids(self, texts: list[str], by=None) -> list[bytes]:
+        found = (by or self.library).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
     def learn(self, words: Iterable[bytes]) -> None:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        cache = self.cache
+        """Make the cache hold all these words."""
+        if len(self.cache) > CACHE:  # words that come again are taken over from the generation before
+            self.before, self.cache = self.cache, {}
+        cache, before = self.cache, self.before
         new = set(words).difference(cache)
-        # a letter or digit with one mark behind it: the mark is a token of its own
-        split = {w for w in new if w[-1:] in STOPS and w[-2:-1].isalnum()}
-        ask = list({w[:-1] for w in split}.difference(cache).union(new - split, (w[-1:] for w in split)))
-        cache.update(zip(ask, self.library_ids([w.decode() for w in ask]), strict=True))
-        for w in split:
-            cache[w] = cache[w[:-1]] + cache[w[-1:]]
+        known = new.intersection(before)
+        cache.update((w, before[w]) for w in known)
+        new -= known
+        split = {w: self.split.findall(w) for w in new if w.isascii() and not w.isalpha()} if self.split else {}
+        ask = (new - split.keys()).union(*split.values()).difference(cache)
+        letters = [w for w in ask if w.isalpha()] if self.split else []
+        rest = list(ask.difference(letters))
+        cache.update(zip(letters, self.library_ids([w.decode() for w in letters], self.model), strict=True))
+        cache.update(zip(rest, self.library_ids([w.decode() for w in rest]), strict=True))
+        for w, pieces in split.items():
+            cache[w] = b"".join(map(cache.__getitem__, pieces))
 
     def encode_all(self, rows: Iterator[tuple]) -> Iterator[tuple[tuple, bytes]]:
         """Rows whose last value is a text (null: empty) to ``(other values, little-endian ids)``."""
@@ -54,8 +71,11 @@ class WordIds:
         weight = 0
         for *rest, text in rows:
             text = text or ""
-            if not self.by_word:
-                yield tuple(rest), self.library_ids([text])[0]
+            special = any(s in text for s in self.special)
+            if special or not self.by_word:
+                yield from self._flush(held)  # rows keep their order
+                held, weight = [], 0
+                yield tuple(rest), self.library_ids([text], self.whole if special else None)[0]
                 continue
             data = text.encode()
             if self.lower:
@@ -73,6 +93,13 @@ class WordIds:
             yield rest, b"".join(map(self.cache.__getitem__, words))
 
 
+def _ascii_pattern(parts: dict) -> str:
+    """The splitting pattern for lower-case ASCII words, with the classes spelt out for ``re``."""
+    steps = parts["pre_tokenizer"].get("pretokenizers") or [parts["pre_tokenizer"]]
+    pattern = steps[0]["pattern"]["Regex"]
+    return pattern.replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]").replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+
+
 def _drops_white_space(parts: dict) -> bool:
     """Whether the pre-tokenizer keeps matches of a pattern that holds no white space, and nothing else."""
     steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [parts.get("pre_tokenizer") or {}]
