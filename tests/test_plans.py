@@ -372,3 +372,19 @@ def test_all_feed_layouts_keep_their_fields(spark):
     assert (predicted.timestamp, predicted.tu_stop_timestamp, predicted.start_time, predicted.service_date) == (1717243200, 1717243300, 28800, 20240601)
     older = found["RT_VEHICLE_POSITIONS"].drop("vehicle.vehicle.consist", "vehicle.multi_carriage_details")
     assert feeds.rail_position_rows(older).first().vehicle_consist is None
+
+
+def test_bus_extracts_publish_local_clocks(spark):
+    instant = dt.datetime(2025, 9, 2, 3, 30, tzinfo=dt.timezone.utc)  # 23:30 on the first in Boston
+    winter = dt.datetime(2025, 12, 2, 13, 0, tzinfo=dt.timezone.utc)  # 08:00
+    table = spark.createDataFrame(
+        [(dt.date(2025, 9, 1), "a", instant, None, 5), (dt.date(2025, 12, 2), "b", winter, winter, 6)],
+        "service_date date, trip_id string, stop_arrival_dt timestamp, stop_departure_dt timestamp, stop_arrival_seconds long",
+    )
+    for name in ("bus_metrics_all", "bus_metrics_fall_2025"):
+        out = extracts.run_extract(name, table)
+        found = {r.trip_id: r for r in out.collect()}
+        assert found["a"].stop_arrival_dt == dt.datetime(2025, 9, 1, 23, 30) and found["b"].stop_departure_dt == dt.datetime(2025, 12, 2, 8)
+        assert (found["a"].stop_arrival_seconds, found["a"].stop_departure_seconds, found["b"].stop_departure_seconds) == (84600, None, 28800)
+        assert dict(out.dtypes)["stop_arrival_dt"] == "timestamp_ntz"
+    assert [r.trip_id for r in extracts.run_extract("bus_metrics_7_day", table).collect()] == ["b"]

@@ -498,10 +498,3 @@ def bus_performance(
     seen = cut_lineage(rt_events(positions, routes, str(service_date)), "rt")
     logged = cut_lineage(av_events(crossings, tm), "av-events")
     return derived_metrics(cut_lineage(join_rt_to_schedule(schedule, seen, logged, work), "bus"))
-
-
-def local_times(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """UTC columns as local wall clocks, for BI tools."""
-    return df.withColumns({c: local_wall_clock(F.col(c)) for c in columns})
-
-

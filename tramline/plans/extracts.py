@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tramline.functions.times import local_from_epoch
+from tramline.functions.times import local_from_epoch, local_wall_clock
 from tramline.operators import filters
 from tramline.operators.groups import with_group_values
-from tramline.sinks.tables import extract, rolling_window
+from tramline.sinks.tables import extract, rolling_window, signed_and_zoneless
 from tramline.sources.feeds import struct
 
 POSITION_COLUMNS = (
@@ -88,6 +89,34 @@ def usable_heavy_rail_updates(df: DataFrame) -> DataFrame:
     return local_clocks(prediction_validity(kept), _UPDATE_CLOCKS)
 
 
+# The bus table's instants, published as local clocks, and seconds after midnight made of them.
+_BUS_CLOCKS = (
+    "stop_arrival_dt", "stop_departure_dt", "gtfs_first_in_transit_dt", "gtfs_last_in_transit_dt", "tm_actual_arrival_dt",
+    "tm_actual_departure_dt", "gtfs_departure_dt", "gtfs_arrival_dt", "plan_start_dt", "plan_stop_departure_dt",
+)
+_BUS_SECONDS = {
+    "gtfs_first_in_transit_seconds": "gtfs_first_in_transit_dt",
+    "stop_arrival_seconds": "stop_arrival_dt",
+    "stop_departure_seconds": "stop_departure_dt",
+}
+
+
+def bus_metrics(df: DataFrame) -> DataFrame:
+    """Bus events as published: instants as local clocks, seconds counted from the service date's local midnight."""
+    local = df.withColumns({c: local_wall_clock(F.col(c)) for c in _BUS_CLOCKS if c in df.columns})
+    midnight = F.unix_timestamp(F.to_date("service_date").cast("timestamp"))
+    return local.withColumns(
+        {s: F.unix_timestamp(F.col(c).cast("timestamp")) - midnight for s, c in _BUS_SECONDS.items() if c in df.columns}
+    )
+
+
+def bus_metrics_schema(stored: T.StructType) -> T.StructType:
+    """The stored columns in types without zones, and the seconds where their instants are stored."""
+    names = set(stored.fieldNames())
+    more = [T.StructField(s, T.LongType()) for s, c in _BUS_SECONDS.items() if c in names and s not in names]
+    return signed_and_zoneless(T.StructType([*stored.fields, *more]))
+
+
 @dataclass(frozen=True)
 class Extract:
     """One published extract over a day-partitioned table."""
@@ -112,9 +141,9 @@ EXTRACTS: dict[str, Extract] = {
     "dev_green_trip_updates_heavy_rail_terminals_60_day": Extract("DEV_GREEN_RT_TRIP_UPDATES", 60, UPDATE_COLUMNS, usable_heavy_rail_updates, "heavy_rail"),
     "bus_operator_map_7_day": Extract("BUS_OPERATOR_MAP", 7, None),
     "bus_operator_map_60_day": Extract("BUS_OPERATOR_MAP", 60, None),
-    "bus_metrics_7_day": Extract("BUS_EVENTS", 7, None),
-    "bus_metrics_all": Extract("BUS_EVENTS", None, None),
-    "bus_metrics_fall_2025": Extract("BUS_EVENTS", None, None, span=("2025-08-24", "2025-12-13")),
+    "bus_metrics_7_day": Extract("BUS_EVENTS", 7, None, bus_metrics),
+    "bus_metrics_all": Extract("BUS_EVENTS", None, None, bus_metrics),
+    "bus_metrics_fall_2025": Extract("BUS_EVENTS", None, None, bus_metrics, span=("2025-08-24", "2025-12-13")),
     "bus_operator_map_fall_2025": Extract("BUS_OPERATOR_MAP", None, None, span=("2025-08-24", "2025-12-13")),
 }
 
@@ -124,6 +153,8 @@ def run_extract(name: str, table: DataFrame, date: str = "service_date") -> Data
     spec = EXTRACTS[name]
     where = filters.route_filters(F.col("route_id"))[spec.routes] if spec.routes else None
     schema = struct(spec.columns) if spec.columns else table.schema
+    if spec.convert is bus_metrics:
+        schema = bus_metrics_schema(table.schema)
     if spec.span:
         first, last = (F.lit(d).cast("date") for d in spec.span)
         table = table.filter(F.col(date).between(first, last))
