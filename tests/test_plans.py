@@ -5,10 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tramline.plans import alerts, archive, bus, extracts, ingest, rail
+from tramline.plans import alerts, archive, bus, exports, extracts, ingest, rail
 from tramline.session import cut_lineage, scratch_path
 from tramline.sources import event_bus, feeds
-from tramline.sources.schedules import SCHEDULE_TABLES, table_schema
+from tramline.sources.schedules import SCHEDULE_TABLES, read_csv_table, table_schema
+from tramline.sources.tables import conform
 
 
 def utc(day, h, m=0, s=0):
@@ -66,6 +67,16 @@ def test_combined_schedule_does_not_double_rows_of_trip_variants(spark):
     assert got.count() == 9
 
 
+# columns that the rows below give; the tables' other columns are null
+WRITTEN = {
+    "route_patterns": "route_pattern_id string, route_id string, direction_id long, route_pattern_name string, route_pattern_time_desc string, route_pattern_typicality long, route_pattern_sort_order long, representative_trip_id string",
+    "routes": "route_id string, agency_id long, route_short_name string, route_long_name string, route_desc string, route_type long, route_sort_order long, route_fare_class string, line_id string",
+    "stops": "stop_id string, stop_code string, stop_name string, stop_desc string, platform_code string, platform_name string, stop_lat double, stop_lon double, parent_station string",
+    "stop_times": "trip_id string, arrival_time string, departure_time string, stop_id string, stop_sequence long, checkpoint_id string",
+    "trips": "route_id string, service_id string, trip_id string, trip_headsign string, direction_id long, block_id string, shape_id string, route_pattern_id string",
+}
+
+
 def schedule_tables(spark):
     data = {
         "calendar": [("s", *([1] * 7), 20250101, 20251231)],
@@ -79,8 +90,8 @@ def schedule_tables(spark):
     }
     out = {}
     for name, rows in data.items():
-        df = spark.createDataFrame(rows, table_schema(name))
-        out[name] = df.withColumns({"gtfs_active_date": F.lit(20250101).cast("long"), "gtfs_end_date": F.lit(20251231).cast("long")})
+        df = spark.createDataFrame(rows, WRITTEN.get(name) or table_schema(name))
+        out[name] = conform(df, table_schema(name)).withColumns({"gtfs_active_date": F.lit(20250101).cast("long"), "gtfs_end_date": F.lit(20251231).cast("long")})
     return out
 
 
@@ -227,6 +238,9 @@ def test_rail_day_end_to_end(spark):
     second = extract.filter("trip_id = 't1' and stop_sequence = 2").first()
     assert (second.previous_stop_name, second.stop_arrival_sec, second.stop_departure_sec) == ("S", 8 * 3600 + 160, 8 * 3600 + 200)
     assert extract.count() == 4
+    commuter = rail.rail_wide_table(measured, stops, routes, (0, 1), planned)
+    assert commuter.columns == [*extract.columns, "scheduled_arrival_time", "scheduled_departure_time", "scheduled_travel_time", "scheduled_headway_branch", "scheduled_headway_trunk"]
+    assert commuter.count() == 4
 
 
 def test_archive_grows_by_schedules(spark):
@@ -321,6 +335,70 @@ def test_every_extract_runs(spark):
 
 def test_schedule_tables_are_declared():
     assert set(SCHEDULE_TABLES) >= {"calendar", "routes", "stops", "stop_times", "trips", "feed_info"}
+    assert len(SCHEDULE_TABLES) == 31
+
+
+@pytest.mark.parametrize("name", sorted(SCHEDULE_TABLES))
+def test_every_schedule_table_reads_from_its_file(spark, tmp_path, name):
+    """Declared columns in declared types whatever the file has: some missing, some unknown, blanks, repeats."""
+    columns = table_schema(name).fields
+    first = columns[0]
+    value = "text" if first.dataType.simpleString() == "string" else "7"
+    (tmp_path / "t.csv").write_text(f"unknown,{first.name}\nx,{value}\ny,{value}\nz,\" \"\n")
+    got = read_csv_table(spark, str(tmp_path / "t.csv"), name)
+    assert got.schema.simpleString() == table_schema(name).simpleString()
+    typed = value if value == "text" else 7
+    assert sorted((str(r[0]) for r in got.collect())) == sorted([str(typed), "None"])
+
+
+def test_new_tables_enter_the_archive(spark):
+    base = scratch_path(spark, "archive")
+    shape = spark.createDataFrame([("s", "42.5", "-71", "1", " ")], "shape_id string, shape_pt_lat string, shape_pt_lon string, shape_pt_sequence string, shape_dist_traveled string")
+    moved = shape.withColumn("shape_pt_lat", F.lit("43"))
+    archive.add_schedules(spark, [(20240601, {"shapes": shape}), (20240701, {"shapes": moved})], base)
+    rows = sorted((r.shape_pt_lat, r.shape_dist_traveled, r.gtfs_active_date, r.gtfs_end_date) for r in archive.read_archive(spark, base, ["shapes"])["shapes"].collect())
+    assert rows == [(42.5, None, 20240602, 20240701), (43.0, None, 20240702, 20250701)]
+
+
+def versions(table):
+    return sorted((r.static_version_key, r.stop_name) for r in table.latest().collect())
+
+
+def test_schedule_exports_add_newer_versions_only(spark):
+    path = scratch_path(spark, "export")
+    ddl = "pk_id long, stop_id string, stop_name string, static_version_key long, not_exported string"
+    one = spark.createDataFrame([(1, "a", "old", 100, "x"), (2, "b", "old", 200, "x")], ddl)
+    assert exports.update(spark, "static_stops", one, path) == ["100", "200"]
+    more = one.withColumn("stop_name", F.lit("new")).union(spark.createDataFrame([(3, "c", "new", 300, "x")], ddl))
+    assert exports.update(spark, "static_stops", more, path) == ["300"]
+    assert versions(exports.stored(spark, "static_stops", path)) == [(100, "old"), (200, "old"), (300, "new")]
+    assert exports.update(spark, "static_stops", more, path) == []
+    assert exports.stored(spark, "static_stops", path).latest().schema == exports.EXPORTS["static_stops"].schema
+
+
+def test_the_export_of_a_view_is_renewed_whole(spark):
+    path = scratch_path(spark, "export")
+    ddl = "route_id string, service_id string, service_date long, static_version_key long"
+    one = spark.createDataFrame([("a", "s", 20240101, 100), ("a", "t", 20240102, 200)], ddl)
+    exports.update(spark, "service_id_by_date_and_route", one, path)
+    # no newer version: nothing happens; with one, older versions follow their rows
+    assert exports.update(spark, "service_id_by_date_and_route", one.filter("service_id = 't'"), path) == []
+    newer = spark.createDataFrame([("a", "u", 20240102, 200), ("b", "s", 20240103, 300)], ddl)
+    assert exports.update(spark, "service_id_by_date_and_route", newer, path) == ["200", "300"]
+    kept = exports.stored(spark, "service_id_by_date_and_route", path).latest().collect()
+    assert sorted((r.service_id, str(r.service_date_calc)) for r in kept) == [("s", "2024-01-03"), ("u", "2024-01-02")]
+
+
+def test_event_exports_replace_recent_days(spark):
+    path = scratch_path(spark, "export")
+    trips = spark.createDataFrame([(i, 20240100 + i) for i in (1, 2, 3)], "pm_trip_id long, service_date long")
+    events = spark.createDataFrame([(i, i, 0, i) for i in (1, 2, 3, 4)], "pm_event_id long, pm_trip_id long, vp_move_timestamp long, stop_sequence long")
+    known = exports.events_of_trips(events, trips)
+    assert exports.update(spark, "vehicle_events", known, path) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    later = known.withColumn("stop_sequence", F.col("stop_sequence") + 10)
+    assert exports.update(spark, "vehicle_events", later, path) == ["2024-01-02", "2024-01-03"]
+    rows = sorted((str(r.service_date), r.stop_sequence, str(r.vp_move_timestamp)) for r in exports.stored(spark, "vehicle_events", path).latest().collect())
+    assert rows == [("2024-01-01", 1, "1969-12-31 19:00:00"), ("2024-01-02", 12, "1969-12-31 19:00:00"), ("2024-01-03", 13, "1969-12-31 19:00:00")]
 
 
 def test_versioned_tables_keep_other_versions(spark):

@@ -305,8 +305,14 @@ def daily_flat_table(measured: DataFrame, scheduled: DataFrame, routes: DataFram
     )
 
 
-def rail_wide_table(measured: DataFrame, stops: DataFrame, routes: DataFrame, route_types: Sequence[int]) -> DataFrame:
-    """The wide extract: each event with its previous and next stop, clocks and names."""
+def rail_wide_table(
+    measured: DataFrame, stops: DataFrame, routes: DataFrame, route_types: Sequence[int], scheduled: DataFrame | None = None
+) -> DataFrame:
+    """The wide extract: each event with its previous and next stop, clocks and names.
+
+    With ``scheduled`` (``scheduled_rail_metrics``), also the planned arrival and departure, travel time and headways
+    of the same stop of the same trip, as the commuter extract has them.
+    """
     linked = metrics.trip_neighbours(
         measured,
         list(TRIP),
@@ -334,6 +340,24 @@ def rail_wide_table(measured: DataFrame, stops: DataFrame, routes: DataFrame, ro
         (F.col("canonical_stop_sequence").isNull() | (F.col("canonical_stop_sequence") > 1))
         & (F.col("vp_stop_timestamp").isNotNull() | F.col("vp_move_timestamp").isNotNull())
     )
+    planned = []
+    if scheduled is not None:
+        call = ["static_version_key", "trip_id", "stop_sequence"]
+        plan = scheduled.select(
+            *call,
+            F.struct(
+                "arrival_seconds", "departure_seconds", "schedule_travel_time_seconds", "schedule_headway_branch_seconds",
+                "schedule_headway_trunk_seconds",
+            ).alias("plan"),
+        )
+        kept = kept.join(plan, call, "left")
+        planned = [
+            scheduled_at(day, F.col("plan.arrival_seconds")).alias("scheduled_arrival_time"),
+            scheduled_at(day, F.col("plan.departure_seconds")).alias("scheduled_departure_time"),
+            F.col("plan.schedule_travel_time_seconds").alias("scheduled_travel_time"),
+            F.col("plan.schedule_headway_branch_seconds").alias("scheduled_headway_branch"),
+            F.col("plan.schedule_headway_trunk_seconds").alias("scheduled_headway_trunk"),
+        ]
     return (
         kept.join(wanted, ["static_version_key", "route_id"], "left_semi")
         .join(names, ["static_version_key", "stop_id"], "left")
@@ -360,6 +384,7 @@ def rail_wide_table(measured: DataFrame, stops: DataFrame, routes: DataFrame, ro
             "vehicle_label", "vehicle_consist", "direction", "direction_destination", "static_trip_id_guess",
             "static_start_time", "static_stop_count", F.col("first_last_station_match").alias("exact_static_trip_match"),
             "static_version_key", "travel_time_seconds", "dwell_time_seconds", "headway_trunk_seconds", "headway_branch_seconds",
+            *planned,
         )
     )
 
