@@ -117,6 +117,31 @@ def bus_metrics_schema(stored: T.StructType) -> T.StructType:
     return signed_and_zoneless(T.StructType([*stored.fields, *more]))
 
 
+# Texts of event-bus tables that are published as local clocks, and as dates.
+RECORD_CLOCKS = {
+    "trip_updates": ("data_metadata_inputTimestamp",),
+    "operator_sign_ins": ("data_metadata_inputTimestamp", "data_signedInAt"),
+}
+RECORD_DATES = {
+    "trip_updates": ("data_tripUpdates_previousTripKey_serviceDate", "data_tripUpdates_tripKey_serviceDate"),
+    "operator_sign_ins": (),
+}
+
+
+def event_bus_extract(table: DataFrame, kind: str) -> DataFrame:
+    """An event-bus table as published: UTC texts and the record's time as local clocks, date texts as dates.
+
+    Texts that do not parse become null; the row stays.
+    """
+
+    def clock(utc):
+        return local_wall_clock(utc).cast("timestamp_ntz")
+
+    parsed = {c: clock(F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))) for c in RECORD_CLOCKS[kind]}
+    parsed |= {c: F.try_to_date(c, "yyyy-MM-dd") for c in RECORD_DATES[kind]}
+    return table.withColumns({**parsed, "time": clock(F.col("time"))})
+
+
 @dataclass(frozen=True)
 class Extract:
     """One published extract over a day-partitioned table."""

@@ -10,7 +10,7 @@ import importlib
 
 from tramline.workload.registry import REGISTRY
 
-MODULES = ("scalars", "scans", "joins", "aggregations", "windows", "changes", "validation", "jobs")
+MODULES = ("scalars", "scans", "joins", "aggregations", "windows", "changes", "validation", "jobs", "exports")
 
 
 def load() -> dict:
