@@ -1,6 +1,7 @@
 """Operators that compare texts or vectors with each other."""
 
 import random
+import re
 import types
 
 import numpy as np
@@ -122,28 +123,92 @@ def test_bound_never_prunes_a_link():
 
 
 def test_paragraphs_keep_the_first_of_each_class(documents, prose):
-    one, two = prose(1, 60).replace("\n", " "), prose(2, 60).replace("\n", " ")
+    one, two, other = (re.sub(r"[.,\s]+", " ", prose(i, 60)).strip() for i in (1, 2, 9))
     near = one.replace(one.split()[30], "zz")
     pairs = [(1, f"{one}\nshort"), (2, f"head\n{near}\n{two}"), (3, one), (4, f"{two}\n{two}"), (5, None), (6, ""), (7, "short")]
-    pairs += [(8, prose(9, 60).replace("\n", " "))]
+    pairs += [(8, other)]
     found = {r.doc_id: r for r in paragraphs.remove_paragraphs(documents(pairs, extra=True)).collect()}
-    assert [found[i].n_removed for i in range(1, 9)] == [0, 1, 1, 2, 0, 0, 0, 0]
-    assert [found[i].n_repeated for i in range(1, 9)] == [1, 2, 1, 2, 0, 0, 0, 0]
-    assert bytes(found[2].kept).decode() == f"head\n{two}" and bytes(found[1].kept).decode() == f"{one}\nshort"
+    assert [found[i].n_repeated for i in range(1, 9)] == [1, 1, 1, 1, 0, 0, 0, 0]
+    assert found[1].n_removed == 0 and found[3].n_removed > 1 and found[8].n_removed == 0
+    assert bytes(found[3].kept) == b"" and bytes(found[4].kept) == b"" and bytes(found[1].kept).decode() == f"{one}\nshort"
 
 
 def test_large_paragraph_groups_meet_cell_by_cell(documents, prose, monkeypatch):
     monkeypatch.setattr(paragraphs, "CHUNK", 4)
-    words = prose(1, 60).replace("\n", " ").split()
+    words = [f"w{i}" for i in range(16)]
     pairs = []
     for i in range(30):
         own = list(words)
-        own[2 * i % 60] = f"x{i}"
+        own[15] = f"x{i}"
         pairs.append((i, " ".join(own)))
     found = paragraphs.remove_paragraphs(documents(pairs)).collect()
     assert sorted(r.doc_id for r in found if r.n_removed == 0) == [0]
 
 
+def plain_pieces(text):
+    """Pieces of a text as (begin, stop, words), by the rule alone."""
+    def rank(word):
+        data = np.frombuffer(word, np.uint8)
+        name = names.Fingerprints(data, 0).of(np.array([0]), np.array([len(data)]))
+        return int(names.mix(name ^ paragraphs._SEEDS[-1])[0])
+
+    sentences, at = [], 0
+    for line in (text or "").encode().split(b"\n"):
+        own = []
+        for m in re.finditer(rb"[^\x20\x09-\x0d]+", line):
+            own.append((at + m.start(), at + m.end(), m.group().lower()))
+            if m.group()[-1:] in b".!?":
+                sentences.append(own)
+                own = []
+        sentences.append(own)
+        at += len(line) + 1
+    out = []
+    for own in sentences:
+        cuts, ranks = [], [rank(w) for _, _, w in own]
+        for i in range(4, len(own) - 5):
+            if len(own) > 16 and ranks[i] < min(ranks[i - 4 : i]) and ranks[i] <= min(ranks[i + 1 : i + 5]):
+                cuts.append(i + 1)
+        for a, b in zip([0, *cuts], [*cuts, len(own)], strict=True):
+            if b - a >= 5:
+                out.append((own[a][0], own[b - 1][1], [w for _, _, w in own[a:b]]))
+    return out
+
+
+def plain_paragraphs(pairs):
+    """Rows of ``remove_paragraphs`` by comparing all pieces with all."""
+    found = [(key, place, *p) for key, text in pairs for place, p in enumerate(plain_pieces(text))]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for *_, w in found]
+    forest = signatures.Forest(len(sets))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 100 * len(x & y) >= 75 * len(x | y):
+                forest.join(i, j)
+    roots = [forest.root(i) for i in range(len(sets))]
+    expected, gone = [], 0
+    for key, text in pairs:
+        data = (text or "").encode()
+        own = [i for i, f in enumerate(found) if f[0] == key and roots.count(roots[i]) > 1]
+        goes = [i for i in own if roots[i] in roots[:i]]
+        runs = []
+        for i in own:
+            if runs and found[runs[-1][-1]][1] + 1 == found[i][1]:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+        long = [r for r in runs if len(data[found[r[0]][2] : found[r[-1]][3]].split()) >= 30]
+        marked = bytearray(data)
+        for i in goes:
+            stop = found[i][3]
+            while stop < len(data) and data[stop : stop + 1].isspace() and data[stop] != 10:
+                stop += 1
+            marked[found[i][2] : stop] = b"\x00" * (stop - found[i][2])
+        lines = [line.replace(b"\x00", b"") for line in marked.split(b"\n") if b"\x00" not in line or line.replace(b"\x00", b"").strip()]
+        n = sum(bool(x.strip()) for x in data.split(b"\n"))
+        expected.append((key, n, len(long), sum(map(len, runs)) - sum(map(len, long)), len(goes), bytearray(b"\n".join(lines))))
+        gone += len(goes)
+    return expected, gone
+
+
 def test_short_paragraphs_equal_brute_force(documents, prose, rows):
     """Lines of 1 to 24 words: copies, and near copies on both sides of the threshold."""
     lines = []
@@ -153,30 +218,39 @@ def test_short_paragraphs_equal_brute_force(documents, prose, rows):
     lines += ["a b c d e"] * 5
     random.Random(3).shuffle(lines)
     pairs = [(i, "\n".join(lines[i::9])) for i in range(9)]
-
-    sets, places = [], []
-    for key, text in pairs:
-        for at, line in enumerate(text.split("\n")):
-            words = "".join(c.lower() if "A" <= c <= "Z" else c for c in line).split()
-            sets.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
-            places.append((key, at))
-    forest = signatures.Forest(len(sets))
-    for i, x in enumerate(sets):
-        for j, y in enumerate(sets[:i]):
-            if x and y and 100 * len(x & y) >= 75 * len(x | y):
-                forest.join(i, j)
-    roots = [forest.root(i) for i in range(len(sets))]
-    repeated = [p for p, r in zip(places, roots, strict=True) if roots.count(r) > 1]
-    goes = [p for i, p in enumerate(places) if roots[i] in roots[:i]]
-    expected = []
-    for key, text in pairs:
-        kept = [line for at, line in enumerate(text.split("\n")) if (key, at) not in goes]
-        n = [sum(p[0] == key for p in own) for own in (places, repeated, goes)]
-        expected.append((key, *n, bytearray("\n".join(kept).encode())))
-    assert len(goes) > 35
+    expected, gone = plain_paragraphs(pairs)
+    assert gone > 35
     assert rows(paragraphs.remove_paragraphs(documents(pairs))) == ordered(expected)
 
 
+def test_passages_inside_longer_lines_equal_brute_force(documents, rows):
+    """A passage of 60 words, with sentences and without, at any place of a line, and broken over lines elsewhere."""
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 7)))
+    plain = [word() for _ in range(60)]
+    ended = [w + "." if i % 13 == 12 else w for i, w in enumerate(plain[::-1])]
+    pairs = []
+    for i in range(12):
+        passage = [plain, ended][i % 2]
+        inner = [w + ("\n" if i == 4 + j % 7 and j % 20 == 5 else " ") for j, w in enumerate(passage)] if i in (4, 5) else [w + " " for w in passage]
+        before, after = ([word() for _ in range(draw.randint(3, 30))] for _ in "ab")
+        pairs.append((i, " ".join(before) + " " + "".join(inner) + " ".join(after) + "  \n a b! a b c d e f. x"))
+    pairs += [(20 + i, " ".join(word() for _ in range(120))) for i in range(5)]
+    expected, gone = plain_paragraphs(pairs)
+    assert gone > 20
+    found = rows(paragraphs.remove_paragraphs(documents(pairs)))
+    assert found == ordered(expected)
+    assert [r[2] for r in sorted(expected)] == [1] * 12 + [0] * 5
+
+
+def test_paragraphs_of_null_and_repeated_keys(spark, prose):
+    one = prose(1, 60)
+    table = spark.createDataFrame([(None, one, "x"), (3, one, "y"), (3, one, None), (4, None, "z"), (5, "\n \n", "z"), (6, ". ! ?", "b")], "doc_id long, text string, block string")
+    found = paragraphs.remove_paragraphs(table).collect()
+    assert sorted((str(r.doc_id), r.n_removed > 0) for r in found) == [("3", False), ("3", True), ("4", False), ("5", False), ("6", False), ("None", True)]
+    assert paragraphs.remove_paragraphs(table).columns == ["doc_id", "n_paragraphs", "n_repeated", "n_short", "n_removed", "kept"]
+
+
 def test_empty_tables(documents, spark):
     none = documents([])
     assert suffixes.remove_repeats(none).count() == 0

@@ -1,13 +1,13 @@
 """Near-duplicate paragraphs: MinHash bands, exact verification, and removal by components.
 
-Paragraphs are lines. Equal shingle sets become one; the rest get band names, which meet in shards. Paragraphs that
-collide in a band meet in one place and their Jaccard similarity is verified; components of verified pairs are classes,
-and of each class the first paragraph stays.
+Paragraphs are lines, cut at sentence ends and, where a sentence is long, at words that the words around choose, so that
+a passage is cut alike wherever it stands. Equal shingle sets become one; the rest get band names, which meet in shards.
+Paragraphs that collide in a band meet in one place and their Jaccard similarity is verified; components of verified
+pairs are classes, and of each class the first paragraph stays. Repeated neighbours together are a passage.
 """
 
 from __future__ import annotations
 
-import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,26 +31,49 @@ from tramline.llm.names import (
 from tramline.llm.signatures import in_cells, tree_links
 
 WORDS = 5
-LEAST = WORDS  # words from which a line has a shingle, and so counts as a paragraph that can be a duplicate
-BANDS, ROWS = 14, 3  # at a similarity of 0.75, 1 - (1 - 0.75 ** 3) ** 14 = 0.9995 of the pairs collide
+LEAST = WORDS  # words from which a piece has a shingle, and so counts as a paragraph that can be a duplicate
+SENTENCE = 16  # words of a sentence from which on it is cut further
+NEAR = 4  # a long sentence is cut after words whose hash is the smallest among as many words on both sides
+PASSAGE = 30  # words of a repeated passage: what is whole of 50 words, less a piece of some ten words at each end
+BANDS, ROWS = 9, 2  # at a similarity of 0.75, 1 - (1 - 0.75 ** 2) ** 9 = 0.9994 of the pairs collide
+SMALLEST = 3  # sets of fewer shingles reach 0.75 with equal sets only, which are one already
 CHUNK = 512  # paragraphs of one side of a verification
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
 
-def line_sets(data: bytes, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines of ``least`` words or more in concatenated texts, with their sets of 5-word shingles.
+def _cuts(low: np.ndarray, begins: np.ndarray, starts: np.ndarray, stops: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Whether a word begins a piece: after a line break, after a sentence end, after a chosen word of a long sentence."""
+    breaks = np.unique(np.r_[begins[begins < len(low)], np.flatnonzero(low == 10) + 1])
+    line = np.searchsorted(breaks, starts, "right")
+    first = np.ones(len(starts), bool)
+    first[1:] = (line[1:] != line[:-1]) | np.isin(low[stops[:-1] - 1], np.frombuffer(b".!?", np.uint8))
+    at = np.flatnonzero(first)
+    size = np.diff(np.r_[at, len(starts)])
+    place = np.arange(len(starts)) - np.repeat(at, size)
+    size = np.repeat(size, size)
+    # no piece of fewer words than a shingle comes of it
+    chosen = np.flatnonzero((size > SENTENCE) & (place >= LEAST - 1) & (size - place > LEAST))
+    rank = mix(names ^ _SEEDS[-1])
+    for k in range(1, NEAR + 1):
+        chosen = chosen[(rank[chosen] < rank[chosen - k]) & (rank[chosen] <= rank[chosen + k])]
+    first[chosen + 1] = True
+    return first
 
-    Returns the lines' texts, their places among the text's lines, where each line's shingles start (and where the
-    last one's end), and the shingles, distinct and ascending within a line. Words are what stands between white space
-    once A-Z are lower-cased.
+
+def piece_sets(data: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of five words or more of concatenated texts, with their sets of 5-word shingles.
+
+    Returns the pieces' texts, their places among the text's pieces, the bytes of the text they begin and stop at, where
+    each piece's shingles start (and where the last one's end), and the shingles, distinct and ascending within a piece.
+    Words are what stands between white space once A-Z are lower-cased.
     """
     low = np.frombuffer(data.lower(), np.uint8)
     nothing = np.zeros(0, np.int64)
-    if not len(low):
-        return nothing, nothing, np.zeros(1, np.int64), np.zeros(0, np.uint64)
     begins = np.cumsum(sizes) - sizes
     inside = begins[begins < len(low)]
     word = ~((low == 32) | ((low >= 9) & (low <= 13)))
+    if not word.any():
+        return nothing, nothing, nothing, nothing, np.zeros(1, np.int64), np.zeros(0, np.uint64)
     first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
     last[:-1] &= ~word[1:]
@@ -58,31 +81,33 @@ def line_sets(data: bytes, sizes: np.ndarray, least: int) -> tuple[np.ndarray, n
     ends = inside[inside > 0] - 1
     last[ends] |= word[ends]
     starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-    breaks = np.unique(np.r_[inside, np.flatnonzero(low == 10) + 1])
-    line = np.searchsorted(breaks, starts, "right") - 1
-    wanted = np.bincount(line, minlength=len(breaks)) >= least
     names = Fingerprints(low, 0).of(starts, stops)
+    at = np.flatnonzero(_cuts(low, begins, starts, stops, names))
+    size = np.diff(np.r_[at, len(starts)])
+    piece = np.repeat(np.arange(len(at)), size)
+    wanted = np.flatnonzero(size >= LEAST)
     together = np.zeros(max(0, len(names) - WORDS + 1), np.uint64)
     for k in range(WORDS):
         together += names[k : k + len(together)] * (_SEEDS[k] | np.uint64(1))
-    whole = np.flatnonzero((line[: len(together)] == line[WORDS - 1 :][: len(together)]) & wanted[line[: len(together)]])
-    shingle, at = mix(together[whole]), line[whole]
-    order = np.lexsort((shingle, at))
-    shingle, at = shingle[order], at[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (shingle[1:] != shingle[:-1]) | (at[1:] != at[:-1])
-    shingle, at = shingle[new], at[new]
-    lines, edges = np.unique(at, return_index=True)
-    text = np.searchsorted(begins, breaks[lines], "right") - 1
-    place = lines - np.searchsorted(breaks, begins[text])
-    return text, place, np.r_[edges, len(at)].astype(np.int64), shingle
-
-
-class _Lines:
+    whole = np.flatnonzero(piece[: len(together)] == piece[WORDS - 1 :][: len(together)])
+    shingle, own = mix(together[whole]), piece[whole]
+    order = np.lexsort((shingle, own))
+    shingle, own = shingle[order], own[order]
+    new = np.ones(len(own), bool)
+    new[1:] = (shingle[1:] != shingle[:-1]) | (own[1:] != own[:-1])
+    shingle, own = shingle[new], own[new]
+    edges = np.searchsorted(own, np.r_[wanted, len(at)])
+    begin, stop = starts[at[wanted]], stops[at[wanted] + size[wanted] - 1]
+    text = np.searchsorted(begins, begin, "right") - 1
+    place = np.arange(len(wanted)) - np.searchsorted(text, text)
+    return text, place, begin - begins[text], stop - begins[text], edges.astype(np.int64), shingle
+
+
+class _Pieces:
     """The paragraphs of a block, led through the levels as far as answers are known."""
 
-    def __init__(self, data: bytes, sizes: np.ndarray, given: dict, shards: int, least: int):
-        self.text, self.place, self.edges, self.shingles = line_sets(data, sizes, least)
+    def __init__(self, data: bytes, sizes: np.ndarray, given: dict, shards: int):
+        self.text, self.place, self.begin, self.stop, self.edges, self.shingles = piece_sets(data, sizes)
         begin = self.edges[:-1]
         if len(begin):
             sums = [np.add.reduceat(mix(self.shingles ^ seed), begin) for seed in _SEEDS[:2]]
@@ -92,7 +117,9 @@ class _Lines:
         self.level = Level(self.keys, shards)
         if 1 not in given:
             return
-        stands = np.flatnonzero(self.level.answers(given[1]) & STANDS)
+        flags = self.level.answers(given[1])
+        self.repeated = flags & REPEATED > 0
+        stands = np.flatnonzero((flags & STANDS > 0) & (np.diff(self.edges) >= SMALLEST))
         self.open = stands[np.sort(np.unique(self.level.inverse[stands], return_index=True)[1])]
         self.names = self.bands(self.open)
         self.level = Level(single(self.names.ravel()), shards)
@@ -100,7 +127,7 @@ class _Lines:
             self.met = (self.level.answers(given[2]) & REPEATED > 0).reshape(-1, BANDS)
 
     def bands(self, which: np.ndarray) -> np.ndarray:
-        """A name for each band of lines: the smallest shingles under ``ROWS`` permutations, mixed."""
+        """A name for each band of pieces: the smallest shingles under ``ROWS`` permutations, mixed."""
         out = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(which), 1))
         if not len(which):
             return out
@@ -130,74 +157,111 @@ def _verified_links(candidates: DataFrame, parts: int) -> DataFrame:
     return stage(arrow_rows(dealt, tree_links, "a binary, b binary"), "paragraph-links")
 
 
-def remove_paragraphs(docs: DataFrame, least: int = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_paragraphs, n_repeated, n_removed, kept`` (the text left) of every row.
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """A text without some of its pieces and the blanks behind them; lines of which nothing is left go."""
+    out, at, spans = [], 0, iter(spans)
+    span = next(spans, None)
+    for line in text.split(b"\n"):
+        begin, at = at, at + len(line) + 1
+        left, done = [], begin
+        while span and span[0] < at:
+            left.append(text[done : span[0]])
+            done = span[1]
+            done += len(text[done : at - 1]) - len(text[done : at - 1].lstrip())
+            span = next(spans, None)
+        left.append(text[done : at - 1])
+        rest = b"".join(left)
+        if len(left) == 1 or rest.strip():
+            out.append(rest)
+    return b"\n".join(out)
+
+
+def _passages(text: bytes, hits: list[tuple]) -> tuple[int, int]:
+    """Passages of ``PASSAGE`` words or more among a text's repeated pieces, and the pieces outside of them."""
+    passages = short = 0
+    begin = 0
+    for i, (place, _, stop, _) in enumerate(hits):
+        if i and place != hits[i - 1][0] + 1:
+            begin = i
+        if i + 1 == len(hits) or hits[i + 1][0] != place + 1:
+            if len(text[hits[begin][1] : stop].split()) >= PASSAGE:
+                passages += 1
+            else:
+                short += i + 1 - begin
+    return passages, short
+
+
+def remove_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_paragraphs, n_repeated, n_short, n_removed, kept`` (the text left) of every row.
 
-    Lines of ``least`` words or more are near duplicates when the Jaccard similarity of their 5-word shingles is 0.75
-    or more; classes are components of such pairs. ``n_paragraphs`` counts all lines that are not blank,
-    ``n_repeated`` those in a class of two or more, ``n_removed`` those of them that go: all but the class's first,
-    by key, by the text's place, by line. Lines under five words have no shingle and stay. Null counts as empty. One row
-    per row.
+    A line is cut behind words that end in a full stop, exclamation or question mark; a sentence of more than
+    ``SENTENCE`` words also behind words of the smallest hash among ``NEAR`` on both sides, but into no piece under five
+    words. Pieces of five words or more are near duplicates when the Jaccard similarity of their 5-word shingles is
+    0.75 or more; classes are components of such pairs. Pieces of a class of two or more are repeated; all of them go but
+    the class's first, by key (null last), by the text's place, by place in the text.
+
+    Repeated pieces with nothing between but pieces under five words make a passage, over line ends too.
+    ``n_paragraphs`` counts lines that are not blank, ``n_repeated`` passages of ``PASSAGE`` words or more, ``n_short``
+    repeated pieces outside of these, ``n_removed`` the pieces that go. Pieces under five words have no shingle and
+    stay. Null counts as empty. One row per row, also of null or repeated keys; other columns are left out.
     """
-    packed, size = pack(docs.select(key, text), text)
-    shards = shard_count(size, 30)
+    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    packed, size = pack(docs, "text")
+    shards = shard_count(size, 15)
     parts = max(24, size >> 25)
     given = None
     for level in (1, 2):
-        given = ask(packed, given, level, 5, shards, lambda d, s, g: _Lines(d, s, g, shards, least).level)
-    kind = docs.schema[key].dataType.simpleString()
-
-    def left(found):
-        for sizes, data, answers in found:
-            own = {level: by_level([answers]).get(level, {}) for level in (1, 2)}
-            state = _Lines(bytes(data), np.frombuffer(sizes, np.int64), own, shards, least)
-            for i, names, met in zip(state.open.tolist(), state.names, state.met, strict=True):
-                if met.any():
-                    yield state.key(i), (names[met] >> np.uint64(1)).astype(np.int64).tolist(), state.set(i)
-
-    source = packed.select("block", "sizes", "data").join(by_block(given).hint("shuffle_hash"), "block")
-    candidates = stage(
-        arrow_rows(source.select("sizes", "data", "given"), left, "id binary, keys array<long>, tokens binary"),
-        "paragraphs",
-    )
-    comps = connected_components(_verified_links(candidates, parts))
+        given = ask(packed, given, level, 5, shards, lambda d, s, g: _Pieces(d, s, g, shards).level)
+    kind = docs.schema["key"].dataType.simpleString()
 
     def listed(found):
-        for block, sizes, rest, data in found:
-            state = _Lines(bytes(data), np.frombuffer(sizes, np.int64), {}, shards, least)
-            for i, (at, line) in enumerate(zip(state.text.tolist(), state.place.tolist(), strict=True)):
-                yield block, at, line, rest[at][key], state.key(i)
+        for block, sizes, rest, data, answers in found:
+            own = {level: by_level([answers]).get(level, {}) for level in (1, 2)}
+            state = _Pieces(bytes(data), np.frombuffer(sizes, np.int64), own, shards)
+            met = {i: (n, m) for i, n, m in zip(state.open.tolist(), state.names, state.met, strict=True) if m.any()}
+            # a piece that stands once and collides with none is no class
+            for i in np.flatnonzero(state.repeated | np.isin(np.arange(len(state.text)), list(met))).tolist():
+                names = tokens = None
+                if i in met:
+                    names, tokens = (met[i][0][met[i][1]] >> np.uint64(1)).astype(np.int64).tolist(), state.set(i)
+                at = int(state.text[i])
+                place = int(state.place[i]), int(state.begin[i]), int(state.stop[i])
+                yield block, at, *place, rest[at]["key"], state.key(i), names, tokens
 
-    lines = arrow_rows(
-        packed.select("block", "sizes", "rest", "data"), listed, f"block long, at int, line int, {key} {kind}, id binary"
-    )
-    lines = stage(lines, "lines")
-    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key), "block", "at", "line")).alias("first")
+    source = packed.select("block", "sizes", "rest", "data").join(by_block(given).hint("shuffle_hash"), "block")
+    columns = f"block long, at int, place int, begin int, stop int, key {kind}, id binary, keys array<long>, tokens binary"
+    pieces = stage(arrow_rows(source, listed, columns), "paragraphs")
+    comps = connected_components(_verified_links(pieces.where("tokens IS NOT NULL").select("id", "keys", "tokens"), parts))
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "block", "at", "place")).alias("first")
     # per set first, then per component, so that only sets are joined
-    sets = lines.groupBy("id").agg(first, F.count("*").alias("n"))
+    sets = pieces.groupBy("id").agg(first, F.count("*").alias("n"))
     sets = sets.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     classes = sets.groupBy("component").agg(F.min("first").alias("stays"), F.sum("n").alias("size")).where("size > 1")
     classes = sets.join(classes, "component").select("id", "stays")
-    hit = lines.join(classes, "id")
-    goes = ~(
-        (F.col("block") == F.col("stays.block")) & (F.col("at") == F.col("stays.at")) & (F.col("line") == F.col("stays.line"))
-    )
-    found = hit.groupBy("block").agg(F.collect_list(F.struct("at", "line", goes.alias("goes"))).alias("hit"))
+    hit = pieces.select("block", "at", "place", "begin", "stop", "id").join(classes, "id")
+    stays = F.col("stays")
+    goes = ~((F.col("block") == stays["block"]) & (F.col("at") == stays["at"]) & (F.col("place") == stays["place"]))
+    found = hit.groupBy("block").agg(F.collect_list(F.struct("at", "place", "begin", "stop", goes.alias("goes"))).alias("hit"))
 
     def finished(rows):
         for _, sizes, rest, data, hit in rows:
-            marks: dict[tuple[int, int], bool] = {(h["at"], h["line"]): h["goes"] for h in hit or ()}
-            at = 0
-            for i, (values, size) in enumerate(zip(rest, np.frombuffer(sizes, np.int64).tolist(), strict=True)):
-                own = bytes(data[at : at + size]).split(b"\n")
-                at += size
-                kept = [line for j, line in enumerate(own) if not marks.get((i, j))]
-                repeated = sum((i, j) in marks for j in range(len(own)))
-                yield values[key], sum(bool(x.strip()) for x in own), repeated, len(own) - len(kept), b"\n".join(kept)
+            own: dict[int, list[tuple]] = {}
+            for at, *piece in sorted(tuple(h.values()) for h in hit or ()):
+                own.setdefault(at, []).append(tuple(piece))
+            begin = 0
+            for at, (values, size) in enumerate(zip(rest, np.frombuffer(sizes, np.int64).tolist(), strict=True)):
+                content = bytes(data[begin : begin + size])
+                begin += size
+                hits = own.get(at, [])
+                gone = [(start, stop) for _, start, stop, goes in hits if goes]
+                lines = sum(bool(x.strip()) for x in content.split(b"\n"))
+                kept = _without(content, gone) if gone else content
+                yield values["key"], lines, *_passages(content, hits), len(gone), kept
 
     joined = packed.join(found.hint("shuffle_hash"), "block", "left")
-    return arrow_rows(joined, finished, f"{key} {kind}, n_paragraphs long, n_repeated long, n_removed long, kept binary")
+    columns = f"key {kind}, n_paragraphs long, n_repeated long, n_short long, n_removed long, kept binary"
+    return arrow_rows(joined, finished, columns).withColumnRenamed("key", key)
 
 
 def digest(removed: DataFrame, key: str = "doc_id") -> DataFrame:
-    return removed.select(key, "n_paragraphs", "n_repeated", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return removed.select(key, "n_paragraphs", "n_repeated", "n_short", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
