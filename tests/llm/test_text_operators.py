@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -231,3 +232,34 @@ def test_separator_scan_stitches_blocks(spark, monkeypatch):
             table += [(shard, i // size, bytearray(ids[i : i + size].tobytes())) for i in range(0, len(ids), size)]
         blocks = spark.createDataFrame(table, "shard int, block int, tokens binary")
         assert sorted(map(tuple, separators.count_tokens(blocks, 0, 2).collect())) == expected
+
+
+def test_raw_elements_end_where_they_end():
+    texts = lambda page: [b.text for b in pages.blocks(page)]
+    assert texts("<article><p>a <svg width='1'/> b</p><p>c</p></article>") == ["a b", "c"]
+    assert texts("<article><p>a <svg><text>x</text></svg> b</p><title-bar>t</title-bar><select-box>s</select-box></article>") == ["a b", "t", "s"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert texts("<noscript><p>n</p></noscript><object data='x'>o</object>") == ["n", "o"]
+    assert texts("<script>a</script><style>b</style><textarea>c</textarea><select><option>d</select>e") == ["e"]
+    assert texts("<svg viewBox='0 0 / 1' title=\"a/>b\"><path/></svg>f") == ["f"]
+
+
+def test_viterbi_and_marginals_equal_all_labellings():
+    draw = np.random.default_rng(3)
+    for n in (1, 2, 5, 8):
+        field = pages.Field(draw.normal(size=(pages.WIDTH, 2)), draw.normal(size=(2, 2)))
+        rows = [draw.choice(pages.WIDTH, 6, replace=False) for _ in range(n)]
+        scores = field.scores(rows)
+        ways = list(itertools.product((0, 1), repeat=n))
+        totals = np.array([sum(scores[i, y] for i, y in enumerate(w)) + sum(field.pairs[a, b] for a, b in zip(w, w[1:])) for w in ways])
+        assert tuple(field.viterbi(rows).tolist()) == ways[int(totals.argmax())]
+        weights = np.exp(totals - totals.max())
+        weights /= weights.sum()
+        single, both = pages._marginals(scores, field.pairs)
+        for i in range(n):
+            assert np.isclose(single[i, 1], sum(p for p, w in zip(weights, ways, strict=True) if w[i]))
+        expected = np.zeros((2, 2))
+        for p, w in zip(weights, ways, strict=True):
+            for a, b in zip(w, w[1:]):
+                expected[a, b] += p
+        assert np.allclose(both, expected)

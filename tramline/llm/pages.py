@@ -25,11 +25,12 @@ WIDTH = 1 << 12  # hashed features
 # elements that do not end a block
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder "
+    "mover munderover mspace mstyle mpadded semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # elements whose content is no text of the page
-RAW = "script|style|noscript|template|iframe|svg|math|object|textarea|select|title"
+RAW = "script|style|template|iframe|svg|annotation|textarea|select|title"
 # elements that an opening tag of the same group closes
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}}
 CLOSES |= {"td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -40,7 +41,8 @@ ENDS_P = frozenset(
 MARK = "data-main"  # names the label on composed pages; never a feature
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?:svg|annotation)(?=[\s/])(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*+/>"
+    rf"|<({RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
