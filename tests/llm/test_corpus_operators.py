@@ -75,6 +75,15 @@ def test_similar_sets_equal_brute_force(documents, corpus, rows):
     assert rows(found) == ordered(signatures.brute_force(corpus))
 
 
+def test_words_of_equal_polynomials_stay_apart(documents, rows):
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))  # equal under any polynomial modulo 2 ** 64
+    pairs = [(1, f"{one} x y z w"), (2, f"{two} x y z w"), (3, f"{one.upper()} x\ty z w")]
+    assert rows(signatures.similar_sets(documents(pairs))) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+    found = rows(paragraphs.digest(paragraphs.remove_paragraphs(documents(pairs))))
+    assert [r[4] for r in found] == [0, 0, 1]
+
+
 def test_similar_sets_at_the_threshold(documents, rows):
     def text(tokens):
         return " ".join(f"w{t}" for t in tokens)
@@ -301,6 +310,16 @@ def test_top_k_of_keys_repeated_in_several_buckets(spark):
     assert found == [(0, r, i, s) for r, (i, s) in enumerate(expected, 1)]
 
 
+def test_top_k_queries_in_groups_of_few_bytes(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    table = spark.createDataFrame([(i, draw.normal(size=8).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    table = table.union(table.where("vec_id = 50"))  # a query that stands twice
+    whole = sorted(map(tuple, topk.search(table).collect()))
+    monkeypatch.setattr(topk, "GROUP_BYTES", 128)
+    assert sorted(map(tuple, topk.search(table).collect())) == whole and len(whole) == 6 * 5
+    assert topk.search(table.limit(0)).count() == 0
+
+
 def test_top_k_of_keys_repeated_in_several_batches():
     draw = np.random.default_rng(8)
     query = np.array([256, 256, 256])

@@ -7,6 +7,7 @@ in a priority queue that spills sorted runs to disk and merges them, so it may b
 
 from __future__ import annotations
 
+import hashlib
 import os
 import shutil
 import tempfile
@@ -28,6 +29,7 @@ SHARD = 1 << 20  # names of a shard, about
 BUCKET = 64 << 20  # bytes of input of a bucket of blocks, at most about
 MOST = 4096  # beyond as many shards they grow instead, and their queues go to disk
 HELD = 4_000_000  # tuples a priority queue keeps in memory
+POLYNOMIAL = 256  # bytes up to which a polynomial tells strings apart that are made to look alike (Thue-Morse)
 
 # odd multipliers of the two fingerprints, fixed so that all tasks agree
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -51,21 +53,25 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Fingerprints:
-    """Polynomial fingerprints of any substring of a block, in constant time each."""
+    """Fingerprints of any substring of a block: polynomials in constant time, digests beyond ``POLYNOMIAL`` bytes."""
 
     def __init__(self, data: np.ndarray, family: int):
         size = 1 << max(20, int(len(data)).bit_length())
-        self.family = family
+        self.family, self.data = family, data
         up, self.down = _powers(_BASE[family], size)
         letters = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE[1 - family]))
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(letters[data] * up[: len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * self.down[start])
+        out = mix((self.sums[stop] - self.sums[start]) * self.down[start])
+        for i in np.flatnonzero(stop - start > POLYNOMIAL).tolist():
+            digest = hashlib.blake2b(self.data[start[i] : stop[i]], digest_size=8, key=b"%d" % self.family)
+            out[i] = int.from_bytes(digest.digest(), "little")
+        return out
 
     def all(self, size: int) -> np.ndarray:
-        """Fingerprints of every substring of this size."""
+        """Fingerprints of every substring of this size, of ``POLYNOMIAL`` bytes at most."""
         n = len(self.sums) - size
         return mix((self.sums[size:] - self.sums[:n]) * self.down[:n])
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tramline.llm.common import arrow_rows, blob, stage
 
-GROUP = 8192  # queries of a pass: bounds what is broadcast
+GROUP = 8192  # queries of a pass, and
+GROUP_BYTES = 64 << 20  # their bytes: both bound what is broadcast
 LONGEST = 2048  # longest vectors that give the first thresholds
 COSINE = 0.3  # local threshold from which coordinates prune better than lengths
 FOCUS = 4  # coordinates looked at
@@ -87,18 +88,22 @@ def search_bucket(q: np.ndarray, q_norm: float, best: _Best, matrix: np.ndarray,
     return alive
 
 
-def _first_floors(queries: dict, longest: list, k: int) -> dict:
-    """A score that each query's k-th best surely reaches, from products with the longest vectors."""
-    floors = {}
-    by_dim: dict[int, tuple] = {}
-    for dim in {len(v) for _, v in longest}:
-        own = [(i, v) for i, v in longest if len(v) == dim]
-        by_dim[dim] = (np.array([i for i, _ in own]), np.stack([v for _, v in own]) if dim else np.zeros((len(own), 0)))
-    for name, q in queries.items():
-        ids, matrix = by_dim.get(len(q), (np.zeros(0), np.zeros((0, len(q)))))
-        scores = np.sort(_products(matrix, q)[ids != name])
-        floors[name] = float(scores[-k]) if len(scores) >= k else -np.inf
-    return floors
+def _with_floors(asked: DataFrame, longest: list, key: str, k: int) -> DataFrame:
+    """Queries with a score that the k-th best surely reaches, from products with the longest vectors."""
+    sent = asked.sparkSession.sparkContext.broadcast(longest)
+
+    def rows(found):
+        by_dim: dict[int, tuple] = {}
+        for dim in {len(v) for _, v in sent.value}:
+            own = [(i, v) for i, v in sent.value if len(v) == dim]
+            by_dim[dim] = np.array([i for i, _ in own]), np.stack([v for _, v in own]).reshape(len(own), dim)
+        for name, ints in found:
+            q = np.frombuffer(ints, "<i8").astype(np.float64)
+            ids, matrix = by_dim.get(len(q), (np.zeros(0), np.zeros((0, len(q)))))
+            scores = np.sort(_products(matrix, q)[ids != name])
+            yield name, ints, float(scores[-k]) if len(scores) >= k else float("-inf")
+
+    return arrow_rows(asked.select(key, "ints"), rows, f"{key} long, ints binary, floor double")
 
 
 def search(
@@ -107,27 +112,32 @@ def search(
     """``query_id, rank, vec_id, score``: the ``k`` best of every row whose key is divisible by ``every``.
 
     Candidates are all rows with another key and as many components; ties go to the smaller key. Rows with a null
-    key, a null vector, or null or non-finite components take no part. A repeated key is one query; as candidates its
-    rows count once with their best score. Queries run in groups of at most about ``group``, one pass over the
-    vectors each; a pass broadcasts its group alone. Nothing is cut off: pruning leaves out only what cannot reach
-    the k-th best.
+    key, a null vector, or null or non-finite components take no part; components are to stay below 2^31, so that
+    products fit. A repeated key is one query, with the smallest of its packed vectors; as candidates its rows count
+    once with their best score. Queries run in groups of at most about ``group`` rows and ``GROUP_BYTES``, one pass over
+    the vectors each; only a pass's group is on the driver, to be broadcast, and its result is written before the next.
+    Nothing is cut off: pruning leaves out only what cannot reach the k-th best.
     """
     held = stage(integer_vectors(vectors, key, vector), "vectors")
     spark = vectors.sparkSession
-    asked = held.where(F.col(key) % every == 0)
-    groups = max(1, -(-asked.count() // group))
+    asked = held.where(F.col(key) % every == 0).groupBy(key).agg(F.min("ints").alias("ints"))
     # at most LONGEST keys; they come first, so that a task passes on numbers and not vectors
     top = held.groupBy(key).agg(F.max("norm").alias("norm")).orderBy(F.desc("norm"), key).limit(LONGEST).select(key)
     longest = [
         (r[0], np.frombuffer(r[1], "<i8").astype(np.float64))
-        for r in held.join(F.broadcast(top), key).dropDuplicates([key]).select(key, "ints").collect()
+        for r in held.join(F.broadcast(top), key).groupBy(key).agg(F.min("ints")).collect()
     ]
+    asked = stage(_with_floors(asked, longest, key, k), "queries")
+    size = asked.agg(F.count("*"), F.coalesce(F.sum(F.length("ints")), F.lit(0))).first()
+    groups = max(1, -(-size[0] // group), -(-size[1] // GROUP_BYTES))
     found = None
     for number in range(groups):
-        own = asked.where(F.pmod(F.xxhash64(key), F.lit(groups)) == number).select(key, "ints").collect()
+        own = asked.where(F.pmod(F.xxhash64(key), F.lit(groups)) == number).collect()
         queries = {r[0]: np.frombuffer(r[1], "<i8").astype(np.float64) for r in own}
-        sent = spark.sparkContext.broadcast((queries, _first_floors(queries, longest, k)))
+        sent = spark.sparkContext.broadcast((queries, {r[0]: r[2] for r in own}))
         some = arrow_rows(held.select(key, "dim", "norm", "bucket", "ints"), _scan(sent, k), "query_id long, vec_id long, score long")
+        some = stage(some, "scores")
+        sent.unpersist()
         found = some if found is None else found.union(some)
     # a query has at most k rows of each task here
     unique = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
