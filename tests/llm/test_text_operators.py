@@ -71,6 +71,8 @@ ITEMS = [
     (3, "!!! ..."),
     (4, None),
     (10, "Short ITEM"),
+    (None, "an item without id"),
+    (10, "an item whose id stands twice"),
 ]
 
 
@@ -78,6 +80,7 @@ def test_decontamination_equals_brute_force(spark, documents, corpus, rows):
     pairs = corpus + [
         (70, "x " + ITEMS[0][1].upper() + " y"),
         (71, "jumps over the lazy dog and runs far away, then comes back home"),
+        (73, "an item without id, and an item whose id stands twice, short item"),
         (72, "a short--item, and shortitem " + "pad " * 50),
     ]
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
@@ -90,6 +93,16 @@ def test_decontamination_equals_brute_force(spark, documents, corpus, rows):
     assert kept.count() == len(clean) and kept.columns == documents([]).columns
 
 
+def test_automata_are_cut_by_bytes_too(spark, documents, rows, monkeypatch):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    pairs = [(1, ITEMS[0][1]), (2, "short item"), (3, None)]
+    monkeypatch.setattr(decontaminate, "WINDOW_BYTES", 100)
+    blocks = list(decontaminate._in_blocks(items, 13, "item_id", "text", 1000))
+    assert len(blocks) > 2 and all(sum(len(w) for _, w in b[:-1]) < 100 for b in blocks)
+    found = decontaminate.digest(decontaminate.scan_documents(documents(pairs), items))
+    assert rows(found) == decontaminate.brute_force(pairs, ITEMS)
+
+
 def test_spans_lead_back_to_the_original_bytes(spark, documents):
     text = "é Über — THE Short  item!"
     items = spark.createDataFrame(ITEMS, "item_id long, text string")

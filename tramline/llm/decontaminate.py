@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import arrow_rows
+from tramline.llm.common import arrow_rows, stage
 
 # 0-9, a-z, A-Z in lower case, and all bytes of characters outside ASCII; all else separates words
 NORMAL = bytes(
@@ -82,8 +81,11 @@ def word_places(text: str) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
+WINDOW_BYTES = 32 << 20  # of an automaton, beside the number of its windows
+
+
 def _in_blocks(items: DataFrame, words: int, item: str, text: str, most: int) -> Iterator[list]:
-    """The windows of all items, ``most`` at a time; one empty block when there are none."""
+    """The windows of all items, at most ``most`` and about ``WINDOW_BYTES`` at a time; one empty block without any."""
 
     def rows(found):
         for name, content in found:
@@ -92,20 +94,27 @@ def _in_blocks(items: DataFrame, words: int, item: str, text: str, most: int) ->
 
     kind = items.schema[item].dataType.simpleString()
     windows = arrow_rows(items.select(item, text), rows, f"item {kind}, window binary")
-    stream = ((r.item, bytes(r.window)) for r in windows.toLocalIterator())
-    yield list(islice(stream, most))
-    while block := list(islice(stream, most)):
-        yield block
+    block, weight, full = [], 0, False
+    for r in windows.toLocalIterator():
+        if full:
+            yield block
+            block, weight = [], 0
+        block.append((r.item, bytes(r.window)))
+        weight += len(r.window)
+        full = len(block) >= most or weight >= WINDOW_BYTES
+    yield block
 
 
 def _passes(docs: DataFrame, at: int, blocks: Iterator[list], finish: Callable[..., Iterator[tuple]], schema: str):
     """Scan with one automaton after another; ``finish`` makes the rows of ``schema`` in the last pass.
 
-    ``at`` is the text's place in a row. Nothing is shuffled; what earlier passes found travels with the row.
+    ``at`` is the text's place in a row. Nothing is shuffled; what earlier passes found travels with the row. Every pass
+    but the last is written, so that a task holds one automaton at a time.
     """
     spark = docs.sparkSession
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    found_columns = [F.array().cast("array<long>").alias("_hit words"), F.array().cast("array<string>").alias("_items")]
+    # rows are read by place; columns are named by it too, so that no name clashes with what is carried
+    own = ", ".join(f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
+    found_columns = [F.array().cast("array<long>").alias("hit"), F.array().cast("array<string>").alias("items")]
 
     def one(frame: DataFrame, windows: list, last: bool) -> DataFrame:
         held = spark.sparkContext.broadcast(windows)
@@ -116,17 +125,17 @@ def _passes(docs: DataFrame, at: int, blocks: Iterator[list], finish: Callable[.
                 count, hit, items = scanner.scan(row[at])
                 if before:
                     hit = np.union1d(hit, np.array(before, np.int64))
-                items = {str(i) for i in items} | set(before_items)
+                items = {str(i) for i in items if i is not None} | set(before_items)
                 if last:
                     yield from finish(row, count, hit, sorted(items))
                 else:
                     yield (*row, hit.tolist(), list(items))
 
-        return arrow_rows(frame, rows, schema if last else f"{own}, `_hit words` array<long>, _items array<string>")
+        return arrow_rows(frame, rows, schema if last else f"{own}, hit array<long>, items array<string>")
 
-    frame, block = docs.select("*", *found_columns), next(blocks)
+    frame, block = docs.toDF(*(f"_{i}" for i in range(len(docs.columns)))).select("*", *found_columns), next(blocks)
     for following in blocks:
-        frame, block = one(frame, block, False), following
+        frame, block = stage(one(frame, block, False), "scanned"), following
     return one(frame, block, True)
 
 
@@ -145,7 +154,8 @@ def scan_documents(
     sorted text), ``spans`` the hit runs as first and last-plus-one byte of the original UTF-8 text. An automaton
     holds ``most`` windows, a bound on what is broadcast; items with more windows in all are scanned for in as many
     passes, united per row. Every row gives one row, with repeated and null keys too; null and empty texts have no
-    words; an item without words has no window; windows that several items share count for each.
+    words; an item without words has no window; windows that several items share count for each. Items with a null id
+    hit words like others, but have no name to be listed by; items with the same id are one in the list.
     """
     kind = docs.schema[key].dataType.simpleString()
 
@@ -203,7 +213,7 @@ def brute_force(documents: list[tuple], items: list[tuple], words: int = 13) ->
             for i in range(len(own) - len(window) + 1):
                 if own[i : i + len(window)] == window:
                     hit |= set(range(i, i + len(window)))
-                    met.add(str(item))
+                    met |= {str(item)} - {"None"}
         digest_ = hashlib.sha256(",".join(sorted(met)).encode()).hexdigest()
         out.append((name, len(own), len(hit), len(met), digest_, bool(hit) and 20 * len(hit) >= len(own)))
     return out
