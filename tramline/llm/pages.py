@@ -304,13 +304,13 @@ def fit(pages: DataFrame, sample: int = 300, key: str = "page_id", page: str = "
     """Train on ``sample`` pages, first in the order of a hash of the key, of at most ``longest`` characters each.
 
     The sample bounds what the driver sees; extraction reads every page. Without any page that has an ``article``,
-    composed pages of fixed texts are used.
+    composed pages of fixed texts are used. A key that stands on several pages counts once, with the smallest of them.
     """
     usable = pages.where(F.col(page).contains("<article") & (F.length(page) <= longest))
     order = F.xxhash64(F.col(key), F.lit("sample"))
     # keys first: a task then passes on a few numbers, not pages
     chosen = usable.select(key).distinct().orderBy(order, key).limit(sample)
-    taken = usable.join(F.broadcast(chosen), key).dropDuplicates([key]).orderBy(order, key).select(page).collect()
+    taken = usable.join(F.broadcast(chosen), key).groupBy(key).agg(F.min(page).alias(page)).orderBy(order, key).select(page).collect()
     texts = [r[0] for r in taken] or ["<nav><a>Home</a></nav><article><h1>Title</h1><p>Some text of a page.</p></article>"]
     return train(labelled(texts))
 

@@ -107,8 +107,8 @@ def fit(
 
     Three rows of four build the dictionaries, the fourth fits the curve on whole texts. ``usable`` says, from the
     key alone, which rows may be learnt from. Rows are taken in the order of a hash of the key, so the sample is the
-    same for the same table. A key that is labelled twice counts once, with the lower label; null keys and labels do
-    not count. Without labelled rows, or with texts too few for a dictionary, dictionaries stay empty or raw.
+    same for the same table. A key that is labelled twice counts once, with the lower label, and a key with several
+    texts with the smallest of them (null last); null keys and labels do not count. Without labelled rows, or with texts too few for a dictionary, dictionaries stay empty or raw.
     """
     one = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias("_label"))
     order = F.xxhash64(F.col(key), F.lit("sample"))
@@ -119,7 +119,7 @@ def fit(
     ]
     # at most 2 * per_class keys: bounded, so broadcasting is safe at any input size
     sample = F.broadcast(picked[0].union(picked[1]).select(key, "_label", F.pmod("_order", F.lit(4)).alias("_part")))
-    rows = docs.select(key, text).join(sample, key).dropDuplicates([key])
+    rows = docs.select(key, text).join(sample, key).groupBy(key, "_label", "_part").agg(F.min(text).alias(text))
 
     def some_blocks(found):
         for name, content, c in found:
@@ -135,6 +135,7 @@ def fit(
     good, bad = (_dictionary([bytes(r.block) for r in taken if r.label == c], dictionary_bytes) for c in (1, 0))
     held = rows.where("_part = 0").select("_label", text)
     seen = _differences(held, good, bad, level, ["_label"], text).toPandas()
+    seen = seen.sort_values(["_label", "n_bytes", "difference"])  # rows come in any order, sums of floats depend on it
     x = curve_inputs(seen["difference"].to_numpy(float), seen["n_bytes"].to_numpy(float))
     return QualityModel(good, bad, _fit_curve(x, seen["_label"].to_numpy(float)), level)
 
