@@ -214,6 +214,17 @@ def test_words_equal_the_library_after_the_cache_turned(corpus, monkeypatch):
     assert words.by_word and words.split and found == library_ids(texts)
 
 
+def test_words_told_apart_by_a_mark_equal_the_library(prose):
+    from tramline.llm import wordids
+
+    with open(WORDS, encoding="utf-8") as file:
+        own = wordids.WordIds(file.read())
+    assert all(mark is not None for _, mark in own.marks.values())
+    texts = ["a\x00b \x00 \x00\x00c", "Ā ā Āx", "e\u0301 \u0301 x\u0301\u0301y", "don't it's''s 12a", prose(3, 600), "日本 ½x"]
+    found = [ids for _, ids in own.encode_all((i, t) for i, t in enumerate(texts))]
+    assert found == own.library_ids(texts)
+
+
 def test_grammar_round_trip_and_random_access():
     draw = np.random.default_rng(0)
     ids = np.concatenate([draw.integers(0, 50, 3000), np.tile([1, 2, 3, 3, 3], 900), np.full(700, 9)]).astype(np.uint16)

@@ -11,11 +11,14 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 
 CACHE = 250_000  # words a worker remembers at most of the newest and of those before them
 TOGETHER = 2_000_000  # bytes of text whose new words are looked up in one call
+LINE = 128  # new words in one text of such a call
+MARK = "\x00"  # stands between them
 
 
 class WordIds:
@@ -38,8 +41,10 @@ class WordIds:
         self.split = re.compile(_ascii_pattern(parts).encode()) if self.lower else None
         self.model = self.library
         if self.split:
-            bare = parts | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
-            self.model = Tokenizer.from_str(json.dumps(bare))
+            bare = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+            self.model = Tokenizer.from_str(json.dumps(parts | bare))
+        # a mark tells words apart by its id, which words without it do not have; the bare model takes its byte-level letter
+        self.marks = {by: self._mark(by, m) for by, m in ((self.library, MARK), (self.model, "\u0100")) if self.by_word}
         self.cache: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
@@ -47,6 +52,25 @@ class WordIds:
         found = (by or self.library).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def _mark(self, by, mark: str) -> tuple[str, int | None]:
+        ids = by.encode(mark, add_special_tokens=False).ids
+        return mark, ids[0] if len(ids) == 1 and by.id_to_token(ids[0]).startswith("\u0100") else None
+
+    def word_ids(self, words: list[bytes], by=None) -> Iterator[bytes]:
+        """Ids of words that hold no mark, many of them in a text."""
+        by = by or self.library
+        mark, own = self.marks[by]
+        if own is None:
+            yield from self.library_ids([w.decode() for w in words], by)
+            return
+        between, size = f" {mark} ".encode(), self.dtype.itemsize
+        lines = [between.join(words[i : i + LINE]).decode() for i in range(0, len(words), LINE)]
+        for line in by.encode_batch_fast(lines, add_special_tokens=False):
+            ids = np.array(line.ids, self.dtype)
+            data, at = ids.tobytes(), (np.flatnonzero(ids == own) * size).tolist()
+            for start, stop in zip([0, *(a + size for a in at)], [*at, len(data)], strict=True):
+                yield data[start:stop]
+
     def learn(self, words: Iterable[bytes]) -> None:
         """Make the cache hold all these words."""
         if len(self.cache) > CACHE:  # words that come again are taken over from the generation before
@@ -59,9 +83,12 @@ class WordIds:
         split = {w: self.split.findall(w) for w in new if w.isascii() and not w.isalpha()} if self.split else {}
         ask = (new - split.keys()).union(*split.values()).difference(cache)
         letters = [w for w in ask if w.isalpha()] if self.split else []
-        rest = list(ask.difference(letters))
-        cache.update(zip(letters, self.library_ids([w.decode() for w in letters], self.model), strict=True))
-        cache.update(zip(rest, self.library_ids([w.decode() for w in rest]), strict=True))
+        rest = ask.difference(letters)
+        marked = [w for w in rest if MARK.encode() in w]
+        plain = list(rest.difference(marked))
+        cache.update(zip(letters, self.word_ids(letters, self.model), strict=True))
+        cache.update(zip(plain, self.word_ids(plain), strict=True))
+        cache.update(zip(marked, self.library_ids([w.decode() for w in marked]), strict=True))
         for w, pieces in split.items():
             cache[w] = b"".join(map(cache.__getitem__, pieces))
 
@@ -93,6 +120,18 @@ class WordIds:
             yield rest, b"".join(map(self.cache.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def _loaded(content: str, special: bool) -> WordIds:
+    return WordIds(content, special)
+
+
+def worker_ids(content: str, special: bool) -> WordIds:
+    """An encoder without words; the tokenizer is loaded once by a worker, which Spark gives one task after another."""
+    own = _loaded(content, special)
+    own.cache, own.before = {}, {}
+    return own
+
+
 def _ascii_pattern(parts: dict) -> str:
     """The splitting pattern for lower-case ASCII words, with the classes spelt out for ``re``."""
     steps = parts["pre_tokenizer"].get("pretokenizers") or [parts["pre_tokenizer"]]
