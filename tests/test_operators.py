@@ -1,5 +1,6 @@
 """Joins, change data, calendars, validation: literal cases and brute force."""
 
+import datetime
 import random
 
 import pytest
@@ -256,3 +257,36 @@ def test_backfill_removes_days_that_are_left_empty(spark):
     write_partitioned(rows, path, ["day"])
     backfill(rows, path, "day", "2024-01-01", "2024-01-02", F.col("n") != 1)
     assert sorted(r.n for r in spark.read.parquet(path).collect()) == [0, 2, 3]
+
+
+def test_effective_versions_equal_brute_force(spark):
+    rng = random.Random(11)
+    feeds, first = [], datetime.date(2024, 1, 1)
+    for i in range(60):
+        start = first + datetime.timedelta(rng.randrange(-20, 80))
+        end = start + datetime.timedelta(rng.choice([-3, 0, 1, 2, 6, 7, 8, 30, 70]))
+        published = None if i == 7 else 1704067200 + 86400 * rng.randrange(60)
+        feeds.append((published, int(start.strftime("%Y%m%d")), int(end.strftime("%Y%m%d")), rng.choice([f"Fall 20{i}", "Spring 2023", None])))
+    got = calendar.effective_versions(
+        spark.createDataFrame(feeds, "timestamp long, feed_start_date long, feed_end_date long, feed_version string"), "2024-01-01", "2024-03-31"
+    )
+    want = {}
+    for n in range(91):
+        day = first + datetime.timedelta(n)
+        live = [
+            (ts if ts is not None else -1, version or "")
+            for ts, start, end, version in feeds
+            if start <= int(day.strftime("%Y%m%d")) <= end
+            and (ts is None or datetime.date.fromtimestamp(0) + datetime.timedelta(ts // 86400 + 1) <= day)
+        ]
+        if live:
+            ts, version = max(live)
+            want[day] = (None if ts < 0 else ts, (version.split()[1] if version else None))
+    assert {r.service_date: (r.effective_timestamp, r.rating_year) for r in got.collect()} == want
+
+
+def test_effective_versions_spread_only_the_best_feeds_over_days(spark):
+    feeds = spark.createDataFrame([(1704067200, 20240101, 20241231, "Fall 2024")], "timestamp long, feed_start_date long, feed_end_date long, feed_version string")
+    plan = calendar.effective_versions(feeds, "2024-01-01", "2024-12-31")._jdf.queryExecution().optimizedPlan().toString()
+    # the plan reads from its end: days are listed above an aggregate
+    assert "Aggregate" in plan[plan.index("explode(sequence") :]

@@ -148,15 +148,26 @@ def effective_versions(feeds: DataFrame, first: str, last: str) -> DataFrame:
     published = F.to_date(F.timestamp_seconds(F.col("timestamp")))
     start = F.greatest(int_date(F.col("feed_start_date")), F.date_add(published, 1), lower)
     end = F.least(int_date(F.col("feed_end_date")), upper)
-    return (
+    # the longest power of two of days that fits a span, laid at its start and at its end, covers it:
+    # a feed gives two rows however long it is valid, and only the best feed of a block is spread over days
+    days = F.pow(F.lit(2), F.length(F.bin(F.datediff("_e", "_s") + 1)) - 1).cast("int")
+    blocks = (
         feeds.select("timestamp", "feed_version", start.alias("_s"), end.alias("_e"))
         .filter(F.col("_s") <= F.col("_e"))
-        .withColumn("service_date", F.explode(F.sequence("_s", "_e")))
+        .withColumn("_days", days)
+        .withColumn("_s", F.explode(F.array_distinct(F.array(F.col("_s"), F.date_sub("_e", F.col("_days") - 1)))))
+    )
+    latest = [
+        F.max("timestamp").alias("timestamp"),
+        F.max_by("feed_version", F.struct("timestamp", "feed_version")).alias("feed_version"),
+    ]
+    return (
+        blocks.groupBy("_s", "_days")
+        .agg(*latest)
+        .withColumn("service_date", F.explode(F.sequence("_s", F.date_add("_s", F.col("_days") - 1))))
         .groupBy("service_date")
-        .agg(
-            F.max("timestamp").alias("effective_timestamp"),
-            F.max_by("feed_version", F.struct("timestamp", "feed_version")).alias("_version"),
-        )
+        .agg(*latest)
+        .withColumnsRenamed({"timestamp": "effective_timestamp", "feed_version": "_version"})
         .select(
             "service_date",
             rating_year(F.col("_version")).alias("rating_year"),
