@@ -290,3 +290,42 @@ def test_effective_versions_spread_only_the_best_feeds_over_days(spark):
     plan = calendar.effective_versions(feeds, "2024-01-01", "2024-12-31")._jdf.queryExecution().optimizedPlan().toString()
     # the plan reads from its end: days are listed above an aggregate
     assert "Aggregate" in plan[plan.index("explode(sequence") :]
+
+
+def test_service_calendar_lists_dates_last_and_equals_brute_force(spark):
+    rng = random.Random(5)
+    first = datetime.date(2024, 1, 1)
+
+    def number(n):
+        return int((first + datetime.timedelta(n)).strftime("%Y%m%d"))
+
+    spans = {1: (0, 40), 2: (20, 60), 3: (10, 30)}
+    ranges = [
+        (rng.choice([1, 2, 3, 4]), f"s{rng.randrange(5)}", a, a + rng.choice([-1, 0, 5, 50]), [rng.choice([0, 1, None]) for _ in range(7)])
+        for a in rng.choices(range(-10, 60), k=30)
+    ]
+    ranges += ranges[:3]
+    changes_ = [(rng.choice([1, 2, 3]), f"s{rng.randrange(5)}", rng.randrange(70), rng.choice([0, 1, 2])) for _ in range(60)] * 2
+    trips = [(v, f"s{i}", r) for v in (1, 2, 3) for i in range(4) for r in ("Red", None, "Red")] + [(1, None, "Red")]
+    rows = [(v, s, number(a), number(b), *flags) for v, s, a, b, flags in ranges] + [(1, "s0", 20240230, 20240310, *[1] * 7), (1, None, number(1), number(9), *[1] * 7)]
+    flags = ", ".join(f"{d} int" for d in calendar.WEEKDAYS)
+    got = calendar.service_calendar(
+        spark.createDataFrame(rows, f"static_version_key long, service_id string, start_date long, end_date long, {flags}"),
+        spark.createDataFrame([(v, s, number(d), k) for v, s, d, k in changes_], "static_version_key long, service_id string, date long, exception_type int"),
+        spark.createDataFrame([(v, number(a), number(b)) for v, (a, b) in spans.items()], "static_version_key long, feed_start_date long, feed_end_date long"),
+        spark.createDataFrame(trips, "static_version_key long, service_id string, route_id string"),
+    )
+    days = {
+        (v, s, n)
+        for v, s, a, b, on in ranges
+        if v in spans
+        for n in range(max(a, spans[v][0]), min(b, spans[v][1]) + 1)
+        if on[(first + datetime.timedelta(n)).isoweekday() % 7] == 1
+    } | {(v, s, n) for v, s, n, kind in changes_ if kind == 1 and spans[v][0] <= n <= spans[v][1]}
+    days -= {(v, s, n) for v, s, n, kind in changes_ if kind == 2}
+    want = {(r, s, number(n), v) for v, s, n in days for tv, ts, r in trips if (tv, ts) == (v, s)}
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    # the plan reads from its end: nothing that holds rows stands above the lists of dates
+    above = got._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "Aggregate" not in above and "Join" not in above

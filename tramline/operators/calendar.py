@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +15,12 @@ from tramline.operators.scan import lead, ordered, stretch
 WEEKDAYS = ("sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday")
 
 
-def runs_on(date):
-    """True where the calendar row's weekday flag for the date is set."""
+def runs_on(date, column=F.col):
+    """True where the calendar row's weekday flag for the date is set; ``column`` gives a flag by its name."""
     day = F.dayofweek(date)
     flag = None
     for number, name in enumerate(WEEKDAYS, start=1):
-        flag = F.when(day == number, F.col(name)) if flag is None else flag.when(day == number, F.col(name))
+        flag = F.when(day == number, column(name)) if flag is None else flag.when(day == number, column(name))
     return flag.cast("int") == 1
 
 
@@ -53,34 +55,46 @@ def service_calendar(
     for routes with trips of that service. ``close_at_next_feed`` ends each
     version the day before the next one starts.
     """
-    keys = ["static_version_key", "service_id", "service_date"]
+    keys = ["static_version_key", "service_id"]
     spans = feeds.select("static_version_key", "feed_start_date", "feed_end_date")
     if close_at_next_feed:
         spans = close_spans(spans)
     # ranges are cut to the version's dates before they are spread over days
     oldest = exceptions.agg(F.min("static_version_key")).scalar()
-    clipped = (
+    first = int_date(F.greatest("start_date", "feed_start_date"))
+    last = int_date(F.least("end_date", "feed_end_date"))
+    ranges = (
         calendar.filter(F.col("static_version_key") >= oldest)
         .join(spans, "static_version_key")
-        .withColumn("start_date", F.greatest("start_date", "feed_start_date"))
-        .withColumn("end_date", F.least("end_date", "feed_end_date"))
+        .select(*keys, F.struct(first.alias("first"), last.alias("last"), *WEEKDAYS).alias("_range"))
+        .filter(F.col("_range.first") <= F.col("_range.last"))
     )
-    regular = each_date(clipped, "start_date", "end_date").filter(runs_on(F.col("_date"))).select(*keys)
-    special = exceptions.withColumn("service_date", F.col("date"))
-    added = (
-        special.filter(F.col("exception_type") == 1)
-        .join(spans, "static_version_key")
-        .filter(F.col("service_date").between(F.col("feed_start_date"), F.col("feed_end_date")))
-        .select(*keys)
+    changed = exceptions.join(spans, "static_version_key").filter(
+        F.col("date").between(F.col("feed_start_date"), F.col("feed_end_date"))
+    )
+    dated = [
+        changed.filter(F.col("exception_type") == kind).select(*keys, F.col("date").cast("long").alias(name))
+        for kind, name in ((1, "_added"), (2, "_removed"))
+    ]
+    routes = trips.select(*keys, F.struct("route_id").alias("_route"))
+    # one row per service holds its ranges, exceptions and routes; dates are listed from it at the very
+    # end, so no shuffle, sort or map holds a row per date
+    services = (
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [ranges, *dated, routes])
+        .groupBy(*keys)
+        .agg(*[F.collect_set(c).alias(c) for c in ("_range", "_added", "_removed", "_route")])
+        .dropna(subset=keys)
     )
-    removed = special.filter(F.col("exception_type") == 2).select(*keys)
-    routes = trips.select("static_version_key", "service_id", "route_id").distinct()
+
+    def regular(r):
+        days = F.sequence(r["first"], r["last"])
+        return F.transform(F.filter(days, lambda day: runs_on(day, r.getField)), date_int)
+
+    dates = F.array_union(F.flatten(F.transform("_range", regular)), F.col("_added"))
     return (
-        regular.union(added)
-        .join(removed, keys, "left_anti")
-        .join(routes, ["static_version_key", "service_id"])
-        .select("route_id", "service_id", "service_date", "static_version_key")
-        .distinct()
+        services.withColumn("service_date", F.explode(F.array_except(dates, F.col("_removed"))))
+        .withColumn("_route", F.explode(F.array_distinct("_route")))
+        .select("_route.route_id", "service_id", "service_date", "static_version_key")
     )
 
 
