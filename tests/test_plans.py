@@ -466,3 +466,19 @@ def test_bus_extracts_publish_local_clocks(spark):
         assert (found["a"].stop_arrival_seconds, found["a"].stop_departure_seconds, found["b"].stop_departure_seconds) == (84600, None, 28800)
         assert dict(out.dtypes)["stop_arrival_dt"] == "timestamp_ntz"
     assert [r.trip_id for r in extracts.run_extract("bus_metrics_7_day", table).collect()] == ["b"]
+
+
+def test_trip_steps_of_small_trips_share_one_shuffle(spark):
+    """Steps along a trip write nothing and deal the rows once when no trip is large."""
+    at = "timestamp'2025-01-06 12:00:00'"
+    columns = [
+        "date'2025-01-06' as service_date", "'t' as trip_id", "'p' as tm_pullout_id", "'v' as vehicle_label", "'s' as stop_id", "id as stop_sequence",
+        "3L as stop_count", "'mid' as point_type", *[f"{at} as {c}" for c in (
+            "gtfs_departure_dt", "gtfs_arrival_dt", "tm_actual_departure_dt", "tm_actual_arrival_dt", "gtfs_last_in_transit_dt",
+            "gtfs_first_in_transit_dt", "plan_stop_departure_dt")],
+    ]
+    rows = spark.range(1, 4).selectExpr(*columns)
+    small, large = bus.trip_times(rows, True), bus.trip_times(rows, False)
+    assert small.columns == large.columns and sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("Exchange") == 1

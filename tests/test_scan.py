@@ -131,3 +131,27 @@ def test_even_stretches_of_texts_with_common_ends(spark):
     odd = spark.createDataFrame([(f"x/no-stamp-{i:04d}_type.json",) for i in range(500)] + [(None,)], "path string")
     placed = grouped_and_sorted(odd.where("path is not null")).orderBy("path").collect()
     assert [r.position for r in placed] == list(range(1, 501))
+
+
+@pytest.mark.parametrize("limit", [0, 150, 10_000])
+def test_small_keys_in_plain_windows_and_large_ones_in_stretches_give_the_same(spark, limit):
+    from tramline.operators.groups import by_size
+
+    df = _frame(spark, 6, hot=True)
+    made = {
+        "lag": S.lag(F.col("value")), "lag_at": S.lag_at(), "lead": S.lead(F.col("value")), "before": S.last_before(F.col("value")),
+        "after": S.first_after(F.col("value")), "first": S.first_in_key(F.col("value")), "highest": S.max_before(F.col("value")),
+        "total": S.sum_before(F.col("value")), "lowest": S.min_from(F.col("value")), "n": S.row_number(), "r": S.rank(),
+        "d": S.dense_rank(), "start": S.is_first(), "end": S.is_last(),
+    }
+    ways = []
+
+    def steps(rows, whole):
+        ways.append(whole)
+        scanned = S.ordered(rows, ["key"], [F.col("at"), F.col("id")], S.stretch(F.col("at"), 9), whole, **made)
+        return with_group_values(scanned, ["key"], whole, most=F.max("value"), rows=F.count(F.lit(1)))
+
+    got, want = by_size(df, ["key"], steps, limit), steps(df, False)
+    assert ways[:-1] == ([True] if limit == 10_000 else [True, False])
+    assert got.schema.names == want.schema.names and got.count() == 600
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.nested import join_labels
 from tramline.functions.times import clock_seconds, scheduled_at
-from tramline.operators.groups import first_row, with_group_values
+from tramline.operators.groups import by_size, first_row, with_group_values
 from tramline.operators.scan import min_from, ordered, time_stretch
 
 # Unique trip-stop of the rail model.
@@ -17,10 +17,10 @@ TRIP_STOP = ("service_date", "route_id", "trip_id", "parent_station")
 
 
 def drop_out_of_order(
-    positions: DataFrame, keys: Sequence[str], seq: str, order: Sequence[Column], split: Column
+    positions: DataFrame, keys: Sequence[str], seq: str, order: Sequence[Column], split: Column, whole: bool = False
 ) -> DataFrame:
     """Keep a record only if no later record of its key has a lower sequence."""
-    scanned = ordered(positions, keys, order, split, _lowest_from_here=min_from(F.col(seq)))
+    scanned = ordered(positions, keys, order, split, whole, _lowest_from_here=min_from(F.col(seq)))
     return scanned.filter(F.col(seq) <= F.col("_lowest_from_here")).drop("_lowest_from_here")
 
 
@@ -56,12 +56,11 @@ def pivot_positions(positions: DataFrame) -> DataFrame:
 
 def positions_to_events(positions: DataFrame, stretch_seconds: int = 3600) -> DataFrame:
     """Bus positions -> stop events: out-of-order records out, pivot, start and stop count."""
-    ordered_positions = drop_out_of_order(
-        positions,
-        ["service_date", "trip_id", "vehicle_label"],
-        "stop_sequence",
-        [F.col("vehicle_timestamp"), F.col("stop_sequence")],
-        time_stretch(F.col("vehicle_timestamp"), stretch_seconds),
+    keys = ["service_date", "trip_id", "vehicle_label"]
+    order = [F.col("vehicle_timestamp"), F.col("stop_sequence")]
+    split = time_stretch(F.col("vehicle_timestamp"), stretch_seconds)
+    ordered_positions = by_size(
+        positions, keys, lambda rows, whole: drop_out_of_order(rows, keys, "stop_sequence", order, split, whole)
     )
     events = pivot_positions(ordered_positions.withColumn("start_time", clock_seconds(F.col("start_time"))))
     counted = with_group_values(

@@ -8,9 +8,9 @@ fields as equal, and aggregate, window and join then share one partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,8 +41,15 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last:
     )
 
 
-def with_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
-    """Add aggregates over each key to every row of the key (``agg OVER (PARTITION BY keys)``)."""
+def with_group_values(df: DataFrame, keys: Sequence[str], whole: bool = False, **values: Column) -> DataFrame:
+    """Add aggregates over each key to every row of the key (``agg OVER (PARTITION BY keys)``).
+
+    ``whole`` says that no key is large (``by_size``): then it is that window, and the rows are read once.
+    """
+    if whole:
+        key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys])
+        kept = [F.col(f"`{c}`") for c in df.columns if c not in values]
+        return df.select(*kept, *[v.over(key).alias(n) for n, v in values.items()])
     keyed = df.withColumn("_group", key_struct(*keys))
     totals = keyed.groupBy("_group").agg(*[v.alias(n) for n, v in values.items()])
     replaced = keyed.drop(*values)
@@ -66,3 +73,22 @@ def semi(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "lef
 def anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose keys, nulls included, are not in ``right``."""
     return semi(left, right, keys, "left_anti")
+
+
+KEY_ROWS = 100_000  # a key of more rows is not brought together in one task
+
+
+def by_size(
+    df: DataFrame, keys: Sequence[str], steps: Callable[[DataFrame, bool], DataFrame], limit: int = KEY_ROWS
+) -> DataFrame:
+    """``steps(rows, whole)``: once for the keys of up to ``limit`` rows, with ``whole`` true, once for larger ones.
+
+    Steps must treat every key by itself. With ``whole`` they may use plain
+    windows, which share one shuffle where their keys begin alike; without it
+    they must spread a key. Runs a job that counts the rows of the keys.
+    """
+    counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    large = counts.filter(F.col("_rows") > limit).drop("_rows")
+    if large.isEmpty():
+        return steps(df, True)
+    return steps(anti(df, large, keys), True).unionByName(steps(semi(df, large, keys), False))

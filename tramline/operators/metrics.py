@@ -57,6 +57,7 @@ def headway(
     tie: Sequence[str],
     positive_only: bool = False,
     split: Column | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Seconds since the previous vehicle at the same place.
 
@@ -73,6 +74,7 @@ def headway(
         keys,
         [F.col("_at"), *[F.col(t) for t in tie]],
         F.when(F.col("_at").isNull(), untimed).otherwise(timed) if split is None else split,
+        whole,
         _previous=lag_at(),
     )
     gap = F.col("_at") - F.col("_previous")
@@ -116,9 +118,9 @@ def stop_sequence_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return ordered(df, keys, [at, *[F.col(o) for o in order]], stretch(at, STATION_SECONDS), **{name: rank()})
 
 
-def point_type(df: DataFrame, trip: Sequence[str], seq: str, is_timepoint: Column) -> DataFrame:
+def point_type(df: DataFrame, trip: Sequence[str], seq: str, is_timepoint: Column, whole: bool = False) -> DataFrame:
     """start, end or mid (a checkpoint or timepoint) by place in the trip."""
-    ranked = with_group_values(df, trip, _last=F.max(seq))
+    ranked = with_group_values(df, trip, whole, _last=F.max(seq))
     kind = (
         F.when(F.col(seq) == 1, "start").when(F.col(seq) == F.col("_last"), "end").when(is_timepoint, "mid")
     )
@@ -146,15 +148,12 @@ def dense_rank_of_values(df: DataFrame, keys: Sequence[str], value: str, name: s
     return df.withColumn("_value", key_struct(*keys, value)).join(ranked, "_value", "left").drop("_value")
 
 
-def full_trip_flag(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def full_trip_flag(df: DataFrame, keys: Sequence[str], whole: bool = False) -> DataFrame:
     """True where the trip has both a start and an end point."""
     kind = F.col("point_type")
-    return with_group_values(
-        df,
-        keys,
-        is_full_trip=F.coalesce(F.bool_or(kind == "start"), F.lit(False))
-        & F.coalesce(F.bool_or(kind == "end"), F.lit(False)),
-    )
+    ends = with_group_values(df, keys, whole, _starts=F.bool_or(kind == "start"), _ends=F.bool_or(kind == "end"))
+    full = F.coalesce("_starts", F.lit(False)) & F.coalesce("_ends", F.lit(False))
+    return ends.withColumn("is_full_trip", full).drop("_starts", "_ends")
 
 
 def observed_times(df: DataFrame) -> DataFrame:

@@ -134,13 +134,18 @@ def ordered(
     keys: Sequence[str],
     order: Sequence[Column],
     split: Column,
+    whole: bool = False,
     **columns: Ordered,
 ) -> DataFrame:
     """Add window columns over ``keys`` by ascending ``order``, nulls first.
 
     ``split`` names the stretches: any orderable column that rises with the
-    order, so rows that tie on every order column share a stretch.
+    order, so rows that tie on every order column share a stretch. ``whole``
+    says that no key is large (``groups.by_size``): keys are not cut then.
     """
+    if whole:
+        kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+        return df.select(*kept, *[c.alias(n) for n, c in whole_windows(keys, order, columns).items()])
     work = df.select(
         "*",
         F.struct(key_struct(*keys).alias("_key"), split.alias("_split")).alias("_part"),
@@ -272,14 +277,41 @@ def ordered(
     return joined.select(*kept, *[combined(n, c).alias(n) for n, c in columns.items()])
 
 
-def filled(df: DataFrame, keys: Sequence[str], order: Sequence[Column], split: Column, cols: Sequence[str]) -> DataFrame:
+def whole_windows(keys: Sequence[str], order: Sequence[Column], columns: dict[str, Ordered]) -> dict[str, Column]:
+    """The columns of ``ordered`` as plain windows over the keys."""
+    key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys])
+    here, back = key.orderBy(*order), key.orderBy(*[o.desc() for o in order])
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    every = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    made = {
+        "lag": lambda v: F.lag(v).over(here),
+        "lag_at": lambda v: F.lag(order[0]).over(here),
+        "lead": lambda v: F.lead(v).over(here),
+        "last_before": lambda v: F.last(v, ignorenulls=True).over(before),
+        "first_after": lambda v: F.last(v, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)),
+        "first_in_key": lambda v: F.first(v, ignorenulls=True).over(every),
+        "max_before": lambda v: F.max(v).over(before),
+        "sum_before": lambda v: F.coalesce(F.sum(v).over(before), F.lit(0)),
+        "min_from": lambda v: F.min(v).over(back.rowsBetween(Window.unboundedPreceding, 0)),
+        "row_number": lambda v: F.row_number().over(here).cast("long"),
+        "rank": lambda v: F.rank().over(here).cast("long"),
+        "dense_rank": lambda v: F.dense_rank().over(here).cast("long"),
+        "is_first": lambda v: F.row_number().over(here) == 1,
+        "is_last": lambda v: F.lead(F.lit(True)).over(here).isNull(),
+    }
+    return {n: made[c.kind](c.value) for n, c in columns.items()}
+
+
+def filled(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], split: Column, cols: Sequence[str], whole: bool = False
+) -> DataFrame:
     """Fill nulls forward, then backward, along ``order`` within each key."""
     specs: dict[str, Ordered] = {}
     for c in cols:
         specs[f"_b_{c}"] = last_before(F.col(c))
         # with nothing before, the next value is the first of the key
         specs[f"_a_{c}"] = first_in_key(F.col(c))
-    scanned = ordered(df, keys, order, split, **specs)
+    scanned = ordered(df, keys, order, split, whole, **specs)
     return scanned.select(
         *[
             F.coalesce(F.col(c), F.col(f"_b_{c}"), F.col(f"_a_{c}")).alias(c) if c in cols else F.col(f"`{c}`")

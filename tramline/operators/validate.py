@@ -45,9 +45,9 @@ def min_length(column: str, n: int) -> Rules:
     return {f"{column}|min_length": F.size(column) >= n}
 
 
-def with_reasons(df: DataFrame, rules: Rules, unique: Sequence[str] = ()) -> DataFrame:
+def with_reasons(df: DataFrame, rules: Rules, unique: Sequence[str] = (), whole: bool = False) -> DataFrame:
     """Add ``reasons``: names of the rules a row breaks. A repeated ``unique`` key breaks all its rows."""
-    checked = with_group_values(df, unique, _copies=F.count(F.lit(1))) if unique else df
+    checked = with_group_values(df, unique, whole, _copies=F.count(F.lit(1))) if unique else df
     tests = dict(rules)
     if unique:
         tests["primary_key"] = F.col("_copies") == 1
@@ -55,9 +55,9 @@ def with_reasons(df: DataFrame, rules: Rules, unique: Sequence[str] = ()) -> Dat
     return checked.withColumn("reasons", F.array_compact(F.array(*broken))).drop("_copies")
 
 
-def valid(df: DataFrame, rules: Rules, unique: Sequence[str] = ()) -> DataFrame:
+def valid(df: DataFrame, rules: Rules, unique: Sequence[str] = (), whole: bool = False) -> DataFrame:
     """Rows that break no rule."""
-    return with_reasons(df, rules, unique).filter(F.size("reasons") == 0).drop("reasons")
+    return with_reasons(df, rules, unique, whole).filter(F.size("reasons") == 0).drop("reasons")
 
 
 def quarantined(df: DataFrame, rules: Rules, unique: Sequence[str] = ()) -> DataFrame:
@@ -101,7 +101,7 @@ def departure_after_arrival(arrival: str = "stop_arrival_dt", departure: str = "
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str], width: int = 256
+    df: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str], width: int = 256, whole: bool = False
 ) -> DataFrame:
     """Add ``_prev_<column>``, the value at the stop before."""
     return ordered(
@@ -109,6 +109,7 @@ def with_previous(
         keys,
         [F.col(s) for s in seq],
         stretch(F.col(seq[0]), width),
+        whole,
         **{f"_prev_{c}": lag(F.col(c)) for c in columns},
     )
 
@@ -118,16 +119,14 @@ def not_before_previous(*columns: str) -> Rules:
     return {f"{c}_order": F.col(c) >= F.col(f"_prev_{c}") for c in columns}
 
 
-def with_trip_total(df: DataFrame, keys: Sequence[str], seconds_between) -> DataFrame:
+def with_trip_total(df: DataFrame, keys: Sequence[str], seconds_between, whole: bool = False) -> DataFrame:
     """Add ``_total_ok``: travel plus stopped seconds of the trip equal its whole time."""
     last = F.max(F.coalesce("stop_departure_dt", "stop_arrival_dt"))
     first = F.min(F.coalesce("stop_arrival_dt", "stop_departure_dt"))
-    return with_group_values(
-        df,
-        keys,
-        _total_ok=F.sum(row_sum(F.col("travel_time_seconds"), F.col("stopped_duration_seconds")))
-        == seconds_between(last, first),
-    )
+    taken = F.sum(row_sum(F.col("travel_time_seconds"), F.col("stopped_duration_seconds")))
+    totals = with_group_values(df, keys, whole, _taken=taken, _last=last, _first=first)
+    ok = F.col("_taken") == seconds_between(F.col("_last"), F.col("_first"))
+    return totals.withColumn("_total_ok", ok).drop("_taken", "_last", "_first")
 
 
 def trip_total() -> Rules:

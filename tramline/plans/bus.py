@@ -24,7 +24,7 @@ from tramline.functions.times import (
 )
 from tramline.operators import aggregates, calendar, events, filters, joins, metrics
 from tramline.operators import validate as V
-from tramline.operators.groups import with_group_values
+from tramline.operators.groups import by_size, with_group_values
 from tramline.operators.scan import (
     filled,
     first_in_key,
@@ -39,6 +39,12 @@ from tramline.operators.scan import (
 from tramline.session import cut_lineage
 
 NO_PULLOUT = "____"
+DAY_TRIP = ["service_date", "trip_id"]
+
+
+def written(df: DataFrame, name: str, whole: bool) -> DataFrame:
+    """A stage that the next step reads twice is written; plain windows read it once."""
+    return df if whole else cut_lineage(df, name)
 
 
 # Schedules -----------------------------------------------------------------
@@ -215,7 +221,7 @@ def combined_schedule(gtfs: DataFrame, tm: DataFrame) -> DataFrame:
     cleaned = gtfs.withColumn("gtfs_trip_suffix", texts.trip_suffix(F.col("trip_id"))).withColumn(
         "trip_id", texts.strip_variant_suffix(F.col("trip_id"))
     )
-    day_trip = ["service_date", "trip_id"]
+    day_trip = DAY_TRIP
     tm = tm.withColumn("PULLOUT_ID", F.col("PULLOUT_ID").cast("string"))
     departures = (
         tm.select(*day_trip, "tm_stop_sequence", F.col("tm_stop_departure_dt").alias("plan_stop_departure_dt"))
@@ -234,17 +240,22 @@ def combined_schedule(gtfs: DataFrame, tm: DataFrame) -> DataFrame:
         .withColumn("route_id", F.coalesce("route_id", "route_id_tm"))
         .drop("route_id_tm")
     )
-    rows = cut_lineage(rows, "schedules")
+    return by_size(cut_lineage(rows, "schedules"), day_trip, common_sequence)
+
+
+def common_sequence(rows: DataFrame, whole: bool = False) -> DataFrame:
+    """Combined schedule rows with their trip's columns, a common sequence and a point type; only valid ones."""
+    day_trip = DAY_TRIP
     order = [
         F.col("plan_stop_departure_dt"), F.col("tm_stop_sequence"), F.col("gtfs_stop_sequence"), F.col("stop_id"),
     ]
     by_time = stretch(F.unix_timestamp("plan_stop_departure_dt"), metrics.STATION_SECONDS)
 
     def fill(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-        return filled(df, keys, order, by_time, cols)
+        return filled(df, keys, order, by_time, cols, whole)
 
-    pulled = cut_lineage(fill(rows, day_trip, ["PULLOUT_ID"]), "pullouts")
-    inherited = cut_lineage(fill(pulled, [*day_trip, "PULLOUT_ID"], TRIP_COLUMNS), "trip-columns")
+    pulled = written(fill(rows, day_trip, ["PULLOUT_ID"]), "pullouts", whole)
+    inherited = written(fill(pulled, [*day_trip, "PULLOUT_ID"], TRIP_COLUMNS), "trip-columns", whole)
     named = inherited.withColumn(
         "schedule_joined",
         texts.provenance(F.col("gtfs_stop_sequence"), F.col("tm_stop_sequence"), "GTFS", "TM", "JOIN"),
@@ -254,18 +265,17 @@ def combined_schedule(gtfs: DataFrame, tm: DataFrame) -> DataFrame:
         [*day_trip, "PULLOUT_ID"],
         [F.col("plan_stop_departure_dt"), F.col("tm_stop_sequence"), F.col("gtfs_stop_sequence"), F.col("plan_start_dt")],
         by_time,
+        whole,
         stop_sequence=rank(),
     ).withColumn("tm_pullout_id", F.coalesce("PULLOUT_ID", F.lit(NO_PULLOUT)))
-    pointed = metrics.point_type(
-        cut_lineage(ranked, "ranked"), day_trip, "stop_sequence", F.coalesce("checkpoint_id", "timepoint_abbr").isNotNull()
-    )
+    is_timepoint = F.coalesce("checkpoint_id", "timepoint_abbr").isNotNull()
+    pointed = metrics.point_type(written(ranked, "ranked", whole), day_trip, "stop_sequence", is_timepoint, whole)
     rules = {
         **V.not_null("trip_id", "stop_id", "route_id", "plan_stop_departure_dt", "service_date"),
         **V.in_range("stop_sequence", low=1),
     }
-    return V.valid(
-        cut_lineage(pointed, "points"), rules, ["service_date", "trip_id", "route_id", "stop_sequence", "tm_pullout_id"]
-    ).drop("PULLOUT_ID")
+    unique = ["service_date", "trip_id", "route_id", "stop_sequence", "tm_pullout_id"]
+    return V.valid(written(pointed, "points", whole), rules, unique, whole).drop("PULLOUT_ID")
 
 
 def local_seconds(column: str, date: str = "service_date"):
@@ -382,22 +392,27 @@ def join_rt_to_schedule(schedule: DataFrame, gtfs: DataFrame, tm: DataFrame, ope
         ["service_date", "gtfs_stop_sequence", "trip_id", "vehicle_label_gtfs", "route_id"],
         "left",
     ).withColumn("vehicle_label", F.coalesce("vehicle_label", "vehicle_label_gtfs", F.lit(NO_PULLOUT)))
-    counted = with_group_values(
-        cut_lineage(seen, "observed"), ["service_date", "trip_id", "tm_pullout_id"], stop_count=F.max("stop_sequence")
-    ).withColumn(
-        "gtfs_arrival_dt",
-        F.coalesce("gtfs_arrival_dt", F.when(F.col("point_type") == "end", F.col("gtfs_last_in_transit_dt"))),
-    )
     who = operators.select(
         "service_date", F.col("tm_trip_id").alias("trip_id"), F.col("tm_vehicle_label").alias("vehicle_label"), "public_operator_id"
     ).distinct()
-    return checked_bus_events(cut_lineage(counted.join(who, ["service_date", "trip_id", "vehicle_label"], "left"), "bus-joined"))
 
+    def finished(rows: DataFrame, whole: bool) -> DataFrame:
+        counted = with_group_values(
+            rows, ["service_date", "trip_id", "tm_pullout_id"], whole, stop_count=F.max("stop_sequence")
+        ).withColumn(
+            "gtfs_arrival_dt",
+            F.coalesce("gtfs_arrival_dt", F.when(F.col("point_type") == "end", F.col("gtfs_last_in_transit_dt"))),
+        )
+        driven = counted.join(who, ["service_date", "trip_id", "vehicle_label"], "left")
+        return checked_bus_events(written(driven, "bus-joined", whole), whole)
+
+    return by_size(cut_lineage(seen, "observed"), DAY_TRIP, finished)
 
-def checked_bus_events(df: DataFrame) -> DataFrame:
+
+def checked_bus_events(df: DataFrame, whole: bool = False) -> DataFrame:
     """Rows that keep the rules of joined bus events."""
     previous = V.with_previous(
-        df, ["service_date", "trip_id", "vehicle_label", "route_id", "tm_pullout_id"], ["stop_sequence"], ["tm_stop_sequence"]
+        df, ["service_date", "trip_id", "vehicle_label", "route_id", "tm_pullout_id"], ["stop_sequence"], ["tm_stop_sequence"], whole=whole
     )
     rules = {
         **V.not_null("trip_id", "stop_id", "route_id", "vehicle_label", "tm_pullout_id", "stop_sequence"),
@@ -406,44 +421,47 @@ def checked_bus_events(df: DataFrame) -> DataFrame:
         **V.not_before_previous("tm_stop_sequence"),
     }
     unique = ["service_date", "trip_id", "route_id", "vehicle_label", "stop_sequence", "tm_pullout_id"]
-    return V.valid(cut_lineage(previous, "bus-previous"), rules, unique).drop("_prev_tm_stop_sequence")
+    return V.valid(written(previous, "bus-previous", whole), rules, unique, whole).drop("_prev_tm_stop_sequence")
 
 
-def derived_metrics(bus: DataFrame) -> DataFrame:
-    """Arrival, departure, travel, stopped time and headways of joined bus events."""
+def trip_times(bus: DataFrame, whole: bool = False) -> DataFrame:
+    """Arrival, departure, travel and stopped time of joined bus events."""
     trip = ["service_date", "tm_pullout_id", "trip_id", "vehicle_label"]
     seq = F.col("stop_sequence")
     block = stretch(seq, metrics.SEQUENCE_BLOCK)
-    timed = metrics.observed_times(metrics.full_trip_flag(bus, trip))
+    timed = metrics.observed_times(metrics.full_trip_flag(bus, trip, whole))
     arrival, departure = F.col("stop_arrival_dt"), F.col("stop_departure_dt")
     scanned = ordered(
-        cut_lineage(timed, "bus-times"),
+        written(timed, "bus-times", whole),
         trip,
         [seq],
         block,
+        whole,
         _floor=max_before(F.greatest(departure, arrival, F.col("gtfs_last_in_transit_dt"))),
         previous_stop_id=lag(F.col("stop_id")),
     )
     for c in ("stop_departure_dt", "stop_arrival_dt"):
         scanned = scanned.withColumn(c, F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.col("_floor"))))
-    clamped = cut_lineage(
+    clamped = written(
         scanned.drop("_floor")
         .withColumn("gtfs_first_in_transit_seconds", local_seconds("gtfs_first_in_transit_dt"))
         .withColumn("stop_arrival_seconds", local_seconds("stop_arrival_dt"))
         .withColumn("stop_departure_seconds", local_seconds("stop_departure_dt"))
         .withColumn("plan_stop_departure_seconds", local_seconds("plan_stop_departure_dt")),
         "bus-clamped",
+        whole,
     )
     along = ordered(
         clamped,
         trip,
         [seq],
         block,
+        whole,
         _left=last_before(F.coalesce(departure, arrival)),
         _prev_stop_arrival_dt=lag(arrival),
         _prev_stop_departure_dt=lag(departure),
     )
-    travelled = (
+    return (
         along.withColumn(
             "travel_time_seconds",
             F.unix_timestamp(F.coalesce(arrival, departure)) - F.unix_timestamp("_left"),
@@ -451,26 +469,37 @@ def derived_metrics(bus: DataFrame) -> DataFrame:
         .withColumn("stopped_duration_seconds", F.col("stop_departure_seconds") - F.col("stop_arrival_seconds"))
         .drop("_left")
     )
+
+
+def derived_metrics(bus: DataFrame) -> DataFrame:
+    """Arrival, departure, travel, stopped time and headways of joined bus events."""
+    travelled = by_size(bus, DAY_TRIP, trip_times)
     at = F.coalesce("stop_departure_seconds", "stop_arrival_seconds", "plan_stop_departure_seconds")
     tie = ("trip_id", "vehicle_label", "tm_pullout_id", "stop_sequence")
-    by_route = metrics.headway(
+
+    def between(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+        return by_size(rows, keys, lambda own, whole: metrics.headway(own, keys, at, name, tie, whole=whole))
+
+    by_route = between(
         cut_lineage(travelled, "bus-travel"),
         ["service_date", "stop_id", "direction_id", "route_id"],
-        at,
         "imputed_route_direction_headway_seconds",
-        tie,
     )
-    both = metrics.headway(
+    both = between(
         cut_lineage(by_route, "bus-route-headways"),
         ["service_date", "stop_id", "direction_destination"],
-        at,
         "imputed_direction_destination_headway_seconds",
-        tie,
     )
+    return by_size(cut_lineage(both, "bus-headways"), DAY_TRIP, kept_metrics)
+
+
+def kept_metrics(both: DataFrame, whole: bool = False) -> DataFrame:
+    """Rows that keep the rules of measured bus events."""
     totalled = V.with_trip_total(
-        cut_lineage(both, "bus-headways"),
+        both,
         ["service_date", "trip_id", "vehicle_label"],
         lambda later, earlier: F.unix_timestamp(later) - F.unix_timestamp(earlier),
+        whole,
     )
     rules = {
         **V.departure_after_arrival(),
