@@ -482,3 +482,19 @@ def test_trip_steps_of_small_trips_share_one_shuffle(spark):
     assert small.columns == large.columns and sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count("Exchange") == 1
+
+
+def test_feed_files_are_cut_and_bear_their_documents_time(spark, tmp_path):
+    from tramline.workload import jobs
+    from tramline.workload.registry import Tables
+
+    # two files of one document, their ids 500,000 apart, in one week
+    spark.range(40).selectExpr(
+        "id * 25000 as event_id", "timestamp_seconds(1704110400 + id) as ts", "id as user_id", "'click' as event_type", "1.0 as value", "'{\"k\": 1}' as props"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    jobs._feed_files(Tables(spark, str(tmp_path)), F.lit("RT_VEHICLE_POSITIONS"), str(tmp_path / "files"))
+    found = feeds.read_documents(spark, str(tmp_path / "files/feed=*/*"))
+    rows = feeds.entity_rows(feeds.parse_documents(found, feeds.FEEDS["RT_VEHICLE_POSITIONS"].entity))
+    assert found.count() == 2
+    assert sorted(int(r.id) for r in rows.collect()) == [i * 25000 for i in range(40)]
+    assert {r.feed_timestamp for r in rows.collect()} == {1704110439}

@@ -500,8 +500,11 @@ _FEED_NAMES = (
 )
 
 
+_FILE_IDS = 500_000
+
+
 def _feed_files(t, name, folder):
-    """A document for every week and tenth of the events, in one file each; ``name`` tells an event's feed."""
+    """A document for every week and tenth of the events, in a file for each 500,000 event ids; ``name`` tells an event's feed."""
     p = positions(t).withColumn("feed", name)
     trip = F.struct(
         "trip_id", "route_id", F.col("direction_id").cast("int").alias("direction_id"), "start_time",
@@ -523,7 +526,11 @@ def _feed_files(t, name, folder):
         F.when(F.col("feed").endswith("ALERTS"), alert).alias("alert"),
     )
     part = F.concat_ws("-", F.date_format("service_date", "yyyyMMdd"), (F.col("event_id") % 10).cast("string"))
-    docs = p.groupBy("feed", part.alias("doc")).agg(F.max("epoch").alias("timestamp"), F.collect_list(entity).alias("entity"))
+    # a document is cut by event ids into files of bounded size, which all bear its time
+    stamps = p.groupBy("feed", part.alias("part")).agg(F.max("epoch").alias("timestamp"))
+    cut = F.floor(F.col("event_id") / _FILE_IDS).cast("string")
+    pieces = p.groupBy("feed", part.alias("part"), F.concat_ws("-", part, cut).alias("doc")).agg(F.collect_list(entity).alias("entity"))
+    docs = pieces.join(F.broadcast(stamps), ["feed", "part"])
     text_ = F.to_json(F.struct(F.struct("timestamp").alias("header"), F.col("entity")))
     docs.select("feed", "doc", text_.alias("value")).repartition("feed", "doc").write.partitionBy("feed", "doc").text(folder)
 
