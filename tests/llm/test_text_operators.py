@@ -225,6 +225,48 @@ def test_words_told_apart_by_a_mark_equal_the_library(prose):
     assert found == own.library_ids(texts)
 
 
+def test_words_are_cut_into_what_the_library_keeps_apart(monkeypatch):
+    from tramline.llm import wordids
+
+    texts = ["Tion, tion. (tion) naïve, Naïve; тест! it's 12", "", None, "tion,tion\n12 no×w Éa é", " "]
+    texts += ["İs ŉa ſ; ĸ", "a\u0323\u0301b e\u0301, é÷", "x\x00y\x1fz \x85a", "σας, Σ"]
+    with open(WORDS, encoding="utf-8") as file:
+        own = wordids.WordIds(file.read())
+    asked, learn = [], own.learn
+    monkeypatch.setattr(own, "learn", lambda words: (asked.extend(words), learn(words)))
+    found = [np.frombuffer(ids, own.dtype).tolist() for _, ids in own.encode_all((i, t) for i, t in enumerate(texts))]
+    assert found == library_ids(texts)
+    assert asked.count(b"tion") == 1 and asked.count("naïve".encode()) == 1 and "тест".encode() in asked
+    assert b"it's" in asked and "no×w".encode() in asked and not any(w.startswith(b"tion") and len(w) > 4 for w in asked)
+
+
+@pytest.mark.parametrize(("cut", "together"), [(1, 1), (7, 40), (40, 7), (1000, 1000)])
+def test_words_cut_in_passes_equal_the_library(monkeypatch, prose, cut, together):
+    from tramline.llm import wordids
+
+    monkeypatch.setattr(wordids, "CUT", cut)
+    monkeypatch.setattr(wordids, "TOGETHER", together)
+    texts = [*SPECIAL, None, "", "", prose(4, 30), " \n ", prose(4, 30)] * 2
+    for special in (False, True):
+        with open(WORDS, encoding="utf-8") as file:
+            own = wordids.WordIds(file.read(), special)
+        found = [(k, np.frombuffer(ids, own.dtype).tolist()) for (k,), ids in own.encode_all(enumerate(texts))]
+        plain = own.whole if special else own.library
+        assert found == [(k, plain.encode(t or "", add_special_tokens=False).ids) for k, t in enumerate(texts)]
+
+
+def test_pairs_that_share_a_slot_are_told_apart(monkeypatch):
+    draw = np.random.default_rng(3)
+    monkeypatch.setattr(repair, "SLOTS", 8)
+    for _ in range(50):
+        pairs = draw.integers(0, 30, 200).astype(np.uint64)
+        slot = (pairs % np.uint64(8)).astype(np.uint32)
+        kept = slot != 3
+        found = repair._counted(pairs[kept], slot[kept], np.delete(np.arange(8), 3))
+        expected = np.unique(pairs[kept], return_inverse=True, return_counts=True)
+        assert all(np.array_equal(x, y) for x, y in zip(found, expected, strict=True))
+
+
 def test_grammar_round_trip_and_random_access():
     draw = np.random.default_rng(0)
     ids = np.concatenate([draw.integers(0, 50, 3000), np.tile([1, 2, 3, 3, 3], 900), np.full(700, 9)]).astype(np.uint16)
