@@ -121,6 +121,23 @@ def test_one_of_each_group_stays(documents, corpus):
     assert {r.doc_id for r in kept if r.text and r.text.strip()} == groups
 
 
+def test_a_blocks_texts_are_shingled_in_one_pass(monkeypatch, prose):
+    """The work of a block's texts is shared, words of neighbouring texts never meet, and sets are those of each text alone."""
+    passes, whole = [], signatures.shingle_sets
+    monkeypatch.setattr(signatures, "shingle_sets", lambda *a: passes.append(a) or whole(*a))
+    texts = ["", "a b c d e", "f", "A\tb  c\nd e\x0b", " ", "a b c d e f", "a b", "ab", "", "é " * 9, prose(1), prose(1).upper(), ""]
+    texts += [f"{'x' * 300} b c d e", f"{'x' * 301} b c d e", "a b c d e f a b c d e f", "a\x1cb c\u00a0d"]
+    data = [t.encode() for t in texts]
+    block = signatures._Shingled(b"".join(data), np.array([len(d) for d in data]), {}, 8)
+    assert len(passes) == 1
+    plain = [n for _, n, _ in signatures.brute_force(list(enumerate(texts)))]
+    assert [len(s) for s in block.sets] == plain
+    alone = [signatures.shingles(d, np.array([len(d)]))[0] for d in data]
+    assert all(np.array_equal(x, y) for x, y in zip(block.sets, alone, strict=True))
+    assert block.keys[1] == block.keys[3] != block.keys[5] and block.keys[6] != block.keys[7]
+    assert not signatures.linked(block.sets[13], block.sets[14]) and signatures.linked(block.sets[1], block.sets[3])
+
+
 def test_bound_never_prunes_a_link():
     draw = np.random.default_rng(4)
     for _ in range(200):

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,7 +28,6 @@ from tramline.llm.components import connected_components
 from tramline.llm.names import (
     REPEATED,
     STANDS,
-    Fingerprints,
     Level,
     ask,
     by_block,
@@ -38,6 +38,7 @@ from tramline.llm.names import (
     shard_count,
     single,
 )
+from tramline.llm.sketches import shingle_sets
 
 WORDS = 5
 PERCENT = 75  # Jaccard, in percent
@@ -49,16 +50,10 @@ BITS = 4096
 LEAF, FAN = 8, 8
 
 
-def shingles(data: bytes, words: int = WORDS) -> np.ndarray:
-    """Sorted fingerprints of the distinct shingles of a UTF-8 text."""
-    own = data.lower().split()  # A-Z; space and \t to \r
-    if not own:
-        return np.zeros(0, np.uint64)
-    line = np.frombuffer(b" ".join(own), np.uint8)
-    gaps = np.flatnonzero(line == 32)
-    starts, stops = np.r_[0, gaps + 1], np.r_[gaps, len(line)]
-    k = min(words, len(own))
-    return np.unique(Fingerprints(line, 0).of(starts[: len(own) - k + 1], stops[k - 1 :]))
+def shingles(data: bytes, sizes: np.ndarray) -> list[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each of a block's texts, all of them in one pass."""
+    found, edges = shingle_sets(data, sizes, WORDS)
+    return [found[a:b] for a, b in pairwise(edges.tolist())]
 
 
 def _need(size: np.ndarray | int, percent: int = PERCENT):
@@ -176,8 +171,7 @@ class _Shingled:
     """A block led through the levels as far as answers are known; sets are (place of the text, fingerprints)."""
 
     def __init__(self, data: bytes, sizes: np.ndarray, given: dict, shards: int):
-        stops = np.cumsum(sizes).tolist()
-        self.sets = [shingles(data[b - s : b]) for s, b in zip(sizes.tolist(), stops, strict=True)]
+        self.sets = shingles(data, sizes)
         self.keys = [hashlib.md5(s.tobytes()).digest() for s in self.sets]
         chosen = [i for i, s in enumerate(self.sets) if len(s)]
         words = np.frombuffer(b"".join(self.keys[i] for i in chosen), [("a", "<u8"), ("b", "<u8")])
@@ -380,10 +374,8 @@ def _components(packed: DataFrame, size: int, key: str, kind: str) -> tuple[Data
 
     def described(found):
         for block, sizes, rest, data in found:
-            start = 0
-            for at, (values, n) in enumerate(zip(rest, np.frombuffer(sizes, np.int64).tolist(), strict=True)):
-                one = shingles(bytes(data[start : start + n]))
-                start += n
+            sets = shingles(bytes(data), np.frombuffer(sizes, np.int64))
+            for at, (values, one) in enumerate(zip(rest, sets, strict=True)):
                 yield block, at, values[key], len(one), hashlib.md5(one.tobytes()).digest()
 
     described_ = arrow_rows(

@@ -35,7 +35,7 @@ CHUNK = 512  # sets of a chunk, about
 TOKENS = 1 << 19  # shingles of a chunk, about
 LONG_WORD = 64  # bytes from which a word is hashed on its own
 _SEEDS = mix(np.arange(1, 2 * BINS + BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_ORDER = _SEEDS[: WORDS + 1] | np.uint64(1)
+_ORDER = _SEEDS[:8] | np.uint64(1)  # of words in a shingle, seven at most
 _KEPT = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)  # the first bytes of eight
 _OPEN = np.uint64(2**64 - 1)
 
@@ -59,10 +59,10 @@ def word_hashes(low: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.nd
     return out
 
 
-def shingle_sets(data: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: bytes, sizes: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of concatenated UTF-8 texts, ascending in each text, and where each text's begin and end.
 
-    Words are what stands between white space once A-Z are lower-cased; a text of fewer than ``WORDS`` words is one
+    Words are what stands between white space once A-Z are lower-cased; a text of fewer than ``size`` words is one
     shingle, a text without words has none.
     """
     low = np.frombuffer(data.lower(), np.uint8)
@@ -82,17 +82,17 @@ def shingle_sets(data: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     text = np.searchsorted(begins, starts, "right") - 1
     hashes = word_hashes(low, starts, stops)
     words = np.bincount(text, minlength=count)
-    n = max(0, len(hashes) - WORDS + 1)
-    whole = np.full(n, _ORDER[WORDS])
-    for k in range(WORDS):
+    n = max(0, len(hashes) - size + 1)
+    whole = np.full(n, _ORDER[size])
+    for k in range(size):
         whole = mix(whole ^ hashes[k : k + n]) + _ORDER[k]
-    same = np.flatnonzero(text[:n] == text[WORDS - 1 :][:n])
+    same = np.flatnonzero(text[:n] == text[size - 1 :][:n])
     shingles, owner = whole[same], text[same]
-    short = np.flatnonzero((words > 0) & (words < WORDS))
+    short = np.flatnonzero((words > 0) & (words < size))
     if len(short):
         at = np.searchsorted(text, short)
         own = _ORDER[words[short]].copy()
-        for k in range(WORDS - 1):
+        for k in range(size - 1):
             more = words[short] > k
             own[more] = mix(own[more] ^ hashes[at[more] + k]) + _ORDER[k]
         order = np.argsort(np.r_[owner, short], kind="stable")
