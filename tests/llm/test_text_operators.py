@@ -282,6 +282,48 @@ def test_grammar_round_trip_and_random_access():
             assert (grammar.tokens(seq[a:b], 7, 15) == ids[c + 7 : c + 15]).all()
 
 
+def apart(seq, ends):
+    """Pairs of neighbours in a document, each with its places that do not overlap."""
+    found, cut = {}, set(ends)
+    for i in range(len(seq) - 1):
+        places = found.setdefault((seq[i], seq[i + 1]), [])
+        if i + 1 not in cut and (not places or places[-1] < i - (seq[i] == seq[i + 1])):
+            places.append(i)
+    return {pair: len(places) for pair, places in found.items()}
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_no_pair_is_left_that_stands_twice(monkeypatch, wide):
+    draw = np.random.default_rng(5)
+    first = 1 << 31 if wide else 60_000  # of the wide ones, a pair and its place do not fit in 64 bits
+    copies = np.tile(draw.integers(0, 200, 500), 3)
+    cases = [[], [7], [9, 9, 9], [9] * 4, [9] * 700, [1, 2, 3] * 400, [1, 2, 3, 2, 3, 1, 3, 1, 2], copies]
+    cases += [draw.integers(0, draw.integers(2, 60), draw.integers(1, 2000)) for _ in range(30)]
+    for ids in map(np.array, cases):
+        ids = ids.astype(np.uint32)
+        ends = np.sort(np.r_[0, 0, draw.integers(0, len(ids) + 1, 4), len(ids)])
+        for least in (2, 5):
+            seq, cut, rules = repair.compress(ids, ends, first, least=least)
+            assert max(apart(seq.tolist(), cut.tolist()).values(), default=0) < least
+            if not wide:
+                grammar = repair.Grammar(rules, repair.expansion_lengths(rules, first), first)
+                assert (grammar.decode(seq) == ids).all() and len(cut) == len(ends)
+                stops = np.r_[0, np.cumsum(grammar.lengths(seq))]
+                assert (stops[cut] == ends).all()
+
+
+def test_rules_follow_however_deep_they_go():
+    ids = np.tile(np.arange(40), 1 << 11)
+    seq, _, rules = repair.compress(ids, np.array([len(ids)]), 100)  # more than three rounds' worth of rules
+    sizes = repair.expansion_lengths(rules, 100)
+    assert len(seq) <= 2 and sizes.max() >= len(ids) // 2
+    own = [(1 if a < 100 else 0) + (1 if b < 100 else 0) for a, b in rules.tolist()]
+    for i, (a, b) in enumerate(rules.tolist()):
+        own[i] += sum(own[x - 100] for x in (a, b) if x >= 100)
+    assert own == sizes.tolist()
+    assert (repair.Grammar(rules, sizes, 100).decode(seq) == ids).all()
+
+
 def test_separator_scan_stitches_blocks(spark, monkeypatch):
     draw = np.random.default_rng(1)
     for size in (1, 3, 64):
