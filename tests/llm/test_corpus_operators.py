@@ -70,6 +70,24 @@ def test_disk_queue_merges_runs():
     assert found == sorted(every)
 
 
+def test_blocks_of_a_task_ask_a_shard_in_one_row():
+    draw = np.random.default_rng(4)
+    blocks = {}
+    for number in (7, 3, 9, 12):
+        own = names.pairs(*(draw.integers(0, most, 60 * (number != 9)).astype(np.uint64) << np.uint64(58) for most in (60, 2)))
+        blocks[number] = names.Level(own, 8), own.tolist()
+    every = [name for _, own in blocks.values() for name in own]
+    held = [(n, names.blob(own.unique), names.blob(own.local), own.edges) for n, (own, _) in blocks.items()]
+    sent = sorted(names._together(held), key=lambda r: r[0])
+    assert len({r[0] for r in sent}) == len(sent) <= 8  # a row a shard, not one for each of a shard's blocks
+    answers = [a for shard in sent for a in names._answer(iter([shard]), 5)]
+    given = dict(names._parted(answers))
+    assert list(given) == list(blocks)
+    for number, (level, own) in blocks.items():
+        found = level.answers(given[number])
+        assert [bool(f & names.REPEATED) for f in found.tolist()] == [every.count(name) > 1 for name in own]
+
+
 def test_similar_sets_equal_brute_force(documents, corpus, rows):
     found = signatures.similar_sets(documents(corpus, extra=True))
     assert rows(found) == ordered(signatures.brute_force(corpus))
@@ -200,6 +218,65 @@ def plain_pieces(text):
     return out
 
 
+def met(draw, groups, most):
+    """Rows of cells: sets around a common core, some of two sides."""
+    found = []
+    for group in range(groups):
+        core = draw.integers(0, 1 << 62, draw.integers(3, 30)).astype(np.uint64)
+        two = draw.random() < 0.3
+        for _ in range(draw.integers(2, most)):
+            own = core[draw.random(len(core)) < draw.choice([0.5, 0.9, 1])]
+            own = np.unique(np.r_[core[:3], own, draw.integers(0, 1 << 62, draw.integers(0, 4)).astype(np.uint64)])
+            found.append((group, 0, int(draw.integers(0, 2)) if two else 0, b"%d" % len(found), own.tobytes()))
+    return sorted(found, key=lambda r: r[:3])
+
+
+@pytest.mark.parametrize("step", [1, 40, 1 << 20])
+def test_met_paragraphs_equal_all_pairs(monkeypatch, step):
+    draw = np.random.default_rng(6)
+    monkeypatch.setattr(paragraphs, "TOGETHER", step)
+    monkeypatch.setattr(paragraphs, "PAIRS", step)
+    for _ in range(20):
+        cells = met(draw, 4, 40)
+        number, sets = {r[3]: i for i, r in enumerate(cells)}, [np.frombuffer(r[4], np.uint64) for r in cells]
+        forest, found = signatures.Forest(len(cells)), signatures.Forest(len(cells))
+        two = {r[0] for r in cells if r[2]}
+        for i, x in enumerate(cells):
+            for j, y in enumerate(cells[:i]):
+                if x[0] == y[0] and (x[2] != y[2] or x[0] not in two) and signatures.linked(sets[i], sets[j]):
+                    forest.join(i, j)
+        for a, b in paragraphs.near_links(iter(cells)):
+            assert signatures.linked(sets[number[a]], sets[number[b]])
+            found.join(number[a], number[b])
+        assert [forest.root(i) for i in range(len(cells))] == [found.root(i) for i in range(len(cells))]
+
+
+def test_paragraphs_with_common_shingles_alone_are_not_compared(monkeypatch):
+    draw = np.random.default_rng(7)
+    common = draw.integers(0, 1 << 62, 5)
+    cells = [(1, 0, 0, b"%d" % i, np.sort(np.r_[common, draw.integers(0, 1 << 62, 7)]).tobytes()) for i in range(500)]
+    cells.append((*cells[0][:3], b"near", cells[0][4][:-8]))
+    compared, linked = [], paragraphs._Met._linked
+    monkeypatch.setattr(paragraphs._Met, "_linked", lambda self, a, b: (compared.append(len(a)), linked(self, a, b))[1])
+    assert list(paragraphs.near_links(iter(cells))) == [(b"0", b"near")]
+    assert sum(compared) < 10  # of 125,250 pairs
+
+
+def test_crowded_bands_meet_by_rare_shingles(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    monkeypatch.setattr(paragraphs, "CHUNK", 16)
+    common = draw.integers(0, 1 << 62, 5)
+    sets = [np.r_[common, draw.integers(0, 1 << 62, 7)] for _ in range(300)]
+    near = [s[:-1] for s in sets[:40]]  # links across all chunks
+    rows = [(b"%d" % i, [5, 6], np.sort(s).tobytes()) for i, s in enumerate([*sets, *near])]
+    table = spark.createDataFrame(rows, "id binary, keys array<long>, tokens binary")
+    cells, seen = [], paragraphs.in_cells
+    monkeypatch.setattr(paragraphs, "in_cells", lambda *a: (cells.append(seen(*a)), cells[-1])[1])
+    links = {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in paragraphs._verified_links(table, 4).collect()}
+    assert links == {tuple(sorted((b"%d" % i, b"%d" % (300 + i)))) for i in range(40)}
+    assert sum(c.count() for c in cells) < 1000  # two bands of 340 in 22 chunks each were 14,960 rows
+
+
 def plain_paragraphs(pairs):
     """Rows of ``remove_paragraphs`` by comparing all pieces with all."""
     found = [(key, place, *p) for key, text in pairs for place, p in enumerate(plain_pieces(text))]

@@ -2,7 +2,8 @@
 
 Texts are packed in blocks once. On each level every block asks about names (pairs of 64-bit fingerprints): does a
 name stand in two places, and which block stands for it? A shard sorts its tuples (name, known common length, source)
-in a priority queue that spills sorted runs to disk and merges them, so it may be larger than memory.
+in a priority queue that spills sorted runs to disk and merges them, so it may be larger than memory. Blocks of a task
+ask together: with a row for each block and shard, rows would grow with the square of the input.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from tramline.session import scratch_path
 BLOCK = 1 << 20  # bytes of text from which a block ends
 SHARD = 1 << 20  # names of a shard, about
 BUCKET = 64 << 20  # bytes of input of a bucket of blocks, at most about
+GROUP = 32 << 20  # bytes of names from which blocks of a task ask together
 MOST = 4096  # beyond as many shards they grow instead, and their queues go to disk
 HELD = 4_000_000  # tuples a priority queue keeps in memory
 POLYNOMIAL = 256  # bytes up to which a polynomial tells strings apart that are made to look alike (Thue-Morse)
@@ -149,17 +151,17 @@ REPEATED, STANDS = 1, 2
 
 
 def _answer(rows: Iterator[tuple], common: int) -> Iterator[tuple]:
-    """Rows ``(shard, block, names, local)`` of a shard to ``(block, shard, answers)``.
+    """Rows ``(shard, group, blocks, counts, names, local)`` of a shard to ``(group, shard, blocks, counts, answers)``.
 
-    ``local`` tells of each name whether the block holds it twice. The first source of a name stands for it. What
+    ``local`` tells of each name whether its block holds it twice. The first source of a name stands for it. What
     stays in memory is two bytes a name; the names themselves are in the queue.
     """
     queue = DiskQueue()
     sources, flags, count = [], [], 0
-    for shard, block, names, local in rows:
+    for shard, group, blocks, counts, names, local in rows:
         own = np.frombuffer(names, [("a", "<u8"), ("b", "<u8")])
         queue.push(own, common, count)
-        sources.append((block, shard, len(own)))
+        sources.append((group, shard, blocks, counts, len(own)))
         flags.append(local)
         count += len(own)
     local = np.frombuffer(b"".join(flags), np.uint8)
@@ -174,11 +176,36 @@ def _answer(rows: Iterator[tuple], common: int) -> Iterator[tuple]:
         answers[serial] = twice[group] * REPEATED + new * STANDS
     queue.close()
     at = 0
-    for block, shard, size in sources:
-        yield block, shard, answers[at : at + size].tobytes()
+    for *source, size in sources:
+        yield *source, answers[at : at + size].tobytes()
         at += size
 
 
+def _together(held: list[tuple[int, bytes, bytes, np.ndarray]]) -> Iterator[tuple]:
+    """Names, flags and edges of blocks to rows ``(shard, group, blocks, counts, names, local)``; a group is its first block."""
+    if not held:
+        return
+    edges = np.stack([e for _, _, _, e in held])
+    counts = np.diff(edges, axis=1).astype("<u4")
+    blocks = blob(np.array([block for block, _, _, _ in held], np.int64))
+    for shard in np.flatnonzero(counts.any(axis=0)).tolist():
+        cut = list(zip(held, edges[:, shard].tolist(), edges[:, shard + 1].tolist(), strict=True))
+        names = b"".join(own[1][16 * a : 16 * b] for own, a, b in cut)
+        yield shard, held[0][0], blocks, blob(counts[:, shard]), names, b"".join(own[2][a:b] for own, a, b in cut)
+
+
+def _parted(rows: Iterator[tuple]) -> Iterator[tuple[int, bytes]]:
+    """A group's rows ``(group, shard, blocks, counts, answers)``, by shard, to the answers of each of its blocks."""
+    parts: dict[int, list[bytes]] = {}
+    for _, _, blocks, counts, answers in rows:
+        stop = 0
+        for block, count in zip(np.frombuffer(blocks, np.int64).tolist(), np.frombuffer(counts, "<u4").tolist(), strict=True):
+            start, stop = stop, stop + count
+            parts.setdefault(block, []).append(answers[start:stop])
+    for block, own in parts.items():
+        yield block, b"".join(own)
+
+
 class Level:
     """Names of one level of a block: unique, with their shards, in the order that answers come back in."""
 
@@ -196,15 +223,9 @@ class Level:
         bounds = np.array([-(-(s << 64) // shards) for s in range(1, shards)], np.uint64)
         self.edges = np.r_[0, np.searchsorted(self.unique["a"], bounds), len(self.unique)].astype(np.int64)
 
-    def rows(self, block: int) -> Iterator[tuple]:
-        for shard in np.flatnonzero(np.diff(self.edges)).tolist():
-            a, b = self.edges[shard], self.edges[shard + 1]
-            yield shard, block, blob(self.unique[a:b]), blob(self.local[a:b])
-
-    def answers(self, given: dict[int, bytes]) -> np.ndarray:
-        out = np.zeros(len(self.unique), np.uint8)
-        for shard, own in given.items():
-            out[self.edges[shard] : self.edges[shard + 1]] = np.frombuffer(own, np.uint8)
+    def answers(self, given: bytes) -> np.ndarray:
+        """Answers in the order of the names that were given; without any, nothing is known of them."""
+        out = np.frombuffer(given, np.uint8) if given else np.zeros(len(self.unique), np.uint8)
         return out[self.inverse]
 
 
@@ -260,32 +281,46 @@ def ask(
     """
 
     def asked(found):
+        held, weight = [], 0
         for block, sizes, data, *answers in found:
             own = names(bytes(data), np.frombuffer(sizes, np.int64), by_level(answers))
-            yield from own.rows(block)
+            if len(own.unique):
+                held.append((block, blob(own.unique), blob(own.local), own.edges))
+                weight += 17 * len(own.unique)
+            if weight >= GROUP:
+                yield from _together(held)
+                held, weight = [], 0
+        yield from _together(held)
 
     source = packed.select("block", "sizes", "data")
     if given is not None:
         source = source.join(by_block(given).hint("shuffle_hash"), "block")
-    sent = arrow_rows(source, asked, "shard int, block long, names binary, local binary")
+    else:
+        source = source.coalesce(max(64, shards // 4))  # some files in a task, so that blocks can ask together
+    sent = arrow_rows(source, asked, "shard int, group long, blocks binary, counts binary, names binary, local binary")
     dealt = sent.repartition(shards, "shard").sortWithinPartitions("shard")
 
     def answered(found):
         for _, rows in groupby(found, key=lambda r: r[0]):
-            yield from ((level, *r) for r in _answer(rows, common))
+            yield from _answer(rows, common)
+
+    own = arrow_rows(dealt, answered, "group long, shard int, blocks binary, counts binary, answers binary")
+    own = own.repartition("group").sortWithinPartitions("group", "shard")
+
+    def parted(found):
+        for _, rows in groupby(found, key=lambda r: r[0]):
+            yield from ((level, *r) for r in _parted(rows))
 
-    own = stage(arrow_rows(dealt, answered, "level int, block long, shard int, answers binary"), f"names-{level}")
+    own = stage(arrow_rows(own, parted, "level int, block long, answers binary"), f"names-{level}")
     return own if given is None else given.unionByName(own)
 
 
 def by_block(given: DataFrame) -> DataFrame:
     """The answers of each block: bounded by what the block asked."""
-    return given.groupBy("block").agg(F.collect_list(F.struct("level", "shard", "answers")).alias("given"))
+    return given.groupBy("block").agg(F.collect_list(F.struct("level", "answers")).alias("given"))
 
 
-def by_level(answers: list) -> dict[int, dict[int, bytes]]:
-    out: dict[int, dict[int, bytes]] = {}
-    for row in (answers[0] if answers else None) or ():
-        out.setdefault(row["level"], {})[row["shard"]] = bytes(row["answers"])
+def by_level(answers: list) -> dict[int, bytes]:
+    out = {row["level"]: bytes(row["answers"]) for row in (answers[0] if answers else None) or ()}
     # a block that had nothing left to ask has no answers on later levels
-    return {level: out.get(level, {}) for level in range(1, max(out, default=0) + 1)}
+    return {level: out.get(level, b"") for level in range(1, max(out, default=0) + 1)}

@@ -8,6 +8,8 @@ pairs are classes, and of each class the first paragraph stays. Repeated neighbo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from tramline.llm.names import (
     shard_count,
     single,
 )
-from tramline.llm.signatures import in_cells, tree_links
+from tramline.llm.signatures import PERCENT, Forest, in_cells
 
 WORDS = 5
 LEAST = WORDS  # words from which a piece has a shingle, and so counts as a paragraph that can be a duplicate
@@ -38,6 +40,8 @@ PASSAGE = 30  # words of a repeated passage: what is whole of 50 words, less a p
 BANDS, ROWS = 9, 2  # at a similarity of 0.75, 1 - (1 - 0.75 ** 2) ** 9 = 0.9994 of the pairs collide
 SMALLEST = 3  # sets of fewer shingles reach 0.75 with equal sets only, which are one already
 CHUNK = 512  # paragraphs of one side of a verification
+TOGETHER = 1 << 17  # shingles from which groups are verified in one pass
+PAIRS = 1 << 20  # pairs of paragraphs, or shingles of such, in one step of it
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
 
@@ -147,14 +151,158 @@ class _Pieces:
         return blob(self.shingles[self.edges[i] : self.edges[i + 1]])
 
 
+class _Met:
+    """Paragraphs of many groups, verified in one pass.
+
+    Within a group shingles are ordered, the rarest first. Paragraphs that link share one of the first that are more
+    than a paragraph may lack, so only those that do are compared: rare shingles bring few paragraphs together, however
+    large the group is.
+    """
+
+    def __init__(self, groups: list[int], sides: list[int], sets: list[bytes]):
+        self.size = np.array([len(s) for s in sets], np.int64) >> 3
+        self.group, self.side = np.array(groups), np.array(sides)
+        self.both_sides = np.bincount(self.group, weights=self.side) > 0
+        self.label = np.arange(len(sets))  # of what is connected already
+        self.forest = Forest(len(sets))
+        shingles = np.frombuffer(b"".join(sets), np.uint64)
+        row = np.repeat(np.arange(len(sets)), self.size)
+        own = mix(shingles ^ mix(self.group.astype(np.uint64) + np.uint64(1))[row])  # a shingle in a group
+        order = np.argsort(own)
+        new = np.concatenate(([True], own[order[1:]] != own[order[:-1]]))
+        often = np.diff(np.flatnonzero(new), append=len(own))
+        number = np.empty(len(own), np.int64)
+        number[order] = np.cumsum(new) - 1
+        self.start = np.cumsum(self.size) - self.size
+        bit = np.uint64(1) << (shingles & np.uint64(63))
+        self.bits = np.bitwise_or.reduceat(bit, self.start)
+        self.extra = self.size - np.bitwise_count(self.bits)  # shingles that share a bit with another of their set
+        self.base = len(often)
+        self.known = row * self.base + number  # which shingles a paragraph has
+        self.known.sort()
+        ordered = (row * (int(often.max()) + 1) + often[number]) * self.base + number
+        ordered.sort()
+        first = np.arange(len(row)) - self.start[row] <= (self.size * (100 - PERCENT) // 100)[row]
+        number = ordered[first] % self.base
+        row = row[first]
+        shared = often[number] > 1
+        at = np.sort(number[shared] * len(sets) + row[shared])
+        self.row = at % len(sets)  # by shingle
+        new = np.concatenate(([True], at[1:] // len(sets) != at[:-1] // len(sets)))[: len(at)]
+        begin = np.flatnonzero(new)
+        self.place = np.arange(len(at)) - np.repeat(begin, np.diff(begin, append=len(at)))
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        """Links that connect what is apart: paragraphs meet the first with their shingle, then the others."""
+        later = np.flatnonzero(self.place)
+        yield from self._linked(self.row[later - self.place[later]], self.row[later])
+        later = later[self.place[later] > 1]
+        done = 0
+        stops = np.cumsum(self.place[later] - 1)
+        while done < len(later):
+            stop = max(done + 1, int(np.searchsorted(stops, (stops[done - 1] if done else 0) + PAIRS, "right")))
+            some = later[done:stop]
+            count = self.place[some] - 1
+            inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            yield from self._linked(self.row[np.repeat(some - count, count) + inner], np.repeat(self.row[some], count))
+            done = stop
+
+    def _linked(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
+        may = (self.label[a] != self.label[b]) & ((self.side[a] != self.side[b]) | ~self.both_sides[self.group[a]])
+        small, large = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+        common = np.bitwise_count(self.bits[a] & self.bits[b]) + np.minimum(self.extra[a], self.extra[b])
+        may &= (100 * small >= PERCENT * large) & ((100 + PERCENT) * common >= PERCENT * (small + large))
+        pair = np.unique(a[may] * len(self.size) + b[may])
+        a, b = pair // len(self.size), pair % len(self.size)
+        done = 0
+        stops = np.cumsum(self.size[a])
+        while done < len(a):
+            stop = max(done + 1, int(np.searchsorted(stops, (stops[done - 1] if done else 0) + PAIRS, "right")))
+            x, y = a[done:stop], b[done:stop]
+            size = self.size[x]
+            begin = np.cumsum(size) - size
+            inner = np.arange(int(size.sum())) - np.repeat(begin - self.start[x], size)
+            wanted = self.known[inner] + np.repeat((y - x) * self.base, size)
+            there = np.searchsorted(self.known, wanted)
+            there[there == len(self.known)] = 0
+            both = np.add.reduceat((self.known[there] == wanted).astype(np.int64), begin)
+            linked = 100 * both >= PERCENT * (size + self.size[y] - both)
+            for i, j in zip(x[linked].tolist(), y[linked].tolist(), strict=True):
+                if self.forest.root(i) != self.forest.root(j):
+                    self.forest.join(i, j)
+                    yield i, j
+            touched = np.unique(np.r_[x[linked], y[linked]])
+            self.label[touched] = [self.forest.root(i) for i in touched.tolist()]
+            done = stop
+
+
+def near_links(found: Iterator[tuple]) -> Iterator[tuple]:
+    """Sorted rows ``(key, cell, side, id, tokens)`` to links that connect what is apart in their cell.
+
+    Rows of one side meet each other where the cell has one side only, else the sides meet.
+    """
+    groups, sides, names, sets = [], [], [], []
+    last, weight = None, 0
+
+    def verified():
+        for i, j in _Met(groups, sides, sets).links():
+            yield names[i], names[j]
+        for held in (groups, sides, names, sets):
+            held.clear()
+
+    for key, cell, side, name, tokens in found:
+        if (key, cell) != last:
+            if weight > 8 * TOGETHER:
+                yield from verified()
+                weight = 0
+            group = groups[-1] + 1 if groups else 0
+            last = key, cell
+        groups.append(group)
+        sides.append(side)
+        names.append(name)
+        sets.append(tokens)
+        weight += len(tokens)
+    if groups:
+        yield from verified()
+
+
+def _by_rare(crowded: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``key, id`` of crowded keys to smaller groups, of paragraphs that share a key and one of their rarest shingles.
+
+    Shingles are counted within a key. Paragraphs that link share one of the first that are more than a paragraph may
+    lack; those that stand in one paragraph alone come first.
+    """
+
+    def rows(found):
+        for key, name, tokens in found:
+            own = np.frombuffer(tokens, np.int64)
+            yield key, name, len(own), own.tolist()
+
+    listed = crowded.join(candidates.select("id", "tokens"), "id").select("key", "id", "tokens")
+    listed = arrow_rows(listed, rows, "key long, id binary, n int, shingles array<long>")
+    each = stage(listed.select("key", "id", "n", F.explode("shingles").alias("token")), "crowded")
+    often = each.groupBy("key", "token").agg(F.count("*").alias("often")).where("often > 1")
+    known = each.join(often, ["key", "token"])
+    lists = known.groupBy("key", "id", "n").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("l"))
+    first = 1 + F.floor(F.col("n") * (100 - PERCENT) / 100) - (F.col("n") - F.size("l"))
+    lists = lists.where(first > 0).select("key", "id", F.explode(F.slice("l", F.lit(1), first.cast("int"))).alias("s"))
+    return lists.select(F.xxhash64("key", "s.token").alias("key"), "id")
+
+
 def _verified_links(candidates: DataFrame, parts: int) -> DataFrame:
-    """Links of paragraphs that share a band; groups beyond ``CHUNK`` meet cell by cell, all chunks with all."""
-    cells = in_cells(candidates.select("id", F.explode("keys").alias("key")), CHUNK)
-    met = cells.join(candidates.select("id", "tokens"), "id").select(
-        "key", "cell", "side", "id", F.lit(None).cast("binary").alias("component"), "tokens"
-    )
+    """Links of paragraphs that share a band; those of a crowded band meet by their rarest shingles in it.
+
+    Of such groups too, those beyond ``CHUNK`` meet cell by cell, all chunks with all.
+    """
+    keyed = candidates.select("id", F.explode("keys").alias("key"))
+    counts = stage(keyed.groupBy("key").count().where("count > 1"), "bands")
+    cells = in_cells(keyed, CHUNK, counts.where(F.col("count") <= CHUNK))
+    hot = counts.where(F.col("count") > CHUNK).select("key")
+    if not hot.isEmpty():
+        cells = cells.unionByName(in_cells(_by_rare(keyed.join(hot, "key", "left_semi"), candidates), CHUNK))
+    met = cells.join(candidates.select("id", "tokens"), "id").select("key", "cell", "side", "id", "tokens")
     dealt = met.repartition(parts, "key", "cell").sortWithinPartitions("key", "cell")
-    return stage(arrow_rows(dealt, tree_links, "a binary, b binary"), "paragraph-links")
+    return stage(arrow_rows(dealt, near_links, "a binary, b binary"), "paragraph-links")
 
 
 def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:

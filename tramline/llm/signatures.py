@@ -241,13 +241,14 @@ def tree_links(found: Iterator[tuple]) -> Iterator[tuple]:
         yield from verified(held)
 
 
-def in_cells(keyed: DataFrame, chunk: int) -> DataFrame:
+def in_cells(keyed: DataFrame, chunk: int, counts: DataFrame | None = None) -> DataFrame:
     """Rows ``key, id`` to ``key, cell, side, id``: a large key's rows are dealt over chunks, and all chunks meet.
 
     Cell (i, j) with i < j holds chunk i on one side and chunk j on the other, cell (i, i) one side. Keys of one row
-    have nothing to meet.
+    have nothing to meet. ``counts`` (``key, count``) may be given, of some keys alone: then the others are left out.
     """
-    counts = keyed.groupBy("key").count().where("count > 1")
+    if counts is None:
+        counts = keyed.groupBy("key").count().where("count > 1")
     chunks = F.ceil(F.col("count") / chunk).cast("int")
     placed = keyed.join(counts, "key").select(
         "key", "id", chunks.alias("k"), F.pmod(F.xxhash64("id"), chunks.cast("long")).cast("int").alias("c")

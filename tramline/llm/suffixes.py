@@ -113,7 +113,7 @@ class Runs:
 class BlockState:
     """A block led through the levels as far as answers are known."""
 
-    def __init__(self, data: bytes, sizes: np.ndarray, given: dict[int, dict[int, bytes]], shards: int, shape: tuple):
+    def __init__(self, data: bytes, sizes: np.ndarray, given: dict[int, bytes], shards: int, shape: tuple):
         self.runs = Runs(data, sizes, *shape)
         n = len(self.runs.first)
         self.sure = np.zeros(n, bool)  # all windows of the run are repeated
